@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The pipeline this package rebuilds is batch only: it reads one registry
+snapshot and rewrites every table in full. It has no stream, event time,
+watermark or incremental state, so there is nothing to express with
+Structured Streaming here.
+"""
