@@ -1,16 +1,21 @@
 """Referential checks: every link end must be a node id of its node table.
 
-All links and both ends are checked in one pass: the ends of all link tables
-are unioned into (link, side, node, id), made distinct (map-side combine, so
-a hot id costs one row per partition), and anti-joined once with the union of
-node ids. Ids are compared NULL-safely, as a set membership test would.
+All links and both ends are checked in one pass:
+
+1. the ends of all link tables are unioned into (link, side, node, id) and
+   counted per distinct end (map-side combine: a hot id costs one row per
+   partition in the shuffle);
+2. the ids of all node tables are unioned into (node, id) and counted;
+3. one join of the two on (node, id) (ids compared NULL-safely, as a set
+   membership test would) marks the orphans, and a last small aggregate gives
+   per (link, side) the rows, distinct ids and orphans.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHECK_SCHEMA = "link string, side string, node string"
@@ -20,46 +25,40 @@ def _ends(links: dict[str, DataFrame], subgraphs: dict[str, tuple[str, str]]) ->
     parts = []
     for name, df in links.items():
         src, dst = subgraphs[name]
-        parts.append(df.select(F.lit(name).alias("link"), F.explode(F.array(
-            F.struct(F.lit("from_id").alias("side"), F.lit(src).alias("node"),
-                     F.col("from_id").alias("id")),
-            F.struct(F.lit("to_id").alias("side"), F.lit(dst).alias("node"),
-                     F.col("to_id").alias("id")))).alias("e"))
-                     .select("link", "e.side", "e.node", "e.id"))
+        parts.append(df.select(F.explode(F.array(
+            F.struct(F.lit(name).alias("link"), F.lit("from_id").alias("side"),
+                     F.lit(src).alias("node"), F.col("from_id").alias("id")),
+            F.struct(F.lit(name).alias("link"), F.lit("to_id").alias("side"),
+                     F.lit(dst).alias("node"), F.col("to_id").alias("id")))).alias("e"))
+                     .select("e.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _count_per(tables: dict[str, DataFrame], label: str, alias: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, [
-        df.agg(F.count(F.lit(1)).alias(alias)).select(F.lit(n).alias(label), alias)
-        for n, df in tables.items()])
-
-
 def check_graph(nodes: dict[str, DataFrame], links: dict[str, DataFrame],
                 subgraphs: dict[str, tuple[str, str]]) -> DataFrame:
     """One row per (link, side): n_links, n_nodes (rows of the node table),
     n_ids (distinct ids at that end), n_orphans (of those, not a node id)."""
-    spark: SparkSession = next(iter(links.values())).sparkSession
+    spark = next(iter(links.values())).sparkSession
     wanted = [(l, side, subgraphs[l][i]) for l in links for i, side in enumerate(("from_id", "to_id"))]
     checks = spark.createDataFrame(wanted, CHECK_SCHEMA)
+    used = {w[2] for w in wanted}
 
-    ids = _ends(links, subgraphs).distinct()
-    node_ids = reduce(DataFrame.unionByName, [
+    ends = (_ends(links, subgraphs).groupBy("link", "side", "node", "id")
+            .agg(F.count(F.lit(1)).alias("n")))
+    ids = (reduce(DataFrame.unionByName, [
         df.select(F.lit(n).alias("node"), F.col("node_id").alias("id"))
-        for n, df in nodes.items() if n in {w[2] for w in wanted}]).distinct()
-    orphans = ids.alias("e").join(
-        node_ids.alias("n"),
-        (F.col("e.node") == F.col("n.node")) & F.col("e.id").eqNullSafe(F.col("n.id")),
-        "left_anti")
-    n_ids = ids.groupBy("link", "side").agg(F.count(F.lit(1)).alias("n_ids"))
-    n_orphans = orphans.groupBy("link", "side").agg(F.count(F.lit(1)).alias("n_orphans"))
+        for n, df in nodes.items() if n in used])
+        .groupBy("node", "id").agg(F.count(F.lit(1)).alias("n")))
+
+    marked = ends.alias("e").join(
+        ids.select("node", "id", F.lit(True).alias("found")).alias("n"),
+        (F.col("e.node") == F.col("n.node")) & F.col("e.id").eqNullSafe(F.col("n.id")), "left")
+    per_end = marked.groupBy("e.link", "e.side").agg(
+        F.sum("e.n").alias("n_links"), F.count(F.lit(1)).alias("n_ids"),
+        F.count(F.when(F.col("found").isNull(), F.lit(1))).alias("n_orphans"))
+    per_node = ids.groupBy("node").agg(F.sum("n").alias("n_nodes"))
 
-    out = (checks
-           .join(_count_per(links, "link", "n_links"), "link", "left")
-           .join(_count_per({n: nodes[n] for n in {w[2] for w in wanted}}, "node", "n_nodes"),
-                 "node", "left")
-           .join(n_ids, ["link", "side"], "left")
-           .join(n_orphans, ["link", "side"], "left"))
+    out = checks.join(per_end, ["link", "side"], "left").join(per_node, "node", "left")
     return out.select(
         "link", "side", "node",
         *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)

@@ -115,16 +115,23 @@ def canon_url(parsed: DataFrame) -> DataFrame:
     return with_url_features(url_rows(parsed))
 
 
-def canon_email(parsed: DataFrame) -> DataFrame:
-    """One row per address of the author and maintainer email fields."""
+def person_rows(parsed: DataFrame) -> DataFrame:
+    """(pkg_name, role, person_name, email_record) per role with an email text."""
     roles = F.array(*[F.struct(F.lit(r).alias("role"), _info(r).alias("person"),
                                _info(f"{r}_email").alias("pe")) for r in ROLES])
     r = (parsed.select(F.col("name").alias("pkg_name"), F.explode(roles).alias("r"))
                .where(F.col("r.pe").isNotNull())
                .select("pkg_name", F.col("r.role").alias("role"),
                        person_and_email("r.person", "r.pe").alias("p")))
-    e = r.select("pkg_name", "role", "p.person_name", "p.email_record",
-                 F.explode(F.split(F.col("p.email_record"), ",", -1)).alias("email"))
+    return r.select("pkg_name", "role", "p.person_name", "p.email_record")
+
+
+def canon_email(parsed: DataFrame) -> DataFrame:
+    """One row per address of the author and maintainer email fields
+    (split on ',' without trimming)."""
+    e = person_rows(parsed).select(
+        "pkg_name", "role", "person_name", "email_record",
+        F.explode(F.split(F.col("email_record"), ",", -1)).alias("email"))
     d = e.withColumn("domain", after_last("email", "@"))
     return d.select("pkg_name", "person_name", "email_record", "email", "domain",
                     top_level_domain("domain").alias("top_level_domain"), "role")
