@@ -19,12 +19,11 @@ from pyspark.sql import functions as F
 
 from propgraph import build_graph, package_registry_spec
 from propgraph.functions import key_id, not_both_blank, url_features
-from propgraph.operators import (check_graph, distinct_on, edge_type_summary, expect_nonempty,
-                                 extract_link, extract_node, graph_catalog, population,
-                                 table_counts)
+from propgraph.operators import (distinct_on, edge_type_summary, expect_nonempty, extract_link,
+                                 extract_node, graph_catalog, population, table_counts)
 from propgraph.oracle import oracle_queries
 from propgraph.plans import canon as C
-from propgraph.plans.graph import group_graph
+from propgraph.plans.graph import GraphView
 from propgraph.session import scratch_path
 from propgraph.sources import Fixtures, parse_raw, publish, scan_raw
 
@@ -49,10 +48,11 @@ def _raw_graph(spark: SparkSession, sf: str, **kw):
     return build_graph(raw=_fx(spark, sf).raw(), validate=kw.pop("validate", "raise"), **kw)
 
 
-def _fixture_graph(spark: SparkSession, sf: str):
-    # Fixture emails name packages beyond the package table at sf0.001, so
-    # orphans are reported, not raised (the check keys show them).
-    return build_graph(canon=_fx(spark, sf).canonical(), validate="report", materialize=None)
+def _view(spark: SparkSession, sf: str, spec=None) -> GraphView:
+    # Lazy: only the tables a key needs are planned. Fixture emails name
+    # packages beyond the package table at sf0.001, so the check keys report
+    # orphans instead of raising.
+    return GraphView(_fx(spark, sf).canonical(), spec)
 
 
 def _attrs_text(df: DataFrame, cols: list[str]) -> F.Column:
@@ -81,8 +81,10 @@ def q_write_layers(spark, sf):
 
 
 def q_publish(spark, sf):
-    g = _fixture_graph(spark, sf)
-    published = publish(g.final_tables(), database="propgraph_graph",
+    v = _view(spark, sf)
+    final = {**{f"node_{n}": df for n, df in v.nodes().items()},
+             **{f"link_{n}": df for n, df in v.links().items()}}
+    published = publish(final, database="propgraph_graph",
                         location=scratch_path(spark, "warehouse"))
     return table_counts(published)
 
@@ -133,58 +135,55 @@ def _link_query(name: str):
 
 # ----------------------------------------------------------------- grouping
 def q_node_population(spark, sf):
-    g = _fixture_graph(spark, sf)
-    return _union([population([g.sub_nodes[c] for c in s.children], ["node_id"])
+    v = _view(spark, sf)
+    return _union([population([v.sub_node(c) for c in s.children], ["node_id"])
                    .select(F.lit(name).alias("group"), "node_id")
-                   for name, s in g.spec.all_node_groups().items()])
+                   for name, s in v.spec.all_node_groups().items()])
 
 
 def q_link_population(spark, sf):
-    g = _fixture_graph(spark, sf)
-    return _union([population([g.sub_links[c] for c in s.children], ["from_id", "to_id"])
+    v = _view(spark, sf)
+    return _union([population([v.sub_link(c) for c in s.children], ["from_id", "to_id"])
                    .select(F.lit(name).alias("group"), "from_id", "to_id")
-                   for name, s in g.spec.all_link_groups().items()])
+                   for name, s in v.spec.all_link_groups().items()])
 
 
 def q_group_nodes(spark, sf):
-    g = _fixture_graph(spark, sf)
-    return _union([df.select(F.lit(f"node_{n}").alias("table"), "node_id") for n, df in g.nodes.items()])
+    v = _view(spark, sf)
+    return _union([df.select(F.lit(f"node_{n}").alias("table"), "node_id")
+                   for n, df in v.nodes().items()])
 
 
 def q_group_links(spark, sf):
-    g = _fixture_graph(spark, sf)
+    v = _view(spark, sf)
     return _union([df.select(F.lit(f"link_{n}").alias("table"), "link_id", "from_id", "to_id")
-                   for n, df in g.links.items()])
+                   for n, df in v.links().items()])
 
 
 def _final(kind: str, name: str):
     def q(spark, sf):
-        g = _fixture_graph(spark, sf)
-        return (g.nodes if kind == "node" else g.links)[name]
+        v = _view(spark, sf)
+        return v.node(name) if kind == "node" else v.link(name)
     return q
 
 
 def q_passthrough_nodes(spark, sf):
-    g = _fixture_graph(spark, sf)
-    grouped = set(g.spec.node_groups)
-    return _union([df.select(F.lit(f"node_{n}").alias("table"), "node_id",
-                             _attrs_text(df, df.columns[1:]).alias("attrs"))
-                   for n, df in g.nodes.items() if n not in grouped])
+    v = _view(spark, sf)
+    return _union([v.node(n).select(F.lit(f"node_{n}").alias("table"), "node_id",
+                                    _attrs_text(v.node(n), v.node(n).columns[1:]).alias("attrs"))
+                   for n in v.spec.all_node_groups() if n not in v.spec.node_groups])
 
 
 def q_passthrough_links(spark, sf):
-    g = _fixture_graph(spark, sf)
-    grouped = set(g.spec.link_groups)
-    return _union([df.select(F.lit(f"link_{n}").alias("table"), "link_id", "from_id", "to_id",
-                             _attrs_text(df, df.columns[3:]).alias("attrs"))
-                   for n, df in g.links.items() if n not in grouped])
+    v = _view(spark, sf)
+    return _union([v.link(n).select(F.lit(f"link_{n}").alias("table"), "link_id", "from_id",
+                                    "to_id", _attrs_text(v.link(n), v.link(n).columns[3:]).alias("attrs"))
+                   for n in v.spec.all_link_groups() if n not in v.spec.link_groups])
 
 
 def q_group_override(spark, sf):
-    g = _fixture_graph(spark, sf)
-    spec = g.spec.with_group_children("node", "maintainer", "author")
-    nodes, _ = group_graph(g.sub_nodes, g.sub_links, spec)
-    return nodes["person"]
+    spec = package_registry_spec().with_group_children("node", "maintainer", "author")
+    return _view(spark, sf, spec).node("person")
 
 
 def q_build_graph(spark, sf):
@@ -213,20 +212,19 @@ def q_not_both_blank(spark, sf):
 # ----------------------------------------------------------------- checks / metadata
 def _check(side: str | None):
     def q(spark, sf):
-        g = _fixture_graph(spark, sf)
-        c = check_graph(g.sub_nodes, g.sub_links, g.spec.subgraphs)
+        c = _view(spark, sf).check()
         return c.where(F.col("side") == side) if side else c
     return q
 
 
 def q_edge_type_summary(spark, sf):
-    g = _fixture_graph(spark, sf)
-    return edge_type_summary(g.links, g.spec.triplets())
+    v = _view(spark, sf)
+    return edge_type_summary(v.links(), v.spec.triplets())
 
 
 def q_graph_catalog(spark, sf):
-    g = _fixture_graph(spark, sf)
-    return graph_catalog(g.nodes, g.links, g.spec.triplets())
+    v = _view(spark, sf)
+    return graph_catalog(v.nodes(), v.links(), v.spec.triplets())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

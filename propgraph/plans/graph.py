@@ -73,21 +73,71 @@ def extract_subgraph(canon: dict[str, DataFrame], spec: GraphSpec
     return nodes, links
 
 
+class GraphView:
+    """Lazy, memoized single tables of the graph over canonical tables.
+
+    Nothing is planned until a table is asked for, so a caller that needs one
+    final table builds only its children (no 46-plan analysis up front).
+    ``overrides`` replaces subgraph tables by name before grouping (e.g. a
+    resolved version of one child).
+    """
+
+    def __init__(self, canon: dict[str, DataFrame], spec: GraphSpec | None = None,
+                 overrides: dict[str, DataFrame] | None = None):
+        self.canon = canon
+        self.spec = spec or package_registry_spec()
+        self.overrides = dict(overrides or {})
+        self._memo: dict[tuple[str, str], DataFrame] = {}
+
+    def _get(self, kind: str, name: str, build) -> DataFrame:
+        if (kind, name) not in self._memo:
+            self._memo[(kind, name)] = build()
+        return self._memo[(kind, name)]
+
+    def sub_node(self, name: str) -> DataFrame:
+        if name in self.overrides:
+            return self.overrides[name]
+        s = self.spec.nodes[name]
+        return self._get("sub_node", name, lambda: extract_node(self.canon[s.source], s))
+
+    def sub_link(self, name: str) -> DataFrame:
+        if name in self.overrides:
+            return self.overrides[name]
+        s = self.spec.links[name]
+        return self._get("sub_link", name, lambda: extract_link(self.canon[s.source], s))
+
+    def node(self, group: str) -> DataFrame:
+        g = self.spec.all_node_groups()[group]
+        return self._get("node", group, lambda: group_nodes(
+            [self.sub_node(c) for c in g.children], g.select, g.distinct))
+
+    def link(self, group: str) -> DataFrame:
+        g = self.spec.all_link_groups()[group]
+        return self._get("link", group, lambda: group_links(
+            [self.sub_link(c) for c in g.children], g.select, g.distinct))
+
+    def sub_nodes(self) -> dict[str, DataFrame]:
+        return {n: self.sub_node(n) for n in self.spec.nodes}
+
+    def sub_links(self) -> dict[str, DataFrame]:
+        return {n: self.sub_link(n) for n in self.spec.links}
+
+    def nodes(self) -> dict[str, DataFrame]:
+        return {g: self.node(g) for g in self.spec.all_node_groups()}
+
+    def links(self) -> dict[str, DataFrame]:
+        return {g: self.link(g) for g in self.spec.all_link_groups()}
+
+    def check(self) -> DataFrame:
+        return check_graph(self.sub_nodes(), self.sub_links(), self.spec.subgraphs)
+
+
 def group_graph(sub_nodes: dict[str, DataFrame], sub_links: dict[str, DataFrame],
                 spec: GraphSpec, overrides: dict[str, DataFrame] | None = None
                 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Final tables. ``overrides`` replaces subgraph tables by name before
-    grouping (e.g. a resolved version of one child)."""
-    overrides = overrides or {}
-
-    def pick(tables: dict[str, DataFrame], name: str) -> DataFrame:
-        return overrides.get(name, tables.get(name))
-
-    nodes = {g: group_nodes([pick(sub_nodes, c) for c in s.children], s.select, s.distinct)
-             for g, s in spec.all_node_groups().items()}
-    links = {g: group_links([pick(sub_links, c) for c in s.children], s.select, s.distinct)
-             for g, s in spec.all_link_groups().items()}
-    return nodes, links
+    """All final tables from given subgraph tables."""
+    view = GraphView({}, spec, {**sub_nodes, **sub_links, **(overrides or {})})
+    return view.nodes(), view.links()
 
 
 def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None = None,
