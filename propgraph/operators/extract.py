@@ -16,6 +16,13 @@ def extract_node(src: DataFrame, spec: NodeSpec) -> DataFrame:
     """``node_id`` plus attributes, one row per distinct natural key."""
     df = src.where(spec.where()) if spec.where is not None else src
     kcols = [f"_k{i}" for i in range(len(spec.keys))]
+    if all(isinstance(a[1], str) and a[1] in spec.keys for a in spec.attrs):
+        # Attributes are key columns: the kept row is fixed by the key, so a
+        # plain distinct (hash aggregate) does it.
+        pos = dict(zip(spec.keys, kcols))
+        keys = df.select(*[F.col(k).alias(kc) for k, kc in zip(spec.keys, kcols)]).distinct()
+        return keys.select(key_id(*kcols).alias("node_id"),
+                           *[F.col(pos[a[1]]).alias(a[0]) for a in spec.attrs])
     df = df.select(*[F.col(k).alias(kc) for k, kc in zip(spec.keys, kcols)],
                    *[attr_column(a) for a in spec.attrs])
     df = distinct_on(df, kcols)

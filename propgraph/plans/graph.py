@@ -106,13 +106,30 @@ class GraphView:
         s = self.spec.links[name]
         return self._get("sub_link", name, lambda: extract_link(self.canon[s.source], s))
 
+    def _ids_unique(self, kind: str, name: str) -> bool:
+        """True when the spec proves one row per id already: a single-column
+        key (md5 is injective, NULL -> 'null'), or for a link a distinct key
+        made of one source and one target column. Composite person keys are
+        not: NULL and '' parts share an id."""
+        if name in self.overrides:
+            return False
+        if kind == "node":
+            return len(self.spec.nodes[name].keys) == 1
+        s = self.spec.links[name]
+        return (len(s.src_key) == 1 and len(s.dst_key) == 1 and s.src_key != s.dst_key
+                and set(s.keys) == set(s.src_key + s.dst_key))
+
     def node(self, group: str) -> DataFrame:
         g = self.spec.all_node_groups()[group]
+        if g.select is None and self._ids_unique("node", g.children[0]):
+            return self.sub_node(g.children[0])      # pass-through, no shuffle needed
         return self._get("node", group, lambda: group_nodes(
             [self.sub_node(c) for c in g.children], g.select, g.distinct))
 
     def link(self, group: str) -> DataFrame:
         g = self.spec.all_link_groups()[group]
+        if g.select is None and self._ids_unique("link", g.children[0]):
+            return self.sub_link(g.children[0])
         return self._get("link", group, lambda: group_links(
             [self.sub_link(c) for c in g.children], g.select, g.distinct))
 
@@ -136,10 +153,21 @@ def group_graph(sub_nodes: dict[str, DataFrame], sub_links: dict[str, DataFrame]
                 spec: GraphSpec, overrides: dict[str, DataFrame] | None = None
                 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """All final tables from given subgraph tables."""
-    view = GraphView({}, spec, {**sub_nodes, **sub_links, **(overrides or {})})
+    view = _SubgraphView(sub_nodes, sub_links, spec, overrides)
     return view.nodes(), view.links()
 
 
+class _SubgraphView(GraphView):
+    """A GraphView over already extracted subgraph tables."""
+
+    def __init__(self, sub_nodes: dict[str, DataFrame], sub_links: dict[str, DataFrame],
+                 spec: GraphSpec, overrides: dict[str, DataFrame] | None = None):
+        super().__init__({}, spec, overrides)
+        self._given = {("sub_node", n): df for n, df in sub_nodes.items()}
+        self._given.update({("sub_link", n): df for n, df in sub_links.items()})
+        self._memo.update(self._given)
+
+
 def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None = None,
                 spec: GraphSpec | None = None, layer_root: str | None = None,
                 validate: str = "raise", keyword_threshold: int = KEYWORD_MIN_COUNT,
