@@ -217,7 +217,11 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
     g = Graph(canon, sub_nodes, sub_links, check, nodes, links, spec)
     g.cached = tuple(cached)
     if materialize == "write":
-        final = write_layer(g.final_tables("_final"), f"{layer_root}/graph")
-        g.nodes = {n: final[f"node_{n}_final"] for n in nodes}
-        g.links = {n: final[f"link_{n}_final"] for n in links}
+        # Pass-through tables that needed no dedup are the subgraph files
+        # already; only merged or deduped tables are written again.
+        given = {id(df) for df in (*sub_nodes.values(), *sub_links.values())}
+        new = {k: df for k, df in g.final_tables("_final").items() if id(df) not in given}
+        final = write_layer(new, f"{layer_root}/graph")
+        g.nodes = {n: final.get(f"node_{n}_final", df) for n, df in nodes.items()}
+        g.links = {n: final.get(f"link_{n}_final", df) for n, df in links.items()}
     return g
