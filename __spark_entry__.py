@@ -23,9 +23,9 @@ from propgraph.operators import (distinct_on, edge_type_summary, expect_nonempty
                                  extract_node, graph_catalog, population, table_counts)
 from propgraph.oracle import oracle_queries
 from propgraph.plans import canon as C
-from propgraph.plans.graph import GraphView
-from propgraph.session import scratch_path
-from propgraph.sources import Fixtures, parse_raw, publish, scan_raw
+from propgraph.plans.graph import GraphView, SubgraphView
+from propgraph.session import path_exists, scratch_path
+from propgraph.sources import Fixtures, parse_raw, publish, scan_raw, write_layer
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -55,6 +55,27 @@ def _view(spark: SparkSession, sf: str, spec=None) -> GraphView:
     return GraphView(_fx(spark, sf).canonical(), spec)
 
 
+_SUBGRAPH_LAYERS: dict[tuple[str, str], str] = {}
+
+
+def _layered(spark: SparkSession, sf: str, spec=None) -> SubgraphView:
+    """The stages after extraction read the written subgraph layer, as in the
+    pipeline. The fixture's layer is written once per application and scale."""
+    base = package_registry_spec()
+    key = (spark.sparkContext.applicationId, sf)
+    root = _SUBGRAPH_LAYERS.get(key)
+    if root is None or not path_exists(spark, f"{root}/_complete"):
+        root = scratch_path(spark, "fixture-subgraph")
+        v = _view(spark, sf)
+        write_layer({**{f"node/{n}": v.sub_node(n) for n in base.nodes},
+                     **{f"link/{n}": v.sub_link(n) for n in base.links}}, root)
+        spark.createDataFrame([(1,)], "ok int").write.parquet(f"{root}/_complete")
+        _SUBGRAPH_LAYERS[key] = root
+    nodes = {n: spark.read.parquet(f"{root}/node/{n}") for n in base.nodes}
+    links = {n: spark.read.parquet(f"{root}/link/{n}") for n in base.links}
+    return SubgraphView(nodes, links, spec or base)
+
+
 def _attrs_text(df: DataFrame, cols: list[str]) -> F.Column:
     if not cols:
         return F.lit("")
@@ -68,7 +89,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 # ----------------------------------------------------------------- sources / sinks
 def q_scan_raw(spark, sf):
     path = scratch_path(spark, "raw", "latest")
-    _fx(spark, sf).raw().write.mode("overwrite").parquet(path)
+    _fx(spark, sf).raw_snapshot().write.mode("overwrite").parquet(path)
     return scan_raw(spark, path)
 
 
@@ -81,7 +102,7 @@ def q_write_layers(spark, sf):
 
 
 def q_publish(spark, sf):
-    v = _view(spark, sf)
+    v = _layered(spark, sf)
     final = {**{f"node_{n}": df for n, df in v.nodes().items()},
              **{f"link_{n}": df for n, df in v.links().items()}}
     published = publish(final, database="propgraph_graph",
@@ -135,47 +156,47 @@ def _link_query(name: str):
 
 # ----------------------------------------------------------------- grouping
 def q_node_population(spark, sf):
-    v = _view(spark, sf)
+    v = _layered(spark, sf)
     return _union([population([v.sub_node(c) for c in s.children], ["node_id"])
                    .select(F.lit(name).alias("group"), "node_id")
                    for name, s in v.spec.all_node_groups().items()])
 
 
 def q_link_population(spark, sf):
-    v = _view(spark, sf)
+    v = _layered(spark, sf)
     return _union([population([v.sub_link(c) for c in s.children], ["from_id", "to_id"])
                    .select(F.lit(name).alias("group"), "from_id", "to_id")
                    for name, s in v.spec.all_link_groups().items()])
 
 
 def q_group_nodes(spark, sf):
-    v = _view(spark, sf)
+    v = _layered(spark, sf)
     return _union([df.select(F.lit(f"node_{n}").alias("table"), "node_id")
                    for n, df in v.nodes().items()])
 
 
 def q_group_links(spark, sf):
-    v = _view(spark, sf)
+    v = _layered(spark, sf)
     return _union([df.select(F.lit(f"link_{n}").alias("table"), "link_id", "from_id", "to_id")
                    for n, df in v.links().items()])
 
 
 def _final(kind: str, name: str):
     def q(spark, sf):
-        v = _view(spark, sf)
+        v = _layered(spark, sf)
         return v.node(name) if kind == "node" else v.link(name)
     return q
 
 
 def q_passthrough_nodes(spark, sf):
-    v = _view(spark, sf)
+    v = _layered(spark, sf)
     return _union([v.node(n).select(F.lit(f"node_{n}").alias("table"), "node_id",
                                     _attrs_text(v.node(n), v.node(n).columns[1:]).alias("attrs"))
                    for n in v.spec.all_node_groups() if n not in v.spec.node_groups])
 
 
 def q_passthrough_links(spark, sf):
-    v = _view(spark, sf)
+    v = _layered(spark, sf)
     return _union([v.link(n).select(F.lit(f"link_{n}").alias("table"), "link_id", "from_id",
                                     "to_id", _attrs_text(v.link(n), v.link(n).columns[3:]).alias("attrs"))
                    for n in v.spec.all_link_groups() if n not in v.spec.link_groups])
@@ -183,7 +204,7 @@ def q_passthrough_links(spark, sf):
 
 def q_group_override(spark, sf):
     spec = package_registry_spec().with_group_children("node", "maintainer", "author")
-    return _view(spark, sf, spec).node("person")
+    return _layered(spark, sf, spec).node("person")
 
 
 def q_build_graph(spark, sf):
@@ -212,18 +233,18 @@ def q_not_both_blank(spark, sf):
 # ----------------------------------------------------------------- checks / metadata
 def _check(side: str | None):
     def q(spark, sf):
-        c = _view(spark, sf).check()
+        c = _layered(spark, sf).check()
         return c.where(F.col("side") == side) if side else c
     return q
 
 
 def q_edge_type_summary(spark, sf):
-    v = _view(spark, sf)
+    v = _layered(spark, sf)
     return edge_type_summary(v.links(), v.spec.triplets())
 
 
 def q_graph_catalog(spark, sf):
-    v = _view(spark, sf)
+    v = _layered(spark, sf)
     return graph_catalog(v.nodes(), v.links(), v.spec.triplets())
 
 

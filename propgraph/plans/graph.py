@@ -153,11 +153,11 @@ def group_graph(sub_nodes: dict[str, DataFrame], sub_links: dict[str, DataFrame]
                 spec: GraphSpec, overrides: dict[str, DataFrame] | None = None
                 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """All final tables from given subgraph tables."""
-    view = _SubgraphView(sub_nodes, sub_links, spec, overrides)
+    view = SubgraphView(sub_nodes, sub_links, spec, overrides)
     return view.nodes(), view.links()
 
 
-class _SubgraphView(GraphView):
+class SubgraphView(GraphView):
     """A GraphView over already extracted subgraph tables."""
 
     def __init__(self, sub_nodes: dict[str, DataFrame], sub_links: dict[str, DataFrame],

@@ -56,6 +56,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "propgraph-" + uuid.uuid4().hex[:12], *parts])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

@@ -143,11 +143,31 @@ class Fixtures:
     def canonical(self) -> dict[str, DataFrame]:
         return {n: self.table(n) for n in CANONICAL}
 
-    def raw(self) -> DataFrame:
+    def raw_snapshot(self) -> DataFrame:
         """The raw snapshot (ord, name, latest JSON) built from the views."""
         from .raw import raw_snapshot
         return raw_snapshot(self.table("raw_fields"), self.table("raw_requires"))
 
+    def raw(self) -> DataFrame:
+        """The raw snapshot as the pipeline meets it: a parquet input file.
+
+        Synthesized once per Spark application and scale, written under the
+        shared checkpoint folder, then read with ``scan_raw``.
+        """
+        from ..session import path_exists, scratch_path
+        from .raw import scan_raw
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        path = _RAW_FILES.get(key)
+        if path is None or not path_exists(self.spark, path):
+            path = scratch_path(self.spark, "raw", "latest")
+            self.raw_snapshot().write.mode("overwrite").parquet(path)
+            _RAW_FILES[key] = path
+        return scan_raw(self.spark, path)
+
+
+_RAW_FILES: dict[tuple[str, str], str] = {}
+
+
 
 def duckdb_ctes(names: list[str]) -> list[tuple[str, str]]:
     """(name, SQL) for the views ``names`` need, dependencies first."""
