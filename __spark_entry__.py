@@ -17,7 +17,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph import build_graph, package_registry_spec
+from propgraph import GroupSpec, build_graph, package_registry_spec
+from propgraph.plans.spec import has_email_select
 from propgraph.functions import key_id, not_both_blank, url_features
 from propgraph.operators import (distinct_on, edge_type_summary, expect_nonempty, extract_link,
                                  extract_node, graph_catalog, population, table_counts)
@@ -31,8 +32,12 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Raw snapshot -> canonical -> subgraph (checked) -> final graph."""
-    return _raw_graph(spark, SMOKE_DIR).counts()
+    """Raw snapshot -> canonical -> subgraph (checked) -> final graph.
+
+    Reported, not raised: at sf0.001 no keyword reaches 300 occurrences, so
+    the keyword table is empty, which stops a raising run by design.
+    """
+    return _raw_graph(spark, SMOKE_DIR, validate="report").counts()
 
 
 # ----------------------------------------------------------------- helpers
@@ -207,6 +212,16 @@ def q_group_override(spark, sf):
     return _layered(spark, sf, spec).node("person")
 
 
+def q_group_has_email_coalesce(spark, sf):
+    """has_email with the first non-NULL child link_id (the parity form keeps
+    the author child's only)."""
+    spec = package_registry_spec()
+    g = spec.link_groups["has_email"]
+    spec.link_groups["has_email"] = GroupSpec(g.children, has_email_select(parity=False),
+                                              g.distinct)
+    return _layered(spark, sf, spec).link("has_email")
+
+
 def q_build_graph(spark, sf):
     return _raw_graph(spark, sf).counts()
 
@@ -278,6 +293,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "group_person": _final("node", "person"),
         "group_domain": _final("node", "domain"),
         "group_has_email": _final("link", "has_email"),
+        "group_has_email_coalesce": q_group_has_email_coalesce,
         "passthrough_nodes": q_passthrough_nodes,
         "passthrough_links": q_passthrough_links,
         "group_override": q_group_override,

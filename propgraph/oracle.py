@@ -451,6 +451,11 @@ def oracle_queries() -> dict[str, str]:
     q["group_person"] = o.sql("SELECT * FROM fn_person", ["fn_person"])
     q["group_domain"] = o.sql("SELECT * FROM fn_domain", ["fn_domain"])
     q["group_has_email"] = o.sql("SELECT * FROM fl_has_email", ["fl_has_email"])
+    ch, _, distinct = LINK_GROUPS["has_email"]
+    q["group_has_email_coalesce"] = o.sql(group_sql(
+        [f"l_{c}" for c in ch], [LINK_COLS[c] for c in ch], ["from_id", "to_id"],
+        [("link_id", "coalesce(t1.link_id, t2.link_id)"), ("from_id", "t0.from_id"),
+         ("to_id", "t0.to_id")], distinct), [f"l_{c}" for c in ch])
     q["passthrough_nodes"] = o.sql("\nUNION ALL\n".join(
         f"SELECT 'node_{n}' AS \"table\", node_id, {_attrs_text(NODE_COLS[n][1:])} AS attrs FROM fn_{n}"
         for n in PASS_NODES), [f"fn_{n}" for n in PASS_NODES])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from ..operators.checks import assert_valid, check_graph
 from ..operators.extract import extract_link, extract_node
 from ..operators.group import group_links, group_nodes
-from ..operators.profile import table_counts
+from ..operators.profile import assert_nonempty, expect_nonempty, table_counts
 from ..sources.layers import write_layer
 from ..session import scratch_path
 from ..sources.raw import parse_raw
@@ -175,8 +175,8 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
                 overrides: dict[str, DataFrame] | None = None) -> Graph:
     """Build the property graph from a raw snapshot or from canonical tables.
 
-    validate: 'raise' stops on any link end missing from its node table,
-    'report' only returns the check table.
+    validate: 'raise' stops on an empty canonical table or on any link end
+    missing from its node table; 'report' only returns the check table.
     """
     spec = spec or package_registry_spec()
     if materialize not in ("write", "persist", None):
@@ -201,6 +201,8 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
         elif materialize == "persist":
             canon = _persist(canon, materialize)
             cached.append(parsed)
+    if validate == "raise":
+        assert_nonempty(expect_nonempty(canon))
     sub_nodes, sub_links = extract_subgraph(canon, spec)
     if materialize == "write":
         sub = write_layer({**{f"node/{n}": df for n, df in sub_nodes.items()},

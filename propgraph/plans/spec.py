@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 from ..functions import not_blank, not_both_blank
 from ..functions.predicates import equals
 
+# --- fixed values -----------------------------------------------------------
+UNKNOWN = "UNKNOWN"                                # placeholder text in registry fields
+NON_LICENSES = ("UNKNOWN", "LICENSE.txt")          # license texts that are no license
+# -----------------------------------------------------------------------------
+
 ColumnFn = Callable[[], Column]
 # An attribute is (output name, source column name or a Column builder).
 Attr = tuple[str, "str | ColumnFn"]
@@ -146,11 +151,11 @@ def _role(role: str) -> ColumnFn:
 
 
 def _url_ok() -> Column:
-    return not_blank("url", "UNKNOWN")
+    return not_blank("url", UNKNOWN)
 
 
 def _license_ok() -> Column:
-    return not_blank("license", "UNKNOWN", "LICENSE.txt")
+    return not_blank("license", *NON_LICENSES)
 
 
 PERSON_KEY = ("person_name", "email_record")
@@ -183,7 +188,7 @@ def package_registry_spec() -> GraphSpec:
                  lambda: not_blank("domain")),
         NodeSpec("url_domain", "latest_url", ("domain",),
                  (("domain", "domain"), ("top_level_domain", "top_level_domain")),
-                 lambda: not_blank("domain", "UNKNOWN")),
+                 lambda: not_blank("domain", UNKNOWN)),
         NodeSpec("github_repo", "latest_url", ("github_repo",), (("github_repo", "github_repo"),),
                  lambda: not_blank("github_repo")),
         NodeSpec("github_account", "latest_url", ("github_account",),
@@ -219,7 +224,7 @@ def package_registry_spec() -> GraphSpec:
         # url '' is not excluded here (unlike the url node): kept as specified.
         LinkSpec("url_hosted_by", "latest_url", ("url", "domain"), ("url",), ("domain",),
                  where=lambda: F.col("url").isNotNull()
-                 & ~F.coalesce(F.col("url") == "UNKNOWN", F.lit(False)) & not_blank("domain")),
+                 & ~F.coalesce(F.col("url") == UNKNOWN, F.lit(False)) & not_blank("domain")),
         LinkSpec("email_hosted_by", "latest_email", ("email", "domain"), ("email",), ("domain",),
                  where=lambda: not_blank("email_record") & not_blank("email") & not_blank("domain")),
     ]
