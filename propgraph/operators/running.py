@@ -42,7 +42,8 @@ def drop_first_occurrences(df: DataFrame, key: str, order: Sequence[str], k: int
     ``order`` must be unique per row. Exact and skew-proof:
 
     1. range-partition rows on ``order`` into buckets and tag each row with its
-       bucket; checkpoint, so a recomputed task cannot move a row;
+       bucket; write the tagged rows to the shared folder, so a recomputed
+       task cannot move a row;
     2. count rows per (key, bucket) with map-side combine;
     3. prefix-sum those counts per key over buckets (a key has at most
        ``n_buckets`` rows there);

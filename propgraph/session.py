@@ -63,6 +63,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage with a parquet table in the shared checkpoint folder.
+
+    Survives executor loss, and fixes values that a recomputation could
+    change (e.g. partition-id tags); columnar and compressed, unlike an RDD
+    checkpoint of serialized rows.
+    """
+    path = scratch_path(df.sparkSession, "checkpoint")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
