@@ -31,3 +31,9 @@ def key_text(*cols: ColumnOrName) -> Column:
 def key_id(*cols: ColumnOrName) -> Column:
     """Id of a natural key; never NULL."""
     return F.coalesce(F.md5(key_text(*cols)), F.lit("null"))
+
+
+def to_int(c: ColumnOrName) -> Column:
+    """A count as INT the way SQL engines cast a double: round half to even,
+    NULL when it does not fit (``3.0`` -> 3, ``2.5`` -> 2)."""
+    return F.bround(_col(c)).try_cast("int")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (clean_keyword, github_parts, keyword_tokens, person_and_email,
+from ..functions import (clean_keyword, to_int, github_parts, keyword_tokens, person_and_email,
                          strip_chars, top_level_domain, url_features)
 from ..functions.text import after_last
 from ..operators.running import drop_first_occurrences, null_first_occurrence
@@ -39,8 +39,8 @@ def parsed_fields(parsed: DataFrame) -> DataFrame:
     return parsed.select(
         "ord", "name", _info("name").alias("info_name"), _info("package_url").alias("package_url"),
         _info("requires_python").alias("requires_python"), _info("version").alias("version"),
-        F.col("j.num_releases").try_cast("int").alias("num_releases"),
-        F.col("j.num_info_dependencies").try_cast("int").alias("num_info_dependencies"),
+        to_int("j.num_releases").alias("num_releases"),
+        to_int("j.num_info_dependencies").alias("num_info_dependencies"),
         _info("license").alias("license"), _info("home_page").alias("home_page"),
         _info("docs_url").alias("docs_url"), pu.getItem("Source").alias("pu_source"),
         _info("author").alias("author"), _info("author_email").alias("author_email"),
@@ -54,8 +54,8 @@ def canon_package(parsed: DataFrame, keep_ord: bool = False) -> DataFrame:
     cols = [F.col("name").alias("pkg_name"), _info("name").alias("name"),
             _info("package_url").alias("package_url"),
             _info("requires_python").alias("requires_python"), _info("version").alias("version"),
-            F.col("j.num_releases").try_cast("int").alias("num_releases"),
-            F.col("j.num_info_dependencies").try_cast("int").alias("num_requires_dist"),
+            to_int("j.num_releases").alias("num_releases"),
+            to_int("j.num_info_dependencies").alias("num_requires_dist"),
             _info("license").alias("license")]
     return parsed.select(*cols, *(["ord"] if keep_ord else []))
 

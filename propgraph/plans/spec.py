@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions import not_blank, not_both_blank
+from ..functions import not_blank, not_both_blank, to_int
 from ..functions.predicates import equals
 
 # --- fixed values -----------------------------------------------------------
@@ -167,7 +167,7 @@ def package_registry_spec() -> GraphSpec:
         NodeSpec("package", "latest_package", ("pkg_name",),
                  (("name", "name"), ("package_url", "package_url"),
                   ("requires_python", "requires_python"), ("version", "version"),
-                  ("num_releases", lambda: F.col("num_releases").try_cast("int")))),
+                  ("num_releases", lambda: to_int("num_releases")))),
         NodeSpec("requirement", "latest_requirement", ("required_pkg_name",),
                  (("name", "required_pkg_name"),)),
         NodeSpec("author", "latest_email", PERSON_KEY,
@@ -197,7 +197,7 @@ def package_registry_spec() -> GraphSpec:
     links = [
         LinkSpec("has_requirement", "latest_requirement", ("pkg_name", "required_pkg_name"),
                  ("pkg_name",), ("required_pkg_name",),
-                 (("num_match_dist", lambda: F.col("num_match_dist").try_cast("int")),
+                 (("num_match_dist", lambda: to_int("num_match_dist")),
                   ("newest_dist", "newest_dist"), ("oldest_dist", "oldest_dist"),
                   ("requirement_string", "requirement_string"))),
         LinkSpec("has_keyword", "latest_keyword", ("pkg_name", "keyword"), ("pkg_name",),

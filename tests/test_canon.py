@@ -47,6 +47,7 @@ def test_numbers_urls_keywords_types(spark):
     parsed = parse_raw(raw)
     pkg = {r.pkg_name: r for r in C.canon_package(parsed).collect()}
     assert pkg["a"].num_releases == 3 and pkg["a"].num_requires_dist == 2
+    assert pkg["b"].num_releases == 4
     urls = sorted((r.pkg_name, r.url_type, r.url) for r in C.canon_url(parsed).collect())
     # a list of project_urls gives no rows; home/docs rows stay, even NULL ones
     assert urls == [("a", "docs_url", None), ("a", "home_page", "https://h.org/p"),
@@ -115,3 +116,10 @@ def test_canonicalize_outputs_five_tables(spark):
                                     "latest_keyword", "latest_email"])
     assert sorted(r.keyword for r in canon["latest_keyword"].collect()) == ["a", "b"]
     assert canon["latest_package"].where(F.col("license").isNull()).count() == 1
+
+
+def test_counts_round_half_even_like_sql_casts(spark):
+    raw = _raw(spark, [(f"p{i}", {"num_releases": x, "info": _info()})
+                       for i, x in enumerate([2.5, 3.5, 3.4, 7, None])])
+    got = [r.num_releases for r in C.canon_package(parse_raw(raw)).orderBy("pkg_name").collect()]
+    assert got == [2, 4, 3, 7, None]
