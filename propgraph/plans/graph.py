@@ -42,6 +42,7 @@ class Graph:
     nodes: dict[str, DataFrame]      # final node tables by group name
     links: dict[str, DataFrame]      # final link tables by group name
     spec: GraphSpec
+    cached: tuple[DataFrame, ...] = ()   # persisted inputs to release (persist mode)
 
     def final_tables(self, suffix: str = "") -> dict[str, DataFrame]:
         out = {f"node_{n}{suffix}": df for n, df in self.nodes.items()}
@@ -57,8 +58,6 @@ class Graph:
                    *self.cached]:
             df.unpersist()
 
-    cached: tuple[DataFrame, ...] = ()
-
 
 def _persist(tables: dict[str, DataFrame], mode: str | None) -> dict[str, DataFrame]:
     if mode == "persist":
