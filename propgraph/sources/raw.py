@@ -55,7 +55,9 @@ def raw_snapshot(raw_fields: DataFrame, raw_requires: DataFrame) -> DataFrame:
 
     ``raw_requires`` has one row per requirement entry with ``kind`` = 'null'
     (NULL entry), 'empty' (no releases) or 'two' (releases rel_a, rel_b).
-    NULL map values are written out (``ignoreNullFields=false``).
+    NULL map values are written out (``ignoreNullFields=false``); entries
+    are sorted by key, so the text is reproducible. One package's entries are
+    one record's map, so the per-package collect is bounded by the record.
     """
     value = F.when(F.col("kind") == "null", F.lit(None)).otherwise(F.struct(
         F.when(F.col("kind") == "two", F.array("rel_a", "rel_b"))
@@ -63,8 +65,8 @@ def raw_snapshot(raw_fields: DataFrame, raw_requires: DataFrame) -> DataFrame:
         F.col("requirement").alias("requirement")))
     requires = (raw_requires
                 .groupBy("name")
-                .agg(F.map_from_entries(F.collect_list(
-                    F.struct(F.col("req_name"), value))).alias("requires")))
+                .agg(F.map_from_entries(F.array_sort(F.collect_list(
+                    F.struct(F.col("req_name"), value)))).alias("requires")))
     f = raw_fields.join(requires, "name", "left")
     project_urls = F.when(F.col("pu_source").isNotNull(), F.create_map(
         F.lit("Source"), F.col("pu_source"), F.lit("None"), F.lit(None).cast("string")))
