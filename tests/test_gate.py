@@ -21,8 +21,17 @@ def test_every_key_has_an_oracle_but_scan_raw():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+# At sf0.001 no keyword reaches 300 occurrences: the canonical keyword table
+# is empty and a raising run stops there, as the source pipeline does.
+STOPS_AT_SMOKE_SCALE = {"build_graph", "write_layers"}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_key_matches_oracle(spark, con, key):
+    if key in STOPS_AT_SMOKE_SCALE:
+        with pytest.raises(AssertionError, match="latest_keyword"):
+            E.queries()[key](spark, SF)
+        return
     r = compare(spark, SF, key, E.queries()[key], E.oracle_sql().get(key), con)
     assert r["status"] in ("match", "rows-only"), r
 
