@@ -111,6 +111,26 @@ SELECT pkg_name, keyword FROM (
   SELECT pkg_name, keyword, row_number() OVER (PARTITION BY keyword ORDER BY ord, pos) AS rn FROM c_kwtok) a
 WHERE rn > 300""", ("c_kwtok",))
 
+# The raw snapshot as JSON text, byte for byte what the Spark side writes:
+# same key order, NULL fields kept, requires entries sorted by key.
+CANON["raw_latest"] = ("""
+SELECT f.ord, f.name, to_json(struct_pack(
+  num_releases := f.num_releases, num_info_dependencies := f.num_info_dependencies,
+  info := struct_pack(name := f.info_name, package_url := f.package_url,
+    requires_python := f.requires_python, version := f.version, license := f.license,
+    home_page := f.home_page, docs_url := f.docs_url, keywords := f.keywords,
+    author := f.author, author_email := f.author_email, maintainer := f.maintainer,
+    maintainer_email := f.maintainer_email,
+    project_urls := CASE WHEN f.pu_source IS NOT NULL
+                         THEN MAP {'Source': f.pu_source, 'None': CAST(NULL AS VARCHAR)} END),
+  requires := r.requires))::VARCHAR AS latest
+FROM raw_fields f LEFT JOIN (
+  SELECT name, map_from_entries(list(struct_pack(k := req_name, v :=
+      CASE WHEN kind = 'null' THEN NULL ELSE struct_pack(
+        releases := CASE WHEN kind = 'two' THEN [rel_a, rel_b] ELSE CAST([] AS VARCHAR[]) END,
+        requirement := requirement) END) ORDER BY req_name)) AS requires
+  FROM raw_requires GROUP BY name) r ON f.name = r.name""", ("raw_fields", "raw_requires"))
+
 FIXTURE_INPUTS = {"latest_package": "latest_package", "latest_requirement": "latest_requirement",
                   "latest_url": "latest_url", "latest_keyword": "latest_keyword",
                   "latest_email": "latest_email"}
@@ -404,6 +424,7 @@ def catalog_sql(o: Oracle) -> str:
 def oracle_queries() -> dict[str, str]:
     o = Oracle()
     q: dict[str, str] = {}
+    q["scan_raw"] = o.sql("SELECT * FROM raw_latest", ["raw_latest"])
     q["canon_parse"] = o.sql("SELECT * FROM raw_fields", ["raw_fields"])
     q["canon_package"] = o.sql("SELECT * FROM c_package", ["c_package"])
     q["canon_license"] = o.sql("SELECT * FROM c_license", ["c_license"])
