@@ -154,11 +154,17 @@ def keyword_running(tokens: DataFrame, threshold: int = KEYWORD_MIN_COUNT,
 
 
 def canonicalize(parsed: DataFrame, keyword_threshold: int = KEYWORD_MIN_COUNT,
-                 keyword_buckets: int | None = None) -> dict[str, DataFrame]:
+                 keyword_buckets: int | None = None, deferred: bool = False) -> dict:
+    """The five canonical tables. ``deferred``: the keyword table, whose
+    building runs jobs (bucket tagging), is returned as a function, so a
+    layer writer can run it concurrently with the other four."""
+    def keywords() -> DataFrame:
+        return keyword_running(canon_keyword(parsed), keyword_threshold, keyword_buckets)
+
     return {
         "latest_package": canon_license(canon_package(parsed, keep_ord=True)).select(*PACKAGE_COLUMNS),
         "latest_requirement": canon_requirement(parsed),
         "latest_url": canon_url(parsed),
-        "latest_keyword": keyword_running(canon_keyword(parsed), keyword_threshold, keyword_buckets),
+        "latest_keyword": keywords if deferred else keywords(),
         "latest_email": canon_email(parsed),
     }

@@ -193,7 +193,7 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
         parsed = parse_raw(raw, on_malformed)
         if materialize is not None:
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-        canon = canonicalize(parsed, keyword_threshold)
+        canon = canonicalize(parsed, keyword_threshold, deferred=materialize == "write")
         if materialize == "write":
             canon = write_layer(canon, f"{layer_root}/canon")
             parsed.unpersist()

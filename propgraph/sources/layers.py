@@ -9,6 +9,7 @@ scheduler interleaves their tasks instead of running 25 small jobs in a row).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -16,23 +17,31 @@ from pyspark.sql import DataFrame
 MAX_CONCURRENT_JOBS = 8
 
 
-def _run_all(tasks: dict[str, callable]) -> None:
+def _run_all(tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
     if len(tasks) <= 1:
-        for t in tasks.values():
-            t()
-        return
+        return {k: t() for k, t in tasks.items()}
     with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_JOBS, len(tasks))) as pool:
-        for f in [pool.submit(t) for t in tasks.values()]:
-            f.result()
+        futures = {k: pool.submit(t) for k, t in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
 
 
-def write_layer(tables: dict[str, DataFrame], root: str,
+def write_layer(tables: dict[str, DataFrame | Callable[[], DataFrame]], root: str,
                 mode: str = "overwrite") -> dict[str, DataFrame]:
-    """Write each table to ``{root}/{name}`` and return the read-back tables."""
+    """Write each table to ``{root}/{name}`` and return the read-back tables.
+
+    A table may be given as a function building it, for tables whose
+    building itself runs jobs: it then runs concurrently with the others.
+    """
     paths = {name: f"{root.rstrip('/')}/{name}" for name in tables}
-    _run_all({name: (lambda df=df, p=paths[name]: df.write.mode(mode).parquet(p))
-              for name, df in tables.items()})
-    return {name: df.sparkSession.read.parquet(paths[name]) for name, df in tables.items()}
+
+    def task(t, path):
+        def run():
+            df = t() if callable(t) else t
+            df.write.mode(mode).parquet(path)
+            return df.sparkSession.read.parquet(path)
+        return run
+
+    return _run_all({name: task(t, paths[name]) for name, t in tables.items()})
 
 
 def publish(final: dict[str, DataFrame], database: str = "graph",
