@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -57,9 +58,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Whether a parquet table was written at ``path`` (lists it, reads no data)."""
+    try:
+        spark.read.parquet(path)
+        return True
+    except AnalysisException:
+        return False
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
