@@ -26,7 +26,8 @@ from propgraph.oracle import oracle_queries
 from propgraph.plans import canon as C
 from propgraph.plans.graph import GraphView, SubgraphView
 from propgraph.session import path_exists, scratch_path
-from propgraph.sources import Fixtures, parse_raw, publish, scan_raw, write_layer
+from propgraph.sources import (Fixtures, parse_raw, publish, read_graph, scan_raw,
+                               write_layer)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -99,10 +100,12 @@ def q_scan_raw(spark, sf):
 
 
 def q_write_layers(spark, sf):
-    g = _raw_graph(spark, sf, layer_root=scratch_path(spark, "layers"))
+    root = scratch_path(spark, "layers")
+    g = _raw_graph(spark, sf, layer_root=root)
+    final = {f"{t}_final": df for t, df in read_graph(spark, f"{root}/graph").items()}
     return _union([table_counts(g.canon).withColumn("layer", F.lit("canon")),
                    table_counts({**g.sub_nodes, **g.sub_links}).withColumn("layer", F.lit("subgraph")),
-                   table_counts(g.final_tables("_final")).withColumn("layer", F.lit("graph"))]
+                   table_counts(final).withColumn("layer", F.lit("graph"))]
                   ).select("layer", "table", "n_rows")
 
 

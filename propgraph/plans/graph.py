@@ -26,7 +26,7 @@ from ..operators.checks import assert_valid, check_graph
 from ..operators.extract import extract_link, extract_node
 from ..operators.group import group_links, group_nodes
 from ..operators.profile import assert_nonempty, expect_nonempty, table_counts
-from ..sources.layers import write_layer
+from ..sources.layers import write_layer, write_manifest
 from ..session import scratch_path
 from ..sources.raw import parse_raw
 from .canon import KEYWORD_MIN_COUNT, canonicalize
@@ -43,6 +43,7 @@ class Graph:
     links: dict[str, DataFrame]      # final link tables by group name
     spec: GraphSpec
     cached: tuple[DataFrame, ...] = ()   # persisted inputs to release (persist mode)
+    layer_root: str | None = None        # where the layers were written (write mode)
 
     def final_tables(self, suffix: str = "") -> dict[str, DataFrame]:
         out = {f"node_{n}{suffix}": df for n, df in self.nodes.items()}
@@ -225,4 +226,12 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
         final = write_layer(new, f"{layer_root}/graph")
         g.nodes = {n: final.get(f"node_{n}_final", df) for n, df in nodes.items()}
         g.links = {n: final.get(f"link_{n}_final", df) for n, df in links.items()}
+        paths = {f"node_{n}": f"{layer_root}/graph/node_{n}_final" if f"node_{n}_final" in final
+                 else f"{layer_root}/subgraph/node/{spec.all_node_groups()[n].children[0]}"
+                 for n in nodes}
+        paths.update({f"link_{n}": f"{layer_root}/graph/link_{n}_final" if f"link_{n}_final" in final
+                      else f"{layer_root}/subgraph/link/{spec.all_link_groups()[n].children[0]}"
+                      for n in links})
+        write_manifest(some.sparkSession, paths, f"{layer_root}/graph")
+        g.layer_root = layer_root
     return g

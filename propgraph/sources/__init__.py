@@ -2,8 +2,8 @@
 the published catalog."""
 
 from .fixtures import Fixtures
-from .layers import publish, write_layer
+from .layers import publish, read_graph, write_layer, write_manifest
 from .raw import RAW_SCHEMA, parse_raw, raw_snapshot, scan_raw
 
-__all__ = ["Fixtures", "publish", "write_layer", "RAW_SCHEMA", "parse_raw", "raw_snapshot",
+__all__ = ["Fixtures", "publish", "read_graph", "write_layer", "write_manifest", "RAW_SCHEMA", "parse_raw", "raw_snapshot",
            "scan_raw"]

@@ -44,6 +44,22 @@ def write_layer(tables: dict[str, DataFrame | Callable[[], DataFrame]], root: st
     return _run_all({name: task(t, paths[name]) for name, t in tables.items()})
 
 
+MANIFEST = "_tables"
+
+
+def write_manifest(spark, tables: dict[str, str], root: str) -> None:
+    """Record where each table of a layer lives (a small (table, path) table)."""
+    rows = sorted(tables.items())
+    (spark.createDataFrame(rows, "table string, path string").coalesce(1)
+          .write.mode("overwrite").parquet(f"{root.rstrip('/')}/{MANIFEST}"))
+
+
+def read_graph(spark, root: str) -> dict[str, DataFrame]:
+    """The final tables of a graph layer, by name (``node_package``, ...)."""
+    rows = spark.read.parquet(f"{root.rstrip('/')}/{MANIFEST}").collect()   # one row per table
+    return {r.table: spark.read.parquet(r.path) for r in rows}
+
+
 def publish(final: dict[str, DataFrame], database: str = "graph",
             location: str | None = None) -> dict[str, DataFrame]:
     """Save every final table as ``{database}.{name}`` (full overwrite)."""
