@@ -1,8 +1,8 @@
 """Command line: the pipeline's two entry points plus the catalog profile.
 
-  spark-submit -m propgraph build   --raw PATH --layers ROOT [--ord-col ord]
-  spark-submit -m propgraph publish --layers ROOT --database NAME [--location PATH]
-  spark-submit -m propgraph catalog --layers ROOT [--out PATH]
+  spark-submit propgraph_cli.py build   --raw PATH --layers ROOT [--ord-col ord]
+  spark-submit propgraph_cli.py publish --layers ROOT --database NAME [--location PATH]
+  spark-submit propgraph_cli.py catalog --layers ROOT [--out PATH]
 
 (or ``python -m propgraph ...`` for a local session). The session comes from
 the launcher (master, ``spark.checkpoint.dir``, resources); nothing is
