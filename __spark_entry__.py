@@ -11,9 +11,17 @@ from the driver's tables, so every query's work grows with them.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 from functools import reduce
 
+# Importable when loaded by file path from any working directory; executors
+# need nothing from here (every plan is built-in Spark expressions).
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
