@@ -100,7 +100,8 @@ FROM (SELECT *, regexp_extract(email, '[^@]*$') AS domain FROM (
 CANON["c_kwtok"] = (f"""
 SELECT ord, pos, pkg_name, keyword FROM (
   SELECT ord, pos, pkg_name, trim(trim(lower({_strip_ws("tok")}), '[]'), '"') AS keyword FROM (
-    SELECT ord, pkg_name, unnest(toks) AS tok, unnest(generate_series(0, len(toks) - 1)) AS pos FROM (
+    SELECT ord, pkg_name, unnest(toks) AS tok,
+      CAST(unnest(generate_series(0, len(toks) - 1)) AS INTEGER) AS pos FROM (
       SELECT ord, pkg_name, string_split(k, CASE WHEN contains(k, ',') THEN ',' ELSE ' ' END) AS toks
       FROM (SELECT ord, name AS pkg_name, trim(trim(keywords, '[]'), '"') AS k
             FROM raw_fields WHERE keywords IS NOT NULL) a) b) c) d
