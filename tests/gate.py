@@ -1,7 +1,8 @@
 """Spark query vs DuckDB oracle, per key: rows, columns and values.
 
 Usage: python tests/gate.py [sf_dir] [key ...]
-Compares like the driver does: columns sorted by name, rows as a multiset.
+Compares like the driver does: columns sorted by name, rows as a multiset;
+also the column types (Spark type -> DuckDB type name).
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT",
+                 "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return round(v, 6)
@@ -57,6 +62,12 @@ def compare(spark, sf_dir: str, key: str, query, sql: str | None, con) -> dict:
     if sorted(s_cols) != sorted(d_cols):
         out["status"] = f"COLUMNS {sorted(s_cols)} vs {sorted(d_cols)}"
         return out
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    d_types = {n: str(t) for n, t in zip(d_cols, rel.types)}
+    if s_types != d_types:
+        out["status"] = f"TYPES {sorted(set(s_types.items()) ^ set(d_types.items()))}"
+        return out
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
     if a == b:
         out["status"] = "match"
