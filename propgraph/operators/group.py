@@ -39,6 +39,7 @@ def _tag(child: DataFrame, i: int, keys: list[str]) -> DataFrame:
 
 def merge_children(children: Sequence[DataFrame], keys: Sequence[str],
                    select: Callable[[], list[Column]], distinct: bool = True) -> DataFrame:
+    """Keys are ids, never NULL (``key_id``); see the module docstring."""
     keys = list(keys)
     tagged = [_tag(c, i + 1, keys) for i, c in enumerate(children)]
     if distinct:

@@ -67,7 +67,12 @@ def drop_first_occurrences(df: DataFrame, key: str, order: Sequence[str], k: int
                      .where(F.col("_before") + F.col("_n") > k)
                      .drop("_n"))
 
-    rows = tagged.join(decided, on=[key, "_bucket"], how="inner")
+    # NULL is a key like any other for the running count: join NULL-safely
+    # (still an equi-join on (key, bucket) in the plan).
+    d = decided.select(F.col(key).alias("_dkey"), F.col("_bucket").alias("_dbucket"), "_before")
+    rows = (tagged.join(d, tagged[key].eqNullSafe(d["_dkey"]) & (tagged["_bucket"] == d["_dbucket"]),
+                        "inner")
+                  .drop("_dkey", "_dbucket"))
     rank = F.row_number().over(Window.partitionBy(key, "_bucket").orderBy(*order))
     whole = rows.where(F.col("_before") >= k)
     split = (rows.where(F.col("_before") < k).withColumn("_rank", rank)
