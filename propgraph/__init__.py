@@ -5,8 +5,9 @@ Stages (each a DataFrame plan):
   -> referential checks -> merged final tables -> published tables, profiles.
 """
 
-from .plans.graph import Graph, build_graph, extract_subgraph, group_graph
+from .plans.graph import (Graph, GraphView, SubgraphView, build_graph, extract_subgraph,
+                          group_graph)
 from .plans.spec import GraphSpec, GroupSpec, LinkSpec, NodeSpec, package_registry_spec
 
-__all__ = ["Graph", "build_graph", "extract_subgraph", "group_graph", "GraphSpec",
+__all__ = ["Graph", "GraphView", "SubgraphView", "build_graph", "extract_subgraph", "group_graph", "GraphSpec",
            "GroupSpec", "LinkSpec", "NodeSpec", "package_registry_spec"]

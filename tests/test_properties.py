@@ -61,3 +61,42 @@ def test_distinct_on_model_and_idempotent(spark, rows, parts):
     assert got == sorted((v[1] for v in best.values()), key=repr)
     again = distinct_on(distinct_on(df, ["k"]), ["k"])
     assert sorted(map(tuple, again.collect()), key=repr) == got
+
+
+CHILD_ROWS = st.lists(st.tuples(st.sampled_from(["n1", "n1", "n2", "n3"]),
+                                st.one_of(st.none(), st.sampled_from(["", "a", "b"]))),
+                      max_size=12)
+
+
+def _population_left_join(children):
+    keys = sorted({k for rows in children for k, _ in rows})
+    out = []
+    for k in keys:
+        combos = [[]]
+        for rows in children:
+            match = [v for kk, v in rows if kk == k] or [None]
+            combos = [c + [v] for c in combos for v in match]
+        out += [(k, *c) for c in combos]
+    return out
+
+
+@SETTINGS
+@given(a=CHILD_ROWS, b=CHILD_ROWS, parts=st.integers(1, 4))
+def test_merge_children_model(spark, a, b, parts):
+    from pyspark.sql import functions as F
+    from propgraph.operators import merge_children
+    if not a and not b:
+        return
+    dfs = [spark.createDataFrame(rows, "node_id string, v string").repartition(parts)
+           for rows in (a, b)]
+    sel = lambda: ["node_id", F.col("t1.v").alias("v1"), F.col("t2.v").alias("v2")]
+    # multiplicity kept: population LEFT JOIN a LEFT JOIN b
+    got = sorted(map(tuple, merge_children(dfs, ["node_id"], sel, distinct=False).collect()),
+                 key=repr)
+    assert got == sorted(_population_left_join([a, b]), key=repr)
+    # one row per key: each child's smallest row (NULL first), then combined
+    pick = lambda rows, k: min((v for kk, v in rows if kk == k),
+                               key=lambda v: (v is not None, v or ""), default=None)
+    keys = sorted({k for k, _ in a + b})
+    got = sorted(map(tuple, merge_children(dfs, ["node_id"], sel, distinct=True).collect()))
+    assert got == [(k, pick(a, k), pick(b, k)) for k in keys]
