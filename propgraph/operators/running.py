@@ -51,6 +51,8 @@ def drop_first_occurrences(df: DataFrame, key: str, order: Sequence[str], k: int
        whole; only the bucket where the k-th falls is ranked, by a window over
        (key, bucket), whose size is bounded by one bucket.
     """
+    if k <= 0:
+        return df                                   # every running count exceeds k
     order = list(order)
     spark = df.sparkSession
     if n_buckets is None:
