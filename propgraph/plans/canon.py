@@ -1,8 +1,10 @@
 """Canonicalize: decoded registry records -> five flat tables.
 
-Each table is one projection (plus explode) of the decoded records, so the
-JSON is read once per record; the two order-dependent rules (first license
-occurrence, keyword running count) use the explicit ``ord`` column.
+Each table is an explode of per-record entries plus a finish projection. The
+per-table functions do one kind each; ``canonical_rows`` explodes all kinds in
+one pass, so a pipeline writing layers decodes the JSON once and caches
+nothing. The two order-dependent rules (first license occurrence, keyword
+running count) use the explicit ``ord`` column.
 """
 
 from __future__ import annotations
@@ -49,30 +51,37 @@ def parsed_fields(parsed: DataFrame) -> DataFrame:
         _variant_text(_info("keywords")).alias("keywords"))
 
 
-def canon_package(parsed: DataFrame, keep_ord: bool = False) -> DataFrame:
-    """Eight scalar fields per package; license as read (no first-occurrence rule)."""
-    cols = [F.col("name").alias("pkg_name"), _info("name").alias("name"),
-            _info("package_url").alias("package_url"),
-            _info("requires_python").alias("requires_python"), _info("version").alias("version"),
-            to_int("j.num_releases").alias("num_releases"),
-            to_int("j.num_info_dependencies").alias("num_requires_dist"),
-            _info("license").alias("license")]
-    return parsed.select(*cols, *(["ord"] if keep_ord else []))
+# --- one table = per-record entries (array of structs) + a finish projection --
+# The per-table functions explode one kind of entries; the single pass
+# (canonical_rows) explodes all kinds at once and the same finish functions
+# run on the written rows.
 
+def _package_entries() -> Column:
+    return F.array(F.struct(
+        F.col("ord").alias("ord"), F.col("name").alias("pkg_name"), _info("name").alias("name"),
+        _info("package_url").alias("package_url"),
+        _info("requires_python").alias("requires_python"), _info("version").alias("version"),
+        to_int("j.num_releases").alias("num_releases"),
+        to_int("j.num_info_dependencies").alias("num_requires_dist"),
+        _info("license").alias("license")))
 
-def canon_license(package: DataFrame) -> DataFrame:
-    """NULL the license on its first package (in ``ord`` order)."""
-    return null_first_occurrence(package, "license", "ord")
 
+def _finish_package(rows: DataFrame, keep_ord: bool = False) -> DataFrame:
+    return rows.select(*PACKAGE_COLUMNS, *(["ord"] if keep_ord else []))
 
-def canon_requirement(parsed: DataFrame) -> DataFrame:
-    """One row per ``requires`` entry. A NULL entry counts 0 releases and uses
-    its key as requirement text; newest/oldest are the text max/min."""
-    e = parsed.select(F.col("name").alias("pkg_name"),
-                      F.explode(F.col("j.requires")).alias("required_pkg_name", "v"))
+
+def _requirement_entries() -> Column:
+    return F.transform(F.map_entries(F.col("j.requires")), lambda e: F.struct(
+        F.col("name").alias("pkg_name"), e["key"].alias("required_pkg_name"),
+        e["value"].alias("v")))
+
+
+def _finish_requirement(rows: DataFrame) -> DataFrame:
+    """A NULL entry counts 0 releases and uses its key as requirement text;
+    newest/oldest are the text max/min of the releases."""
     n = F.coalesce(F.size(F.col("v.releases")), F.lit(0))
     has = F.col("v").isNotNull() & (n > 0)
-    return e.select(
+    return rows.select(
         "pkg_name", "required_pkg_name",
         F.when(F.col("v").isNull(), F.lit(0)).otherwise(n).cast("int").alias("num_match_dist"),
         F.when(F.col("v").isNull(), F.col("required_pkg_name"))
@@ -87,20 +96,21 @@ def _project_urls() -> Column:
                   F.try_variant_get(v, "$", "map<string,string>"))
 
 
-def url_rows(parsed: DataFrame) -> DataFrame:
-    """(pkg_name, url, url_type): project_urls entries with a value, plus the
-    home_page and docs_url rows (kept even when NULL); '<' '>' stripped."""
+def _url_entries() -> Column:
+    """project_urls entries with a value, then the home_page and docs_url
+    entries (kept even when NULL)."""
     entries = F.filter(F.coalesce(F.map_entries(_project_urls()),
                                   F.array().cast("array<struct<key:string,value:string>>")),
                        lambda e: e["value"].isNotNull())
-    entries = F.transform(entries, lambda e: F.struct(e["value"].alias("url"),
-                                                       e["key"].alias("url_type")))
-    fixed = F.array(F.struct(_info("home_page").alias("url"), F.lit("home_page").alias("url_type")),
-                    F.struct(_info("docs_url").alias("url"), F.lit("docs_url").alias("url_type")))
-    return (parsed.select(F.col("name").alias("pkg_name"),
-                          F.explode(F.concat(entries, fixed)).alias("u"))
-                  .select("pkg_name", strip_chars(F.col("u.url"), "<>").alias("url"),
-                          F.col("u.url_type").alias("url_type")))
+    entries = F.transform(entries, lambda e: F.struct(
+        F.col("name").alias("pkg_name"), e["value"].alias("url"), e["key"].alias("url_type")))
+    fixed = F.array(*[F.struct(F.col("name").alias("pkg_name"), _info(t).alias("url"),
+                               F.lit(t).alias("url_type")) for t in ("home_page", "docs_url")])
+    return F.concat(entries, fixed)
+
+
+def _finish_url_rows(rows: DataFrame) -> DataFrame:
+    return rows.select("pkg_name", strip_chars(F.col("url"), "<>").alias("url"), "url_type")
 
 
 def with_url_features(urls: DataFrame) -> DataFrame:
@@ -111,25 +121,21 @@ def with_url_features(urls: DataFrame) -> DataFrame:
                     "_g.github_repo", "_g.github_account")
 
 
-def canon_url(parsed: DataFrame) -> DataFrame:
-    return with_url_features(url_rows(parsed))
+def _person_entries() -> Column:
+    roles = F.array(*[F.struct(F.col("name").alias("pkg_name"), F.lit(r).alias("role"),
+                               _info(r).alias("person"), _info(f"{r}_email").alias("pe"))
+                      for r in ROLES])
+    return F.filter(roles, lambda r: r["pe"].isNotNull())
 
 
-def person_rows(parsed: DataFrame) -> DataFrame:
-    """(pkg_name, role, person_name, email_record) per role with an email text."""
-    roles = F.array(*[F.struct(F.lit(r).alias("role"), _info(r).alias("person"),
-                               _info(f"{r}_email").alias("pe")) for r in ROLES])
-    r = (parsed.select(F.col("name").alias("pkg_name"), F.explode(roles).alias("r"))
-               .where(F.col("r.pe").isNotNull())
-               .select("pkg_name", F.col("r.role").alias("role"),
-                       person_and_email("r.person", "r.pe").alias("p")))
-    return r.select("pkg_name", "role", "p.person_name", "p.email_record")
+def _finish_person(rows: DataFrame) -> DataFrame:
+    p = rows.select("pkg_name", "role", person_and_email("person", "pe").alias("p"))
+    return p.select("pkg_name", "role", "p.person_name", "p.email_record")
 
 
-def canon_email(parsed: DataFrame) -> DataFrame:
-    """One row per address of the author and maintainer email fields
-    (split on ',' without trimming)."""
-    e = person_rows(parsed).select(
+def _finish_email(rows: DataFrame) -> DataFrame:
+    """One row per address, split on ',' without trimming."""
+    e = _finish_person(rows).select(
         "pkg_name", "role", "person_name", "email_record",
         F.explode(F.split(F.col("email_record"), ",", -1)).alias("email"))
     d = e.withColumn("domain", after_last("email", "@"))
@@ -137,13 +143,60 @@ def canon_email(parsed: DataFrame) -> DataFrame:
                     top_level_domain("domain").alias("top_level_domain"), "role")
 
 
+def _keyword_entries() -> Column:
+    return F.transform(keyword_tokens(_variant_text(_info("keywords"))), lambda t, i: F.struct(
+        F.col("ord").alias("ord"), i.alias("pos"), F.col("name").alias("pkg_name"),
+        t.alias("token")))
+
+
+def _finish_keyword(rows: DataFrame) -> DataFrame:
+    return (rows.select("ord", "pos", "pkg_name", clean_keyword("token").alias("keyword"))
+                .where(F.col("keyword") != ""))
+
+
+def _explode(parsed: DataFrame, entries: Column) -> DataFrame:
+    return parsed.select(F.explode(entries).alias("e")).select("e.*")
+
+
+# --- per-table functions -------------------------------------------------------
+
+def canon_package(parsed: DataFrame, keep_ord: bool = False) -> DataFrame:
+    """Eight scalar fields per package; license as read (no first-occurrence rule)."""
+    return _finish_package(_explode(parsed, _package_entries()), keep_ord)
+
+
+def canon_license(package: DataFrame) -> DataFrame:
+    """NULL the license on its first package (in ``ord`` order)."""
+    return null_first_occurrence(package, "license", "ord")
+
+
+def canon_requirement(parsed: DataFrame) -> DataFrame:
+    """One row per ``requires`` entry; a NULL map gives none."""
+    return _finish_requirement(_explode(parsed, _requirement_entries()))
+
+
+def url_rows(parsed: DataFrame) -> DataFrame:
+    """(pkg_name, url, url_type), '<' '>' stripped from both ends."""
+    return _finish_url_rows(_explode(parsed, _url_entries()))
+
+
+def canon_url(parsed: DataFrame) -> DataFrame:
+    return with_url_features(url_rows(parsed))
+
+
+def person_rows(parsed: DataFrame) -> DataFrame:
+    """(pkg_name, role, person_name, email_record) per role with an email text."""
+    return _finish_person(_explode(parsed, _person_entries()))
+
+
+def canon_email(parsed: DataFrame) -> DataFrame:
+    """One row per address of the author and maintainer email fields."""
+    return _finish_email(_explode(parsed, _person_entries()))
+
+
 def canon_keyword(parsed: DataFrame) -> DataFrame:
     """(ord, pos, pkg_name, keyword): every non-empty keyword occurrence."""
-    t = parsed.select("ord", F.col("name").alias("pkg_name"),
-                      F.posexplode(keyword_tokens(_variant_text(_info("keywords"))))
-                       .alias("pos", "token"))
-    return (t.select("ord", "pos", "pkg_name", clean_keyword("token").alias("keyword"))
-             .where(F.col("keyword") != ""))
+    return _finish_keyword(_explode(parsed, _keyword_entries()))
 
 
 def keyword_running(tokens: DataFrame, threshold: int = KEYWORD_MIN_COUNT,
@@ -155,9 +208,10 @@ def keyword_running(tokens: DataFrame, threshold: int = KEYWORD_MIN_COUNT,
 
 def canonicalize(parsed: DataFrame, keyword_threshold: int = KEYWORD_MIN_COUNT,
                  keyword_buckets: int | None = None, deferred: bool = False) -> dict:
-    """The five canonical tables. ``deferred``: the keyword table, whose
-    building runs jobs (bucket tagging), is returned as a function, so a
-    layer writer can run it concurrently with the other four."""
+    """The five canonical tables, each its own projection of ``parsed``.
+    ``deferred``: the keyword table, whose building runs jobs (bucket
+    tagging), is returned as a function, so a layer writer can run it
+    concurrently with the other four."""
     def keywords() -> DataFrame:
         return keyword_running(canon_keyword(parsed), keyword_threshold, keyword_buckets)
 
@@ -168,3 +222,50 @@ def canonicalize(parsed: DataFrame, keyword_threshold: int = KEYWORD_MIN_COUNT,
         "latest_keyword": keywords if deferred else keywords(),
         "latest_email": canon_email(parsed),
     }
+
+
+# --- single pass ------------------------------------------------------------------
+
+ROW_KINDS = {"package": _package_entries, "requirement": _requirement_entries,
+             "url": _url_entries, "person": _person_entries, "keyword": _keyword_entries}
+
+
+def canonical_rows(parsed: DataFrame) -> DataFrame:
+    """All canonical row kinds of every record in ONE explode: columns
+    ``kind`` plus one struct column per kind (NULL for the other kinds).
+
+    Written partitioned by ``kind``, it gives every canonical table from a
+    single decode of the JSON, with nothing cached.
+    """
+    entries = {k: f() for k, f in ROW_KINDS.items()}
+    types = parsed.select(*[e.alias(k) for k, e in entries.items()]).schema   # analysis only
+    elem = {k: types[k].dataType.elementType for k in entries}
+    def tag(k: str):
+        # one-argument lambda: transform() reads a second argument as the index
+        return lambda x: F.struct(F.lit(k).alias("kind"), *[
+            (x if o == k else F.lit(None).cast(elem[o])).alias(o) for o in entries])
+
+    tagged = [F.transform(F.coalesce(e, F.array().cast(types[k].dataType)), tag(k))
+              for k, e in entries.items()]                    # a NULL array adds nothing
+    return parsed.select(F.explode(F.concat(*tagged)).alias("r")).select("r.*")
+
+
+def canonical_from_rows(rows: DataFrame, keyword_threshold: int = KEYWORD_MIN_COUNT,
+                        keyword_buckets: int | None = None, deferred: bool = False) -> dict:
+    """The five canonical tables from written ``canonical_rows`` (each read
+    prunes to its ``kind`` partition), finished exactly as per table."""
+    def kind(k: str) -> DataFrame:
+        return rows.where(F.col("kind") == k).select(f"{k}.*")
+
+    def keywords() -> DataFrame:
+        return keyword_running(_finish_keyword(kind("keyword")), keyword_threshold,
+                               keyword_buckets)
+
+    return {
+        "latest_package": canon_license(_finish_package(kind("package"), keep_ord=True))
+                          .select(*PACKAGE_COLUMNS),
+        "latest_requirement": _finish_requirement(kind("requirement")),
+        "latest_url": with_url_features(_finish_url_rows(kind("url"))),
+        "latest_keyword": keywords if deferred else keywords(),
+        "latest_email": _finish_email(kind("person")),
+    }

@@ -9,8 +9,9 @@ feed 26 checks and 21 final tables):
   cluster's shared ``spark.checkpoint.dir``) and the next stage reads the
   files. The lineage is cut at each layer, so a lost executor never forces a
   recomputation back to the JSON, and each extraction statement scans only
-  the columns it needs. The decoded records are cached only while the
-  canonical layer is written, so the JSON is decoded once.
+  the columns it needs. The JSON is decoded once and nothing is cached: all
+  canonical row kinds come out of one explode, written partitioned by kind,
+  and each canonical table is finished from its partition.
 * ``'persist'`` caches the stages instead (memory and disk; lost blocks are
   recomputed from a deterministic lineage); ``None`` keeps one lazy plan.
 """
@@ -29,7 +30,7 @@ from ..operators.profile import assert_nonempty, expect_nonempty, table_counts
 from ..sources.layers import write_layer, write_manifest
 from ..session import scratch_path
 from ..sources.raw import parse_raw
-from .canon import KEYWORD_MIN_COUNT, canonicalize
+from .canon import KEYWORD_MIN_COUNT, canonical_from_rows, canonical_rows, canonicalize
 from .spec import GraphSpec, package_registry_spec
 
 
@@ -192,15 +193,20 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
     cached: list[DataFrame] = []
     if canon is None:
         parsed = parse_raw(raw, on_malformed)
-        if materialize is not None:
-            parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-        canon = canonicalize(parsed, keyword_threshold, deferred=materialize == "write")
         if materialize == "write":
-            canon = write_layer(canon, f"{layer_root}/canon")
-            parsed.unpersist()
+            # One decode: every row kind in one explode, written by kind; the
+            # finished canonical tables are then built from pruned reads.
+            rows_path = f"{layer_root}/canon/_rows"
+            canonical_rows(parsed).write.partitionBy("kind").parquet(rows_path)
+            rows = parsed.sparkSession.read.parquet(rows_path)
+            canon = write_layer(canonical_from_rows(rows, keyword_threshold, deferred=True),
+                                f"{layer_root}/canon")
         elif materialize == "persist":
-            canon = _persist(canon, materialize)
+            parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+            canon = _persist(canonicalize(parsed, keyword_threshold), materialize)
             cached.append(parsed)
+        else:
+            canon = canonicalize(parsed, keyword_threshold)
     if validate == "raise":
         assert_nonempty(expect_nonempty(canon))
     sub_nodes, sub_links = extract_subgraph(canon, spec)

@@ -67,3 +67,18 @@ def test_graph_is_independent_of_partitioning(spark, graph):
     a = other.links["has_email"].collect()
     b = base.links["has_email"].collect()
     assert sorted(a, key=repr) == sorted(b, key=repr)
+
+
+def test_single_pass_canonical_rows_equal_per_table(spark):
+    from propgraph.plans import canon as C
+    from propgraph.sources import parse_raw
+    parsed = parse_raw(Fixtures(spark, SF).raw())
+    rows_plan = _plan(C.canonical_rows(parsed))
+    assert rows_plan.count("from_json") == 1 and rows_plan.count("Generate ") == 1
+    path = scratch_path(spark, "single-pass")
+    C.canonical_rows(parsed).write.partitionBy("kind").parquet(path)
+    one = C.canonical_from_rows(spark.read.parquet(path))
+    per = C.canonicalize(parsed)
+    for name in per:
+        assert sorted(map(tuple, one[name].collect()), key=repr) == \
+            sorted(map(tuple, per[name].collect()), key=repr), name
