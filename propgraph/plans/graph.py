@@ -199,8 +199,12 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
             rows_path = f"{layer_root}/canon/_rows"
             canonical_rows(parsed).write.partitionBy("kind").parquet(rows_path)
             rows = parsed.sparkSession.read.parquet(rows_path)
-            canon = write_layer(canonical_from_rows(rows, keyword_threshold, deferred=True),
-                                f"{layer_root}/canon")
+            canon = canonical_from_rows(rows, keyword_threshold, deferred=True)
+            # The requirement finish is a cheap projection (no regex) with two
+            # readers: they read its kind partition instead of a rewritten copy
+            # of what may be the largest canonical table.
+            lazy = {"latest_requirement": canon.pop("latest_requirement")}
+            canon = {**write_layer(canon, f"{layer_root}/canon"), **lazy}
         elif materialize == "persist":
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
             canon = _persist(canonicalize(parsed, keyword_threshold), materialize)
