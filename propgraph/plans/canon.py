@@ -79,7 +79,8 @@ def _requirement_entries() -> Column:
 def _finish_requirement(rows: DataFrame) -> DataFrame:
     """A NULL entry counts 0 releases and uses its key as requirement text;
     newest/oldest are the text max/min of the releases."""
-    n = F.coalesce(F.size(F.col("v.releases")), F.lit(0))
+    # size(NULL) is -1 when a session runs without ANSI mode: test NULL first
+    n = F.when(F.col("v.releases").isNull(), F.lit(0)).otherwise(F.size(F.col("v.releases")))
     has = F.col("v").isNotNull() & (n > 0)
     return rows.select(
         "pkg_name", "required_pkg_name",
