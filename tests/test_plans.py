@@ -82,3 +82,14 @@ def test_single_pass_canonical_rows_equal_per_table(spark):
     for name in per:
         assert sorted(map(tuple, one[name].collect()), key=repr) == \
             sorted(map(tuple, per[name].collect()), key=repr), name
+
+
+def test_materialize_modes_agree(spark):
+    raw = Fixtures(spark, SF).raw()
+    graphs = {m: build_graph(raw=raw, materialize=m) for m in ("write", "persist", None)}
+    base = graphs["write"]
+    for m, g in graphs.items():
+        for name in ("node_person", "node_domain", "link_has_email", "link_has_keyword"):
+            got = sorted(map(tuple, g.final_tables()[name].collect()), key=repr)
+            assert got == sorted(map(tuple, base.final_tables()[name].collect()), key=repr), (m, name)
+    graphs["persist"].release()
