@@ -4,6 +4,12 @@ Each view is one SQL text that runs unchanged on Spark and on DuckDB. Table
 references are ``{placeholders}``: Spark fills them with DataFrames
 (``spark.sql(text, part=df)``, no global temp views), the DuckDB oracle with
 CTE names. Every view grows with the given tables.
+
+The ``%`` expressions shape values, to produce the cases the rules must
+handle (NULL and '' twins, unknown markers, URLs with two types, orphans);
+no view drops rows to save work: every row of part, lineitem, orders, pages
+and supplier feeds them (``p_partkey % 10 = 0`` adds a second URL row for a
+tenth of the packages on top of the row every package gets).
 """
 
 from __future__ import annotations
