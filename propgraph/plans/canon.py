@@ -1,9 +1,9 @@
 """Canonicalize: decoded registry records -> five flat tables.
 
 Each table is an explode of per-record entries plus a finish projection. The
-per-table functions do one kind each; ``canonical_rows`` explodes all kinds in
-one pass, so a pipeline writing layers decodes the JSON once and caches
-nothing. The two order-dependent rules (first license occurrence, keyword
+per-table functions do one kind each; ``canonical_entries`` builds all kinds
+in one pass (one row per record, one array column per kind), so a pipeline
+writing layers decodes the JSON once and caches nothing. The two order-dependent rules (first license occurrence, keyword
 running count) use the explicit ``ord`` column.
 """
 
@@ -53,8 +53,8 @@ def parsed_fields(parsed: DataFrame) -> DataFrame:
 
 # --- one table = per-record entries (array of structs) + a finish projection --
 # The per-table functions explode one kind of entries; the single pass
-# (canonical_rows) explodes all kinds at once and the same finish functions
-# run on the written rows.
+# (canonical_entries) writes all kinds per record, and the same explode and
+# finish functions run on the written entries.
 
 def _package_entries() -> Column:
     return F.array(F.struct(
@@ -231,32 +231,23 @@ ROW_KINDS = {"package": _package_entries, "requirement": _requirement_entries,
              "url": _url_entries, "person": _person_entries, "keyword": _keyword_entries}
 
 
-def canonical_rows(parsed: DataFrame) -> DataFrame:
-    """All canonical row kinds of every record in ONE explode: columns
-    ``kind`` plus one struct column per kind (NULL for the other kinds).
+def canonical_entries(parsed: DataFrame) -> DataFrame:
+    """One row per record with every kind of canonical entries as an array
+    column (``package``, ``requirement``, ``url``, ``person``, ``keyword``).
 
-    Written partitioned by ``kind``, it gives every canonical table from a
-    single decode of the JSON, with nothing cached.
+    Written once, it gives every canonical table from a single decode of the
+    JSON with nothing cached; a table reads only its column (nested column
+    pruning) and explodes it.
     """
-    entries = {k: f() for k, f in ROW_KINDS.items()}
-    types = parsed.select(*[e.alias(k) for k, e in entries.items()]).schema   # analysis only
-    elem = {k: types[k].dataType.elementType for k in entries}
-    def tag(k: str):
-        # one-argument lambda: transform() reads a second argument as the index
-        return lambda x: F.struct(F.lit(k).alias("kind"), *[
-            (x if o == k else F.lit(None).cast(elem[o])).alias(o) for o in entries])
-
-    tagged = [F.transform(F.coalesce(e, F.array().cast(types[k].dataType)), tag(k))
-              for k, e in entries.items()]                    # a NULL array adds nothing
-    return parsed.select(F.explode(F.concat(*tagged)).alias("r")).select("r.*")
-
-
-def canonical_from_rows(rows: DataFrame, keyword_threshold: int = KEYWORD_MIN_COUNT,
-                        keyword_buckets: int | None = None, deferred: bool = False) -> dict:
-    """The five canonical tables from written ``canonical_rows`` (each read
-    prunes to its ``kind`` partition), finished exactly as per table."""
+    return parsed.select(*[f().alias(k) for k, f in ROW_KINDS.items()])
+
+
+def canonical_from_entries(entries: DataFrame, keyword_threshold: int = KEYWORD_MIN_COUNT,
+                           keyword_buckets: int | None = None, deferred: bool = False) -> dict:
+    """The five canonical tables from written ``canonical_entries``, finished
+    exactly as per table."""
     def kind(k: str) -> DataFrame:
-        return rows.where(F.col("kind") == k).select(f"{k}.*")
+        return entries.select(F.explode(k).alias("e")).select("e.*")
 
     def keywords() -> DataFrame:
         return keyword_running(_finish_keyword(kind("keyword")), keyword_threshold,

@@ -10,8 +10,8 @@ feed 26 checks and 21 final tables):
   files. The lineage is cut at each layer, so a lost executor never forces a
   recomputation back to the JSON, and each extraction statement scans only
   the columns it needs. The JSON is decoded once and nothing is cached: all
-  canonical row kinds come out of one explode, written partitioned by kind,
-  and each canonical table is finished from its partition.
+  kinds of canonical entries are written once per record (one array column
+  per kind), and each canonical table explodes and finishes its column.
 * ``'persist'`` caches the stages instead (memory and disk; lost blocks are
   recomputed from a deterministic lineage); ``None`` keeps one lazy plan.
 """
@@ -30,7 +30,7 @@ from ..operators.profile import assert_nonempty, expect_nonempty, table_counts
 from ..sources.layers import write_layer, write_manifest
 from ..session import scratch_path
 from ..sources.raw import parse_raw
-from .canon import KEYWORD_MIN_COUNT, canonical_from_rows, canonical_rows, canonicalize
+from .canon import KEYWORD_MIN_COUNT, canonical_entries, canonical_from_entries, canonicalize
 from .spec import GraphSpec, package_registry_spec
 
 
@@ -194,15 +194,15 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
     if canon is None:
         parsed = parse_raw(raw, on_malformed)
         if materialize == "write":
-            # One decode: every row kind in one explode, written by kind; the
-            # finished canonical tables are then built from pruned reads.
-            rows_path = f"{layer_root}/canon/_rows"
-            canonical_rows(parsed).write.partitionBy("kind").parquet(rows_path)
-            rows = parsed.sparkSession.read.parquet(rows_path)
-            canon = canonical_from_rows(rows, keyword_threshold, deferred=True)
+            # One decode: every kind of entries per record, written once; each
+            # canonical table reads its column (pruned) and explodes it.
+            entries_path = f"{layer_root}/canon/_entries"
+            canonical_entries(parsed).write.parquet(entries_path)
+            entries = parsed.sparkSession.read.parquet(entries_path)
+            canon = canonical_from_entries(entries, keyword_threshold, deferred=True)
             # The requirement finish is a cheap projection (no regex) with two
-            # readers: they read its kind partition instead of a rewritten copy
-            # of what may be the largest canonical table.
+            # readers: they explode its entries column instead of reading a
+            # rewritten copy of what may be the largest canonical table.
             lazy = {"latest_requirement": canon.pop("latest_requirement")}
             canon = {**write_layer(canon, f"{layer_root}/canon"), **lazy}
         elif materialize == "persist":

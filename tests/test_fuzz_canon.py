@@ -8,6 +8,7 @@ import os
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from propgraph.plans import canon as C
 from propgraph.session import scratch_path
@@ -95,12 +96,12 @@ def test_canonicalize_model(spark, records):
     rows = [(i, f"p{i}", json.dumps(r)) for i, r in enumerate(records)]
     parsed = parse_raw(spark.createDataFrame(rows, "ord long, name string, latest string"))
     pkg, req, url, email, kw = model(records)
-    path = scratch_path(spark, "fuzz-rows")
-    C.canonical_rows(parsed).write.partitionBy("kind").parquet(path)
+    path = scratch_path(spark, "fuzz-entries")
+    C.canonical_entries(parsed).write.parquet(path)
     one = spark.read.parquet(path)
 
     def kind(k):
-        return one.where(f"kind = '{k}'").select(f"{k}.*")
+        return one.select(F.explode(k).alias("e")).select("e.*")
 
     for got in (C.canon_package(parsed), C._finish_package(kind("package"))):
         assert _bag(got) == sorted(pkg, key=repr)
