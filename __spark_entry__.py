@@ -25,8 +25,8 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph import GroupSpec, build_graph, package_registry_spec
-from propgraph.plans.spec import has_email_select
+from propgraph import build_graph, package_registry_spec
+from propgraph.plans.spec import has_email_select, with_group_select
 from propgraph.functions import key_id, not_both_blank, url_features
 from propgraph.operators import (distinct_on, edge_type_summary, expect_nonempty, extract_link,
                                  extract_node, graph_catalog, population, table_counts)
@@ -226,10 +226,8 @@ def q_group_override(spark, sf):
 def q_group_has_email_coalesce(spark, sf):
     """has_email with the first non-NULL child link_id (the parity form keeps
     the author child's only)."""
-    spec = package_registry_spec()
-    g = spec.link_groups["has_email"]
-    spec.link_groups["has_email"] = GroupSpec(g.children, has_email_select(parity=False),
-                                              g.distinct)
+    spec = with_group_select(package_registry_spec(), "link", "has_email",
+                             has_email_select(parity=False))
     return _layered(spark, sf, spec).link("has_email")
 
 

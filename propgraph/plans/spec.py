@@ -138,6 +138,19 @@ class GraphSpec:
                          self.node_groups, swapped)
 
 
+def with_group_select(spec: GraphSpec, kind: str, group: str,
+                      select: Callable[[], list[Column]]) -> GraphSpec:
+    """The same graph with another select list for one group."""
+    groups = dict(spec.node_groups if kind == "node" else spec.link_groups)
+    g = groups[group]
+    groups[group] = GroupSpec(g.children, select, g.distinct)
+    if kind == "node":
+        return GraphSpec(spec.inputs, spec.nodes, spec.links, spec.subgraphs, groups,
+                         spec.link_groups)
+    return GraphSpec(spec.inputs, spec.nodes, spec.links, spec.subgraphs, spec.node_groups,
+                     groups)
+
+
 def _coalesce(*cols: str) -> Column:
     return F.coalesce(*[F.col(c) for c in cols])
 
