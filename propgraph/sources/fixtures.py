@@ -158,7 +158,9 @@ class Fixtures:
         """The raw snapshot as the pipeline meets it: a parquet input file.
 
         Synthesized once per Spark application and scale, written under the
-        shared checkpoint folder, then read with ``scan_raw``.
+        shared checkpoint folder in ``ord`` order as one file per core (as a
+        registry dump comes in many files; a single file would make the
+        decode one task), then read with ``scan_raw``.
         """
         from ..session import path_exists, scratch_path
         from .raw import scan_raw
@@ -166,7 +168,9 @@ class Fixtures:
         path = _RAW_FILES.get(key)
         if path is None or not path_exists(self.spark, path):
             path = scratch_path(self.spark, "raw", "latest")
-            self.raw_snapshot().write.mode("overwrite").parquet(path)
+            n = self.spark.sparkContext.defaultParallelism
+            (self.raw_snapshot().repartitionByRange(n, "ord")
+                 .write.mode("overwrite").parquet(path))
             _RAW_FILES[key] = path
         return scan_raw(self.spark, path)
 
