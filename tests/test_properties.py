@@ -100,3 +100,22 @@ def test_merge_children_model(spark, a, b, parts):
     keys = sorted({k for k, _ in a + b})
     got = sorted(map(tuple, merge_children(dfs, ["node_id"], sel, distinct=True).collect()))
     assert got == [(k, pick(a, k), pick(b, k)) for k in keys]
+
+
+IDS = st.sampled_from(["a", "b", "c", "d", "hot", "hot"])
+
+
+@SETTINGS
+@given(links=st.lists(st.tuples(IDS, IDS), min_size=1, max_size=30),
+       src=st.lists(IDS, max_size=6), dst=st.lists(IDS, max_size=6))
+def test_check_graph_model(spark, links, src, dst):
+    from propgraph.operators import check_graph
+    nodes = {"s": spark.createDataFrame([(i,) for i in src], "node_id string"),
+             "t": spark.createDataFrame([(i,) for i in dst], "node_id string")}
+    link = spark.createDataFrame([(f"l{i}", f, t) for i, (f, t) in enumerate(links)],
+                                 "link_id string, from_id string, to_id string")
+    got = {r.side: tuple(r)[3:] for r in check_graph(nodes, {"x": link}, {"x": ("s", "t")}).collect()}
+    for side, col, ids in (("from_id", 0, src), ("to_id", 1, dst)):
+        ends = {l[col] for l in links}
+        orphans = ends - set(ids)
+        assert got[side] == (len(links), len(ids), len(ends), len(orphans), not orphans), side
