@@ -28,6 +28,7 @@ def _split(final):
 
 
 def main(argv: list[str] | None = None) -> None:
+    """Parse the command line and run one command."""
     ap = argparse.ArgumentParser(prog="propgraph")
     sub = ap.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("build", help="raw snapshot -> canonical, subgraph and graph layers")

@@ -9,6 +9,7 @@ from .ids import ColumnOrName, _col
 
 
 def is_blank(c: ColumnOrName) -> Column:
+    """NULL or ''."""
     c = _col(c)
     return c.isNull() | (c == "")
 
@@ -23,6 +24,7 @@ def not_blank(c: ColumnOrName, *excluded: str) -> Column:
 
 
 def not_both_blank(a: ColumnOrName, b: ColumnOrName) -> Column:
+    """At least one of the two is neither NULL nor ''; never NULL itself."""
     return ~(is_blank(a) & is_blank(b))
 
 

@@ -47,6 +47,7 @@ def after_last(c: ColumnOrName, sep: str) -> Column:
 
 
 def top_level_domain(domain: ColumnOrName) -> Column:
+    """Text after the last '.' of a domain; NULL without a dot."""
     d = _col(domain)
     return F.when(d.contains("."), after_last(d, "."))
 

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 def distinct_on(df: DataFrame, keys: Sequence[str],
                 order: Sequence[str] | None = None) -> DataFrame:
+    """One whole row per ``keys`` value: the row with the smallest ``order`` tuple
+    (NULLs first; default: the other columns in table order)."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     if not rest:

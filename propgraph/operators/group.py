@@ -58,6 +58,8 @@ def passthrough(child: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def group_nodes(children: Sequence[DataFrame], select: Callable[[], list[Column]] | None,
                 distinct: bool = True) -> DataFrame:
+    """A final node table: pass-through of one child, or the merge of several
+    by ``select`` (one row per node_id when ``distinct``)."""
     if select is None:
         if len(children) != 1:
             raise ValueError("several children need a select list")
@@ -67,6 +69,8 @@ def group_nodes(children: Sequence[DataFrame], select: Callable[[], list[Column]
 
 def group_links(children: Sequence[DataFrame], select: Callable[[], list[Column]] | None,
                 distinct: bool = False) -> DataFrame:
+    """A final link table: pass-through of one child, or the merge of several
+    by ``select`` (left-join multiplicity kept unless ``distinct``)."""
     if select is None:
         if len(children) != 1:
             raise ValueError("several children need a select list")

@@ -14,6 +14,7 @@ ID_COLUMNS = {"node": ("node_id",), "link": ("link_id", "from_id", "to_id")}
 
 
 def table_counts(tables: dict[str, DataFrame], label: str = "table") -> DataFrame:
+    """(label, n_rows) per table, one partial aggregate each."""
     return reduce(DataFrame.unionByName, [
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias(label), "n_rows")
         for n, df in tables.items()])
@@ -25,6 +26,7 @@ def expect_nonempty(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def assert_nonempty(report: DataFrame) -> None:
+    """Raise if any table of an ``expect_nonempty`` report has no rows."""
     empty = [r.table for r in report.where(~F.col("ok")).select("table").collect()]
     if empty:
         raise AssertionError(f"empty tables: {empty}")

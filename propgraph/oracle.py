@@ -238,6 +238,7 @@ def _order(keys: list[str], exprs: list[str]) -> str:
 
 
 def node_sql(name: str, src: str) -> str:
+    """DISTINCT ON statement of one node table over ``src``."""
     _, keys, attrs, where = NODES[name]
     sel = ", ".join([f"{_id(keys)} AS node_id"] + [f"{e} AS {o}" for o, e in attrs])
     w = f" WHERE {where}" if where else ""
@@ -246,6 +247,7 @@ def node_sql(name: str, src: str) -> str:
 
 
 def link_sql(name: str, src: str) -> str:
+    """DISTINCT ON statement of one link table over ``src``."""
     _, keys, fk, tk, attrs, where = LINKS[name]
     sel = ", ".join([f"{_id(keys)} AS link_id", f"{_id(fk)} AS from_id", f"{_id(tk)} AS to_id"]
                     + [f"{e} AS {o}" for o, e in attrs])
@@ -299,6 +301,7 @@ def _dedup(table: str, key: list[str], cols: list[str]) -> str:
 
 def group_sql(children: list[str], child_cols: list[list[str]], key: list[str],
               select: list[tuple[str, str]], distinct: bool) -> str:
+    """Key population LEFT JOIN each child (deduped first when ``distinct``)."""
     pop = "SELECT DISTINCT * FROM (" + " UNION ALL ".join(
         f"SELECT {', '.join(key)} FROM {c}" for c in children) + ") u"
     joins = []
@@ -385,6 +388,7 @@ def _attrs_text(cols: list[str]) -> str:
 
 
 def check_sql(o: Oracle, side: str | None) -> str:
+    """The referential check table, for one side or both."""
     rows = []
     for link, (src, dst) in SUBGRAPHS.items():
         for s, node in (("from_id", src), ("to_id", dst)):
@@ -402,6 +406,7 @@ def check_sql(o: Oracle, side: str | None) -> str:
 
 
 def catalog_sql(o: Oracle) -> str:
+    """Per final table and column: type, attribute flag, rows, NULLs."""
     parts = []
     for table, cols in FINAL_COLS.items():
         kind, label = table.split("_", 1)
@@ -423,6 +428,7 @@ def catalog_sql(o: Oracle) -> str:
 
 
 def oracle_queries() -> dict[str, str]:
+    """The DuckDB statement for every query key."""
     o = Oracle()
     q: dict[str, str] = {}
     q["scan_raw"] = o.sql("SELECT * FROM raw_latest", ["raw_latest"])

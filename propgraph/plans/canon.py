@@ -182,6 +182,7 @@ def url_rows(parsed: DataFrame) -> DataFrame:
 
 
 def canon_url(parsed: DataFrame) -> DataFrame:
+    """URL rows with domain, top-level domain, path and GitHub parts."""
     return with_url_features(url_rows(parsed))
 
 

@@ -36,6 +36,7 @@ from .spec import GraphSpec, package_registry_spec
 
 @dataclass
 class Graph:
+    """The tables of one build: canonical, subgraph, check, final."""
     canon: dict[str, DataFrame]
     sub_nodes: dict[str, DataFrame]
     sub_links: dict[str, DataFrame]
@@ -69,6 +70,7 @@ def _persist(tables: dict[str, DataFrame], mode: str | None) -> dict[str, DataFr
 
 def extract_subgraph(canon: dict[str, DataFrame], spec: GraphSpec
                      ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """All node and link tables of ``spec`` from canonical tables."""
     nodes = {n: extract_node(canon[s.source], s) for n, s in spec.nodes.items()}
     links = {n: extract_link(canon[s.source], s) for n, s in spec.links.items()}
     return nodes, links

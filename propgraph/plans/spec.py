@@ -28,6 +28,7 @@ Attr = tuple[str, "str | ColumnFn"]
 
 
 def attr_column(attr: Attr) -> Column:
+    """The Column of one attribute, aliased to its output name."""
     name, src = attr
     c = F.col(src) if isinstance(src, str) else src()
     return c.alias(name)
@@ -35,6 +36,7 @@ def attr_column(attr: Attr) -> Column:
 
 @dataclass(frozen=True)
 class NodeSpec:
+    """A node table: source table, natural key, attributes, row filter."""
     name: str
     source: str
     keys: tuple[str, ...]
@@ -44,6 +46,7 @@ class NodeSpec:
 
 @dataclass(frozen=True)
 class LinkSpec:
+    """A link table: distinct key (link_id), from and to keys, attributes, filter."""
     name: str
     source: str
     keys: tuple[str, ...]        # distinct key; link_id = id(keys)
@@ -70,6 +73,7 @@ class GroupSpec:
 
 @dataclass(frozen=True)
 class GraphSpec:
+    """The whole graph: node and link specs, link ends, and groups."""
     inputs: tuple[str, ...]
     nodes: dict[str, NodeSpec]
     links: dict[str, LinkSpec]

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 def get_spark(master: str | None = None, app: str = "propgraph",
               shuffle_partitions: int | None = None,
               conf: dict[str, str] | None = None) -> SparkSession:
+    """A local session tuned for this pipeline (tests, bench, tools)."""
     master = master or os.environ.get("SPARK_MASTER", "local[8]")
     if shuffle_partitions is None:
         shuffle_partitions = 8
