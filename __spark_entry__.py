@@ -11,6 +11,7 @@ from the driver's tables, so every query's work grows with them.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -40,6 +41,19 @@ from propgraph.sources import (Fixtures, parse_raw, publish, read_graph, scan_ra
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
+def _present(module: str) -> bool:
+    """Whether an optional part of the repository is there; its own import
+    errors are not swallowed."""
+    spec = importlib.util.find_spec(module)
+    return spec is not None and spec.origin is not None  # a leftover empty folder has no origin
+
+
+HAS_LLM = _present("propgraph.llm") and _present("corpus_pipeline")
+if HAS_LLM:
+    import corpus_pipeline
+    from propgraph.llm import queries as llm_queries
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Raw snapshot -> canonical -> subgraph (checked) -> final graph.
 
@@ -316,8 +330,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "edge_type_summary": q_edge_type_summary,
         "graph_catalog": q_graph_catalog,
     })
+    if HAS_LLM:
+        q.update(llm_queries.queries())
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries()
+    sql = oracle_queries()
+    if HAS_LLM:
+        sql.update(llm_queries.oracle_sql())
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
