@@ -128,8 +128,8 @@ def train_forest(findings: DataFrame, max_train: int = MAX_TRAIN, trees: int = 2
     classes = [r["label"] for r in few.select("label").distinct().collect()]
     if len(classes) < 2:
         return classes[0] if classes else 0.0
-    data = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(few)
-    return RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=trees, maxDepth=depth,
+    data = VectorAssembler(inputCols=FEATURES, outputCol="_x").transform(few)
+    return RandomForestClassifier(featuresCol="_x", labelCol="label", numTrees=trees, maxDepth=depth,
                                   featureSubsetStrategy="onethird", seed=seed).fit(data)
 
 
