@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import BLANKS, hot_keys, lower_ascii
+from propgraph.llm.common import BLANKS, checkpointed, hot_keys, lower_ascii
 
 MIN_POINTS = 10
 #: Fewest lines of one key that bypass the sort.
@@ -51,15 +51,15 @@ def line_bitmaps(docs: DataFrame, min_points: int = MIN_POINTS,
                            F.posexplode(_lines()).alias("pos", "line"))
     key = exploded.select("doc_id", "text_hash", "pos",
                           lower_ascii(F.btrim("line", F.lit(BLANKS))).alias("key"))
-    rows = (key.where(F.char_length("key") >= min_points)
-            .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
-                    "doc_id", "text_hash", "pos"))
+    # counted, sampled, sorted and matched with the hot keys: hashed only once
+    rows = checkpointed(key.where(F.char_length("key") >= min_points)
+                        .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
+                                "doc_id", "text_hash", "pos"))
     # min ignores nulls, so a null doc_id owns a key only if no other holds it
     hot, _ = hot_keys(rows, ["h1", "h2"], F.min("doc_id").alias("owner"), floor=split_lines)
     marked = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True)).drop("n")), ["h1", "h2"], "left")
     here = ["doc_id", "text_hash", "pos"]
-    # one pass feeds both branches of the union from its own scan; the hot one
-    # never leaves the map side
+    # the hot branch never leaves the map side
     foreign = ~F.col("doc_id").eqNullSafe(F.col("owner"))
     of_hot = marked.where("hot").where(foreign).select(*here)
     order = Window.partitionBy("h1", "h2").orderBy(F.col("doc_id").asc_nulls_last(), "pos")
