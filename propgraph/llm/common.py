@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.session import checkpoint_dir
@@ -35,19 +35,17 @@ def lower_ascii(c: Column) -> Column:
             .otherwise(F.translate(c, UPPER, UPPER.lower())))
 
 
-def hot_keys(rows: DataFrame, keys: list[str], *aggs: Column, floor: int) -> tuple[DataFrame, int]:
-    """Keys with more rows than a fair share of a task, and that share.
+def hot_keys(rows: DataFrame, keys: list[str], *aggs: Column, total: int, floor: int) -> tuple[DataFrame, int]:
+    """Keys with more of the ``total`` rows than a fair share of a task, and that share.
 
     One map-side-combined aggregate over ``rows``. The share is
-    ``max(floor, rows / (4 x shuffle partitions))``, so the result has at most
+    ``max(floor, total / (4 x shuffle partitions))``, so the result has at most
     ``4 x shuffle partitions`` rows whatever the input: that bound is what
     allows it to be broadcast. Columns: ``keys``, ``n``, then ``aggs``.
     """
-    seen = Observation()
-    counted = checkpointed(rows.observe(seen, F.count(F.lit(1)).alias("n")).groupBy(*keys)
-                           .agg(F.count(F.lit(1)).alias("n"), *aggs).where(F.col("n") > floor))
-    share = max(floor, seen.get["n"] // (4 * shuffle_partitions(rows.sparkSession)))
-    return counted.where(F.col("n") > share), share
+    share = max(floor, total // (4 * shuffle_partitions(rows.sparkSession)))
+    return checkpointed(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *aggs)
+                        .where(F.col("n") > share)), share
 
 
 def split_join(rows: DataFrame, table: DataFrame, key: str, total: int, how: str = "inner",

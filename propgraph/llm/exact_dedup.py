@@ -33,8 +33,9 @@ def exact_dedup(docs: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.regexp_replace(text, r"[\x20\x09-\x0D]+", "").alias("norm"),
                        F.char_length(text).alias("points"))
-    # a lambda-free 64-bit key is enough here: it only decides what to split
-    hot, share = hot_keys(rows.select(F.xxhash64("norm").alias("hkey")), ["hkey"], floor=split_rows)
+    # a 64-bit key is enough here: it only decides what to split
+    hot, share = hot_keys(rows.select(F.xxhash64("norm").alias("hkey")), ["hkey"],
+                          total=docs.count(), floor=split_rows)
     pieces = hot.select("hkey", F.ceil(F.col("n") / F.lit(share)).alias("pieces"))
     dealt = (rows.withColumn("hkey", F.xxhash64("norm"))
              .join(F.broadcast(pieces), "hkey", "left")

@@ -56,7 +56,8 @@ def line_bitmaps(docs: DataFrame, min_points: int = MIN_POINTS,
                         .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
                                 "doc_id", "text_hash", "pos"))
     # min ignores nulls, so a null doc_id owns a key only if no other holds it
-    hot, _ = hot_keys(rows, ["h1", "h2"], F.min("doc_id").alias("owner"), floor=split_lines)
+    hot, _ = hot_keys(rows, ["h1", "h2"], F.min("doc_id").alias("owner"),
+                      total=rows.count(), floor=split_lines)
     marked = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True)).drop("n")), ["h1", "h2"], "left")
     here = ["doc_id", "text_hash", "pos"]
     # the hot branch never leaves the map side
