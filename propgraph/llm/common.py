@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from propgraph.session import checkpoint_dir
 
@@ -28,6 +29,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def widened(fields: list[StructField], ddl: str) -> StructType:
+    """``fields`` and then the columns of ``ddl`` (names may hold anything)."""
+    return StructType([*fields, *StructType.fromDDL(ddl).fields])
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower-case A-Z only. ``lower`` does just that on ASCII strings (the
     usual case, and quick); others go through ``translate``."""

@@ -34,6 +34,8 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propgraph.llm.common import widened
+
 WINDOW = 13
 GRAM = 5
 #: Item text broadcast at once.
@@ -181,8 +183,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     def one(part: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
         items = [(r["item_id"], r["text"]) for r in part.toLocalIterator()]
-        form = ", ".join([f"`{k}` {source.schema[k].dataType.simpleString()}" for k in keys] + [_RESULT])
-        return source.mapInArrow(_scan(items, window, gram, keys, source.columns.index("text")), form)
+        return source.mapInArrow(_scan(items, window, gram, keys, source.columns.index("text")),
+                                 widened([source.schema[k] for k in keys], _RESULT))
 
     if blocks == 1:
         return one(own, src, list(keep))

@@ -38,6 +38,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from propgraph.llm.common import widened
+
 MARK = "▁"  # the space mark
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6  # piece types of the model file
 CACHE_WORDS = 500_000
@@ -512,9 +514,4 @@ def encode_documents(docs: DataFrame, model_path: str, want: Sequence[str] = ("n
                     [*[c.slice(lo, hi - lo) for c in b.columns[:-1]],
                      *[pa.array(v, t) for v, t in zip(zip(*rows), types)]], [*keep, *want])
 
-    return src.mapInArrow(run, _schema(src, want))
-
-
-def _schema(src: DataFrame, want: Sequence[str]) -> str:
-    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]]
-                     + [f"{w} {COLUMNS[w]}" for w in want])
+    return src.mapInArrow(run, widened(src.schema.fields[:-1], ", ".join(f"{w} {COLUMNS[w]}" for w in want)))

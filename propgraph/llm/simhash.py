@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import checkpointed, split_join
+from propgraph.llm.common import checkpointed, split_join, widened
 
 SEED = 42
 #: Shingles hashed at once.
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
     src = docs.select("doc_id", "text")
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    return src.mapInArrow(run, widened([src.schema["doc_id"]], "fp bigint"))
 
 
 # ----------------------------------------------------------------- BK-tree

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from propgraph.llm.common import widened
+
 _WORD = re.compile(r"\w+")
 GRAMS = 5          # trigrams at offsets 0-3, and the last one
 BUCKETS = 8192
@@ -394,6 +396,4 @@ def score_documents(docs: DataFrame, scorer: Scorer, keep: tuple[str, ...] = ("d
             yield pa.RecordBatch.from_arrays([*b.columns[:n_keep], pa.array(score, pa.float64())],
                                              [*keep, "score"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:n_keep]]
-                       + ["score double"])
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, widened(src.schema.fields[:n_keep], "score double"))

@@ -11,7 +11,7 @@ local path or the URI of any store it knows.
 
 Reading. A file is streamed in blocks. A member (or, in an uncompressed file, a
 record) is accepted if it inflates with a right checksum, starts with a WARC
-version line, has its headers, is as long as Content-Length says and matches
+version line, has its header fields once, is as long as Content-Length says and matches
 its block digest, and, for a response, its payload digest. After a failed
 check the reader looks for the next gzip magic or version line at which a valid
 record starts, goes on from there, and reports the bytes between as one
@@ -28,6 +28,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import posixpath
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -47,6 +48,9 @@ READ_BYTES = 256 << 10
 MAX_RECORD = 1 << 30
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = b"WARC/"
+_VERSION_LINE = re.compile(rb"WARC/\d+\.\d+")
+_HEADER_LINE = re.compile(rb"([A-Za-z0-9_-]+):([^\x00-\x08\x0a-\x1f]*)")
+_REQUIRED = {"warc-type", "warc-record-id", "warc-date", "content-length"}
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -128,12 +132,21 @@ def parse_record(buf: bytes, whole: bool) -> tuple[Record, int]:
         if len(buf) > 1 << 16:
             raise Broken("header without end")
         raise missing("header cut off")
-    headers = {}
-    for line in buf[:end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
+    version, *lines = buf[:end].split(b"\r\n")
+    if not _VERSION_LINE.fullmatch(version):
+        raise Broken("bad version line")
+    headers: dict[str, str] = {}
+    for line in lines:
+        found = _HEADER_LINE.fullmatch(line)
+        if not found:
             raise Broken("bad header line")
-        headers[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
+        name = found[1].decode().lower()
+        # a repeated field shows a header cut off and run on into the next record's
+        if name in headers and name != "warc-concurrent-to":
+            raise Broken(f"repeated header field {name}")
+        headers[name] = found[2].decode("utf-8", "replace").strip()
+    if not _REQUIRED <= headers.keys():
+        raise Broken("header fields missing")
     length = headers.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         raise Broken("no content length")
