@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 from propgraph import build_graph, package_registry_spec
 from propgraph.plans.spec import has_email_select, with_group_select
 from propgraph.functions import key_id, not_both_blank, url_features
-from propgraph.operators import (distinct_on, edge_type_summary, expect_nonempty, extract_link,
-                                 extract_node, graph_catalog, population, table_counts)
+from propgraph.operators import (distinct_on, edge_type_summary, extract_link, extract_node,
+                                 graph_catalog, population, table_digests)
+from propgraph.operators.checks import SIDES
 from propgraph.oracle import oracle_queries
 from propgraph.plans import canon as C
-from propgraph.plans.graph import GraphView, SubgraphView
-from propgraph.session import path_exists, scratch_path
-from propgraph.sources import (Fixtures, parse_raw, publish, read_graph, scan_raw,
-                               write_layer)
+from propgraph.plans.graph import GraphView
+from propgraph.session import reliable_checkpoint, scratch_path
+from propgraph.sources import Fixtures, parse_raw, publish, read_graph, scan_raw
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -73,7 +73,7 @@ def _parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _raw_graph(spark: SparkSession, sf: str, **kw):
-    return build_graph(raw=_fx(spark, sf).raw(), validate=kw.pop("validate", "raise"), **kw)
+    return build_graph(raw=_fx(spark, sf).raw(), validate=kw.pop("validate", "report"), **kw)
 
 
 def _view(spark: SparkSession, sf: str, spec=None) -> GraphView:
@@ -83,27 +83,6 @@ def _view(spark: SparkSession, sf: str, spec=None) -> GraphView:
     return GraphView(_fx(spark, sf).canonical(), spec)
 
 
-_SUBGRAPH_LAYERS: dict[tuple[str, str], str] = {}
-
-
-def _layered(spark: SparkSession, sf: str, spec=None) -> SubgraphView:
-    """The stages after extraction read the written subgraph layer, as in the
-    pipeline. The fixture's layer is written once per application and scale."""
-    base = package_registry_spec()
-    key = (spark.sparkContext.applicationId, sf)
-    root = _SUBGRAPH_LAYERS.get(key)
-    if root is None or not path_exists(spark, f"{root}/_complete"):
-        root = scratch_path(spark, "fixture-subgraph")
-        v = _view(spark, sf)
-        write_layer({**{f"node/{n}": v.sub_node(n) for n in base.nodes},
-                     **{f"link/{n}": v.sub_link(n) for n in base.links}}, root)
-        spark.createDataFrame([(1,)], "ok int").write.parquet(f"{root}/_complete")
-        _SUBGRAPH_LAYERS[key] = root
-    nodes = {n: spark.read.parquet(f"{root}/node/{n}") for n in base.nodes}
-    links = {n: spark.read.parquet(f"{root}/link/{n}") for n in base.links}
-    return SubgraphView(nodes, links, spec or base)
-
-
 def _attrs_text(df: DataFrame, cols: list[str]) -> F.Column:
     if not cols:
         return F.lit("")
@@ -122,22 +101,23 @@ def q_scan_raw(spark, sf):
 
 
 def q_write_layers(spark, sf):
+    """Every table of every layer, read back from its files."""
     root = scratch_path(spark, "layers")
-    g = _raw_graph(spark, sf, layer_root=root)
-    final = {f"{t}_final": df for t, df in read_graph(spark, f"{root}/graph").items()}
-    return _union([table_counts(g.canon).withColumn("layer", F.lit("canon")),
-                   table_counts({**g.sub_nodes, **g.sub_links}).withColumn("layer", F.lit("subgraph")),
-                   table_counts(final).withColumn("layer", F.lit("graph"))]
-                  ).select("layer", "table", "n_rows")
+    spec = _raw_graph(spark, sf, layer_root=root).spec
+    folders = {"canon": {t: t for t in spec.inputs},
+               "subgraph": {**{n: f"node/{n}" for n in spec.nodes}, **{n: f"link/{n}" for n in spec.links}},
+               "graph": {f"{t}_final": f"{t}_final" for t in
+                         [*(f"node_{n}" for n in spec.all_node_groups()), *(f"link_{n}" for n in spec.all_link_groups())]}}
+    return _union([
+        table_digests({n: spark.read.parquet(f"{root}/{layer}/{path}") for n, path in tables.items()})
+        .withColumn("layer", F.lit(layer)) for layer, tables in folders.items()])
 
 
 def q_publish(spark, sf):
-    v = _layered(spark, sf)
-    final = {**{f"node_{n}": df for n, df in v.nodes().items()},
-             **{f"link_{n}": df for n, df in v.links().items()}}
-    published = publish(final, database="propgraph_graph",
+    """The final tables, read back from the catalog."""
+    published = publish(_view(spark, sf).final_tables(), database="propgraph_graph",
                         location=scratch_path(spark, "warehouse"))
-    return table_counts(published)
+    return table_digests(published)
 
 
 # ----------------------------------------------------------------- canonicalize
@@ -146,7 +126,8 @@ def q_canon_parse(spark, sf):
 
 
 def q_canon_license(spark, sf):
-    pkg = C.canon_package(_parsed(spark, sf), keep_ord=True)
+    # both sides of the first-occurrence join read the decoded rows
+    pkg = reliable_checkpoint(C.canon_package(_parsed(spark, sf), keep_ord=True))
     return C.canon_license(pkg).select(*C.PACKAGE_COLUMNS)
 
 
@@ -166,7 +147,7 @@ def q_keyword_running(spark, sf):
 
 
 def q_expect_nonempty(spark, sf):
-    return expect_nonempty(C.canonicalize(_parsed(spark, sf)))
+    return C.canonical_counts(_parsed(spark, sf))
 
 
 # ----------------------------------------------------------------- extraction
@@ -186,55 +167,68 @@ def _link_query(name: str):
 
 # ----------------------------------------------------------------- grouping
 def q_node_population(spark, sf):
-    v = _layered(spark, sf)
+    v = _view(spark, sf)
     return _union([population([v.sub_node(c) for c in s.children], ["node_id"])
                    .select(F.lit(name).alias("group"), "node_id")
                    for name, s in v.spec.all_node_groups().items()])
 
 
 def q_link_population(spark, sf):
-    v = _layered(spark, sf)
+    v = _view(spark, sf)
     return _union([population([v.sub_link(c) for c in s.children], ["from_id", "to_id"])
                    .select(F.lit(name).alias("group"), "from_id", "to_id")
                    for name, s in v.spec.all_link_groups().items()])
 
 
 def q_group_nodes(spark, sf):
-    v = _layered(spark, sf)
+    v = _view(spark, sf)
     return _union([df.select(F.lit(f"node_{n}").alias("table"), "node_id")
                    for n, df in v.nodes().items()])
 
 
 def q_group_links(spark, sf):
-    v = _layered(spark, sf)
+    v = _view(spark, sf)
     return _union([df.select(F.lit(f"link_{n}").alias("table"), "link_id", "from_id", "to_id")
                    for n, df in v.links().items()])
 
 
 def _final(kind: str, name: str):
     def q(spark, sf):
-        v = _layered(spark, sf)
+        v = _view(spark, sf)
         return v.node(name) if kind == "node" else v.link(name)
     return q
 
 
 def q_passthrough_nodes(spark, sf):
-    v = _layered(spark, sf)
+    v = _view(spark, sf)
     return _union([v.node(n).select(F.lit(f"node_{n}").alias("table"), "node_id",
                                     _attrs_text(v.node(n), v.node(n).columns[1:]).alias("attrs"))
                    for n in v.spec.all_node_groups() if n not in v.spec.node_groups])
 
 
 def q_passthrough_links(spark, sf):
-    v = _layered(spark, sf)
+    v = _view(spark, sf)
     return _union([v.link(n).select(F.lit(f"link_{n}").alias("table"), "link_id", "from_id",
                                     "to_id", _attrs_text(v.link(n), v.link(n).columns[3:]).alias("attrs"))
                    for n in v.spec.all_link_groups() if n not in v.spec.link_groups])
 
 
+def _swapped(spark, sf, kind, child, resolve):
+    """Digests of all final tables after a resolved table took a child's place."""
+    table = f"{child}_resolved"
+    base = _view(spark, sf)
+    resolved = resolve(base.sub_node(child) if kind == "node" else base.sub_link(child))
+    spec = package_registry_spec().with_swap(kind, child, table)
+    return table_digests(GraphView(base.canon, spec, {table: resolved}).final_tables())
+
+
 def q_group_override(spark, sf):
-    spec = package_registry_spec().with_group_children("node", "maintainer", "author")
-    return _layered(spark, sf, spec).node("person")
+    return _swapped(spark, sf, "node", "author", lambda t: t.withColumn("name", F.upper("name")))
+
+
+def q_group_override_link(spark, sf):
+    return _swapped(spark, sf, "link", "author_has_email",
+                    lambda t: t.withColumn("link_id", F.reverse("link_id")))
 
 
 def q_group_has_email_coalesce(spark, sf):
@@ -242,11 +236,14 @@ def q_group_has_email_coalesce(spark, sf):
     the author child's only)."""
     spec = with_group_select(package_registry_spec(), "link", "has_email",
                              has_email_select(parity=False))
-    return _layered(spark, sf, spec).link("has_email")
+    return _view(spark, sf, spec).link("has_email")
 
 
 def q_build_graph(spark, sf):
-    return _raw_graph(spark, sf).counts()
+    """The final tables of the whole pipeline, read back from the graph layer."""
+    root = scratch_path(spark, "build")
+    _raw_graph(spark, sf, layer_root=root)
+    return table_digests(read_graph(spark, f"{root}/graph"))
 
 
 # ----------------------------------------------------------------- shared pieces
@@ -271,18 +268,17 @@ def q_not_both_blank(spark, sf):
 # ----------------------------------------------------------------- checks / metadata
 def _check(side: str | None):
     def q(spark, sf):
-        c = _layered(spark, sf).check()
-        return c.where(F.col("side") == side) if side else c
+        return _view(spark, sf).check([side] if side else SIDES)
     return q
 
 
 def q_edge_type_summary(spark, sf):
-    v = _layered(spark, sf)
+    v = _view(spark, sf)
     return edge_type_summary(v.links(), v.spec.triplets())
 
 
 def q_graph_catalog(spark, sf):
-    v = _layered(spark, sf)
+    v = _view(spark, sf)
     return graph_catalog(v.nodes(), v.links(), v.spec.triplets())
 
 
@@ -320,6 +316,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "passthrough_nodes": q_passthrough_nodes,
         "passthrough_links": q_passthrough_links,
         "group_override": q_group_override,
+        "group_override_link": q_group_override_link,
         "build_graph": q_build_graph,
         "distinct_on": q_distinct_on,
         "key_id": q_key_id,

@@ -1,6 +1,7 @@
 """Command line: the pipeline's two entry points plus the catalog profile.
 
-  spark-submit propgraph_cli.py build   --raw PATH --layers ROOT [--ord-col ord]
+  spark-submit propgraph_cli.py build   --raw PATH --layers ROOT [--ord-col ord | --ord-by-name]
+  spark-submit propgraph_cli.py canon   --canon FOLDER --layers ROOT
   spark-submit propgraph_cli.py publish --layers ROOT --database NAME [--location PATH]
   spark-submit propgraph_cli.py catalog --layers ROOT [--out PATH]
 
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .operators import edge_type_summary, graph_catalog
 from .plans.graph import build_graph
@@ -27,6 +28,14 @@ def _split(final):
     return nodes, links
 
 
+def _show(report: DataFrame) -> None:
+    """Print a whole report: one row per check, table or column, whatever the spec."""
+    rows = report.collect()
+    print(" | ".join(report.columns))
+    for r in rows:
+        print(" | ".join(str(v) for v in r))
+
+
 def main(argv: list[str] | None = None) -> None:
     """Parse the command line and run one command."""
     ap = argparse.ArgumentParser(prog="propgraph")
@@ -34,9 +43,14 @@ def main(argv: list[str] | None = None) -> None:
     b = sub.add_parser("build", help="raw snapshot -> canonical, subgraph and graph layers")
     b.add_argument("--raw", required=True, help="parquet with name, latest (and ord)")
     b.add_argument("--layers", required=True, help="root folder for the three layers")
-    b.add_argument("--ord-col", default="ord", help="input order column (default: name)")
+    b.add_argument("--ord-col", default="ord", help="input order column, unique and not NULL")
+    b.add_argument("--ord-by-name", action="store_true", help="order by name instead")
     b.add_argument("--validate", choices=("raise", "report"), default="raise")
     b.add_argument("--on-malformed", choices=("fail", "drop", "keep"), default="fail")
+    n = sub.add_parser("canon", help="canonical tables -> subgraph and graph layers")
+    n.add_argument("--canon", required=True, help="folder with the five latest_* tables")
+    n.add_argument("--layers", required=True, help="root folder for the layers")
+    n.add_argument("--validate", choices=("raise", "report"), default="raise")
     p = sub.add_parser("publish", help="save the final tables of a graph layer in a catalog")
     p.add_argument("--layers", required=True)
     p.add_argument("--database", default="graph")
@@ -49,11 +63,16 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"propgraph-{args.cmd}").getOrCreate()
     spec = package_registry_spec()
     if args.cmd == "build":
-        g = build_graph(raw=scan_raw(spark, args.raw, args.ord_col), spec=spec,
-                        layer_root=args.layers, validate=args.validate,
+        source = scan_raw(spark, args.raw, None if args.ord_by_name else args.ord_col)
+        g = build_graph(raw=source, spec=spec, layer_root=args.layers, validate=args.validate,
                         on_malformed=args.on_malformed)
-        g.check.show(26, truncate=False)
-        g.counts().show(21, truncate=False)
+        _show(g.check)
+        _show(g.counts())
+    elif args.cmd == "canon":
+        canon = {t: spark.read.parquet(f"{args.canon}/{t}") for t in spec.inputs}
+        g = build_graph(canon=canon, spec=spec, layer_root=args.layers, validate=args.validate)
+        _show(g.check)
+        _show(g.counts())
     elif args.cmd == "publish":
         published = publish(read_graph(spark, f"{args.layers}/graph"), args.database, args.location)
         print(f"published {len(published)} tables to {args.database}")
@@ -63,8 +82,8 @@ def main(argv: list[str] | None = None) -> None:
         if args.out:
             profile.write.mode("overwrite").parquet(args.out)
         else:
-            profile.show(200, truncate=False)
-            edge_type_summary(links, spec.triplets()).show(truncate=False)
+            _show(profile)
+            _show(edge_type_summary(links, spec.triplets()))
 
 
 if __name__ == "__main__":

@@ -8,6 +8,8 @@ package-registry records were first parsed with.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,6 +48,12 @@ def after_last(c: ColumnOrName, sep: str) -> Column:
     return F.substring_index(_col(c), sep, -1)
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once however often ``body`` uses it
+    (the optimizer would otherwise copy its regexes to every use)."""
+    return F.transform(F.array(value), body)[0]
+
+
 def top_level_domain(domain: ColumnOrName) -> Column:
     """Text after the last '.' of a domain; NULL without a dot."""
     d = _col(domain)
@@ -59,19 +67,26 @@ def url_features(url: ColumnOrName) -> Column:
     folded to ``/`` once; empty parts are NULL. An authority with an unpaired
     IPv6 bracket, which ``urlparse`` rejects, yields NULL parts.
     """
-    u = F.regexp_replace(_col(url), r"^[\x{00}-\x{20}]+", "")
-    u = F.regexp_replace(u, r"[\t\r\n]", "")
-    scheme = F.lower(F.regexp_extract(u, URL_PATTERN, 1))
-    netloc = F.regexp_extract(u, URL_PATTERN, 2)
-    raw_path = F.regexp_extract(u, URL_PATTERN, 3)
-    path = F.when(scheme.isin(*PARAM_SCHEMES),
-                  F.regexp_replace(raw_path, r";[^/]*$", "")).otherwise(raw_path)
-    bad = netloc.contains("[") != netloc.contains("]")
-    domain = F.when(~bad & (netloc != ""), netloc)
-    path = F.when(~bad & (path != ""), F.replace(path, F.lit("//"), F.lit("/")))
-    return F.struct(domain.alias("domain"),
-                    top_level_domain(domain).alias("top_level_domain"),
-                    path.alias("path"))
+    def parts(u: Column) -> Column:
+        """scheme, authority and path in one match; a cleaned URL has no line
+        end, so one can separate them."""
+        return F.split(F.regexp_replace(u, URL_PATTERN + ".*$", "$1\n$2\n$3"), "\n", -1)
+
+    def features(p: Column) -> Column:
+        netloc, raw_path = p[1], p[2]
+        path = F.when(F.lower(p[0]).isin(*PARAM_SCHEMES) & raw_path.contains(";"),
+                      F.regexp_replace(raw_path, r";[^/]*$", "")).otherwise(raw_path)
+        bad = netloc.contains("[") != netloc.contains("]")
+        domain = F.when(~bad & (netloc != ""), netloc)
+        path = F.when(~bad & (path != ""), F.replace(path, F.lit("//"), F.lit("/")))
+        return F.struct(domain.alias("domain"),
+                        top_level_domain(domain).alias("top_level_domain"),
+                        path.alias("path"))
+
+    raw = _col(url)
+    stripped = F.regexp_replace(raw, r"^[\x{00}-\x{20}]+", "")
+    clean = F.when(raw.rlike(r"[\x{00}-\x{20}]"), F.regexp_replace(stripped, r"[\t\r\n]", "")).otherwise(raw)
+    return bind(clean, lambda u: bind(parts(u), features))
 
 
 def github_parts(domain: ColumnOrName, path: ColumnOrName) -> Column:

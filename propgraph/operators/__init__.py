@@ -5,10 +5,10 @@ from .checks import assert_valid, check_graph
 from .distinct import distinct_on
 from .extract import extract_link, extract_node
 from .group import group_links, group_nodes, merge_children, passthrough, population
-from .profile import edge_type_summary, expect_nonempty, graph_catalog, table_counts
-from .running import drop_first_occurrences, null_first_occurrence
+from .profile import edge_type_summary, expect_nonempty, graph_catalog, table_counts, table_digests
+from .running import drop_first_occurrences, null_first_occurrence, require_order
 
 __all__ = ["assert_valid", "check_graph", "distinct_on", "extract_link", "extract_node",
            "group_links", "group_nodes", "merge_children", "passthrough", "population",
-           "edge_type_summary", "expect_nonempty", "graph_catalog", "table_counts",
-           "drop_first_occurrences", "null_first_occurrence"]
+           "edge_type_summary", "expect_nonempty", "graph_catalog", "table_counts", "table_digests",
+           "drop_first_occurrences", "null_first_occurrence", "require_order"]

@@ -13,6 +13,7 @@ All links and both ends are checked in one pass:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -21,29 +22,32 @@ from pyspark.sql import functions as F
 CHECK_SCHEMA = "link string, side string, node string"
 
 
-def _ends(links: dict[str, DataFrame], subgraphs: dict[str, tuple[str, str]]) -> DataFrame:
+SIDES = ("from_id", "to_id")
+
+
+def _ends(links: dict[str, DataFrame], subgraphs: dict[str, tuple[str, str]],
+          sides: Sequence[str]) -> DataFrame:
     parts = []
     for name, df in links.items():
-        src, dst = subgraphs[name]
-        parts.append(df.select(F.explode(F.array(
-            F.struct(F.lit(name).alias("link"), F.lit("from_id").alias("side"),
-                     F.lit(src).alias("node"), F.col("from_id").alias("id")),
-            F.struct(F.lit(name).alias("link"), F.lit("to_id").alias("side"),
-                     F.lit(dst).alias("node"), F.col("to_id").alias("id")))).alias("e"))
-                     .select("e.*"))
+        ends = dict(zip(SIDES, subgraphs[name]))
+        parts.append(df.select(F.explode(F.array(*[
+            F.struct(F.lit(name).alias("link"), F.lit(side).alias("side"),
+                     F.lit(ends[side]).alias("node"), F.col(side).alias("id")) for side in sides])
+        ).alias("e")).select("e.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
 def check_graph(nodes: dict[str, DataFrame], links: dict[str, DataFrame],
-                subgraphs: dict[str, tuple[str, str]]) -> DataFrame:
+                subgraphs: dict[str, tuple[str, str]], sides: Sequence[str] = SIDES) -> DataFrame:
     """One row per (link, side): n_links, n_nodes (rows of the node table),
-    n_ids (distinct ids at that end), n_orphans (of those, not a node id)."""
+    n_ids (distinct ids at that end), n_orphans (of those, not a node id).
+    ``sides`` limits the check; the other end is then not read."""
     spark = next(iter(links.values())).sparkSession
-    wanted = [(l, side, subgraphs[l][i]) for l in links for i, side in enumerate(("from_id", "to_id"))]
+    wanted = [(l, side, subgraphs[l][SIDES.index(side)]) for l in links for side in sides]
     checks = spark.createDataFrame(wanted, CHECK_SCHEMA)
     used = {w[2] for w in wanted}
 
-    ends = (_ends(links, subgraphs).groupBy("link", "side", "node", "id")
+    ends = (_ends(links, subgraphs, sides).groupBy("link", "side", "node", "id")
             .agg(F.count(F.lit(1)).alias("n")))
     ids = (reduce(DataFrame.unionByName, [
         df.select(F.lit(n).alias("node"), F.col("node_id").alias("id"))

@@ -25,7 +25,8 @@ def extract_node(src: DataFrame, spec: NodeSpec) -> DataFrame:
                            *[F.col(pos[a[1]]).alias(a[0]) for a in spec.attrs])
     df = df.select(*[F.col(k).alias(kc) for k, kc in zip(spec.keys, kcols)],
                    *[attr_column(a) for a in spec.attrs])
-    df = distinct_on(df, kcols)
+    # attributes the key fixes need no picked row: a distinct is a hash aggregate
+    df = df.distinct() if spec.determined else distinct_on(df, kcols)
     return df.select(key_id(*kcols).alias("node_id"), *[a[0] for a in spec.attrs])
 
 

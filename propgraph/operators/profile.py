@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,26 @@ def table_counts(tables: dict[str, DataFrame], label: str = "table") -> DataFram
         for n, df in tables.items()])
 
 
+def _row_digest(cols: list[str]) -> Column:
+    """md5 of a row's text: every column as text (``<null>`` for NULL), each ended by U+001F."""
+    return F.md5(F.concat(*[x for c in cols for x in (
+        F.coalesce(F.col(c).cast("string"), F.lit("<null>")), F.lit("\x1f"))]))
+
+
+def table_digests(tables: dict[str, DataFrame], label: str = "table") -> DataFrame:
+    """(label, n_rows, digest_sum, digest_xor) per table: an order-free digest
+    of all rows and columns, from one partial aggregate each. The sum is over
+    the first 32 bits of each row's md5, the xor over the next 60."""
+    def one(name: str, df: DataFrame) -> DataFrame:
+        bits = df.select(_row_digest(sorted(df.columns)).alias("h")).select(
+            F.conv(F.substring("h", 1, 8), 16, 10).cast("long").alias("a"),
+            F.conv(F.substring("h", 9, 15), 16, 10).cast("long").alias("b"))
+        return bits.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("a"), F.lit(0)).alias("digest_sum"),
+                        F.coalesce(F.bit_xor("b"), F.lit(0)).cast("long").alias("digest_xor")).select(
+            F.lit(name).alias(label), "n_rows", "digest_sum", "digest_xor")
+    return reduce(DataFrame.unionByName, [one(n, df) for n, df in tables.items()])
+
+
 def expect_nonempty(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, n_rows, ok); ``ok`` is False for an empty table."""
     return table_counts(tables).withColumn("ok", F.col("n_rows") > 0)

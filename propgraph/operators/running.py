@@ -13,6 +13,8 @@ and a window over it would put them in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,10 +22,24 @@ from pyspark.sql import functions as F
 from ..session import reliable_checkpoint
 
 
+#: Rows one bucket of ``drop_first_occurrences`` aims at.
+BUCKET_ROWS = 1_000_000
+
+
+def require_order(df: DataFrame, order: Sequence[str]) -> None:
+    """Raise unless the ``order`` columns are never NULL and unique over the rows
+    (one aggregate with map-side combine; at most one row reaches the driver)."""
+    order = list(order)
+    bad = (df.select(*order).groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
+             .where((F.col("_n") > 1) | reduce(or_, [F.col(c).isNull() for c in order])).limit(1).collect())
+    if bad:
+        raise ValueError(f"order columns {order} must be unique and not NULL: {bad[0].asDict()}")
+
+
 def null_first_occurrence(df: DataFrame, col: str, ord_col: str) -> DataFrame:
     """Per value of ``col``: min(ord) by partial aggregation, then a join back
-    on (value, ord). ``ord`` is unique, so that join key spreads a hot value
-    over all partitions; AQE broadcasts the first-occurrence side when its
+    on (value, ord). ``ord`` must be unique and not NULL (``require_order``
+    checks it), so that join key spreads a hot value over all partitions; AQE broadcasts the first-occurrence side when its
     measured size is small.
     """
     firsts = (df.where(F.col(col).isNotNull())
@@ -39,11 +55,14 @@ def drop_first_occurrences(df: DataFrame, key: str, order: Sequence[str], k: int
                            n_buckets: int | None = None) -> DataFrame:
     """Keep a row only when its running count within ``key`` exceeds ``k``.
 
-    ``order`` must be unique per row. Exact and skew-proof:
+    ``order`` must be unique per row and not NULL (``require_order``). Without
+    ``n_buckets`` there is one bucket per ``BUCKET_ROWS`` rows, and one per
+    shuffle partition at least, so a bucket fits a task at any size; ``df`` is
+    then checkpointed first. Exact and skew-proof:
 
     1. range-partition rows on ``order`` into buckets and tag each row with its
-       bucket; write the tagged rows to the shared folder, so a recomputed
-       task cannot move a row;
+       bucket; checkpoint the tagged rows, so a recomputed task cannot move a
+       row;
     2. count rows per (key, bucket) with map-side combine;
     3. prefix-sum those counts per key over buckets (a key has at most
        ``n_buckets`` rows there);
@@ -56,7 +75,9 @@ def drop_first_occurrences(df: DataFrame, key: str, order: Sequence[str], k: int
     order = list(order)
     spark = df.sparkSession
     if n_buckets is None:
-        n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = reliable_checkpoint(df)        # counted, sampled and shuffled: computed once
+        n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                        -(-df.count() // BUCKET_ROWS))
     tagged = (df.repartitionByRange(n_buckets, *order)
                 .withColumn("_bucket", F.spark_partition_id()))
     tagged = reliable_checkpoint(tagged)

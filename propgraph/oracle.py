@@ -148,6 +148,7 @@ def _nb(c: str) -> str:
 
 
 # name: (source, keys, [(out, expr)], where)
+# --- fixed values: tables, keys, attributes, filters, link ends -----------------
 NODES = {
     "package": ("latest_package", ["pkg_name"],
                 [("name", "name"), ("package_url", "package_url"),
@@ -292,6 +293,7 @@ TRIPLETS = {
     "url_hosted_by": ("url", "domain"), "released_by": ("package", "github_account"),
     "released_from": ("package", "github_repo"), "owned_by": ("github_repo", "github_account"),
 }
+# --------------------------------------------------------------------------------
 
 
 def _dedup(table: str, key: list[str], cols: list[str]) -> str:
@@ -370,6 +372,36 @@ def _counts(tables: list[tuple[str, str]], label: str = "table") -> str:
         for name, cte in tables)
 
 
+def _digests(tables: list[tuple[str, str, list[str]]], lead: str = "") -> str:
+    """(table, n_rows, digest_sum, digest_xor) of (name, cte, columns) tables."""
+    parts = []
+    for name, cte, cols in tables:
+        text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '<null>'), chr(31)" for c in sorted(cols))
+        parts.append(
+            f"SELECT {lead}{_q(name)} AS \"table\", CAST(count(*) AS BIGINT) AS n_rows, "
+            "CAST(coalesce(sum(CAST('0x' || substr(h, 1, 8) AS BIGINT)), 0) AS BIGINT) AS digest_sum, "
+            "coalesce(bit_xor(CAST('0x' || substr(h, 9, 15) AS BIGINT)), 0) AS digest_xor "
+            f"FROM (SELECT md5(concat({text})) AS h FROM {cte}) d")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _with_cols(tables: list[tuple[str, str]]) -> list[tuple[str, str, list[str]]]:
+    return [(t, cte, FINAL_COLS[t]) for t, cte in tables]
+
+
+CANON_COLS = {
+    "latest_package": ["pkg_name", "name", "package_url", "requires_python", "version", "num_releases",
+                       "num_requires_dist", "license"],
+    "latest_requirement": ["pkg_name", "required_pkg_name", "num_match_dist", "requirement_string",
+                           "newest_dist", "oldest_dist"],
+    "latest_url": ["pkg_name", "url", "url_type", "domain", "top_level_domain", "path", "github_repo",
+                   "github_account"],
+    "latest_keyword": ["pkg_name", "keyword"],
+    "latest_email": ["pkg_name", "person_name", "email_record", "email", "domain", "top_level_domain",
+                     "role"],
+}
+
+
 def _final_tables(prefix: str) -> list[tuple[str, str]]:
     return ([(f"node_{n}", f"{prefix}fn_{n}") for n in FINAL_NODES]
             + [(f"link_{n}", f"{prefix}fl_{n}") for n in FINAL_LINKS])
@@ -491,11 +523,21 @@ def oracle_queries() -> dict[str, str]:
         f"SELECT 'link_{n}' AS \"table\", link_id, from_id, to_id, "
         f"{_attrs_text(LINK_COLS[n][3:])} AS attrs FROM fl_{n}"
         for n in PASS_LINKS), [f"fl_{n}" for n in PASS_LINKS])
-    # maintainer swapped for author before grouping persons
+    # a resolved table grouped in the place of one child: all other tables stay as they are
+    o.ctes["n_author_resolved"] = ("SELECT node_id, upper(name) AS name, email FROM n_author", ("n_author",))
+    o.ctes["l_author_has_email_resolved"] = (
+        "SELECT reverse(link_id) AS link_id, from_id, to_id FROM l_author_has_email", ("l_author_has_email",))
     ch, select, distinct = NODE_GROUPS["person"]
-    q["group_override"] = o.sql(group_sql(["n_author", "n_author"],
-                                          [NODE_COLS["author"]] * 2, ["node_id"], select, distinct),
-                                ["n_author"])
+    o.ctes["fn_person_swapped"] = (group_sql(["n_author_resolved", "n_maintainer"], [NODE_COLS["author"]] * 2,
+                                             ["node_id"], select, distinct), ("n_author_resolved", "n_maintainer"))
+    ch, select, distinct = LINK_GROUPS["has_email"]
+    o.ctes["fl_has_email_swapped"] = (
+        group_sql(["l_author_has_email_resolved", "l_maintainer_has_email"], [LINK_COLS[c] for c in ch],
+                  ["from_id", "to_id"], select, distinct),
+        ("l_author_has_email_resolved", "l_maintainer_has_email"))
+    for key, table in (("group_override", "node_person"), ("group_override_link", "link_has_email")):
+        swapped = [(t, cte + "_swapped" if t == table else cte) for t, cte in _final_tables("")]
+        q[key] = o.sql(_digests(_with_cols(swapped)), [c for _, c in swapped])
     q["distinct_on"] = o.sql(
         "SELECT DISTINCT ON (pkg_name, url) * FROM latest_url ORDER BY pkg_name, url, "
         "url_type NULLS FIRST, domain NULLS FIRST, top_level_domain NULLS FIRST, path NULLS FIRST, "
@@ -517,13 +559,12 @@ def oracle_queries() -> dict[str, str]:
         f"CAST(count(DISTINCT to_id) AS BIGINT) AS n_targets FROM fl_{l}" for l in FINAL_LINKS),
         [f"fl_{l}" for l in FINAL_LINKS])
     q["graph_catalog"] = catalog_sql(o)
-    q["build_graph"] = o.sql(_counts(_final_tables("r")), [t for _, t in _final_tables("r")])
-    layers = ([("canon", n, c) for n, c in canon_raw]
-              + [("subgraph", n, f"rn_{n}") for n in NODES]
-              + [("subgraph", n, f"rl_{n}") for n in LINKS]
-              + [("graph", f"{t}_final", c) for t, c in _final_tables("r")])
-    q["write_layers"] = o.sql("\nUNION ALL\n".join(
-        f"SELECT {_q(layer)} AS layer, {_q(n)} AS \"table\", CAST(count(*) AS BIGINT) AS n_rows FROM {c}"
-        for layer, n, c in layers), [c for _, _, c in layers])
-    q["publish"] = o.sql(_counts(_final_tables("")), [t for _, t in _final_tables("")])
+    q["build_graph"] = o.sql(_digests(_with_cols(_final_tables("r"))), [t for _, t in _final_tables("r")])
+    layers = {"canon": [(n, c, CANON_COLS[n]) for n, c in canon_raw],
+              "subgraph": [(n, f"rn_{n}", NODE_COLS[n]) for n in NODES] + [(n, f"rl_{n}", LINK_COLS[n]) for n in LINKS],
+              "graph": [(f"{t}_final", c, FINAL_COLS[t]) for t, c in _final_tables("r")]}
+    q["write_layers"] = o.sql(
+        "\nUNION ALL\n".join(_digests(ts, f"{_q(layer)} AS layer, ") for layer, ts in layers.items()),
+        [c for ts in layers.values() for _, c, _ in ts])
+    q["publish"] = o.sql(_digests(_with_cols(_final_tables(""))), [t for _, t in _final_tables("")])
     return q

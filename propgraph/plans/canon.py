@@ -56,14 +56,17 @@ def parsed_fields(parsed: DataFrame) -> DataFrame:
 # (canonical_entries) writes all kinds per record, and the same explode and
 # finish functions run on the written entries.
 
+def _package_fields() -> list[Column]:
+    return [F.col("ord"), F.col("name").alias("pkg_name"), _info("name").alias("name"),
+            _info("package_url").alias("package_url"),
+            _info("requires_python").alias("requires_python"), _info("version").alias("version"),
+            to_int("j.num_releases").alias("num_releases"),
+            to_int("j.num_info_dependencies").alias("num_requires_dist"),
+            _info("license").alias("license")]
+
+
 def _package_entries() -> Column:
-    return F.array(F.struct(
-        F.col("ord").alias("ord"), F.col("name").alias("pkg_name"), _info("name").alias("name"),
-        _info("package_url").alias("package_url"),
-        _info("requires_python").alias("requires_python"), _info("version").alias("version"),
-        to_int("j.num_releases").alias("num_releases"),
-        to_int("j.num_info_dependencies").alias("num_requires_dist"),
-        _info("license").alias("license")))
+    return F.array(F.struct(*_package_fields()))
 
 
 def _finish_package(rows: DataFrame, keep_ord: bool = False) -> DataFrame:
@@ -71,7 +74,12 @@ def _finish_package(rows: DataFrame, keep_ord: bool = False) -> DataFrame:
 
 
 def _requirement_entries() -> Column:
-    return F.transform(F.map_entries(F.col("j.requires")), lambda e: F.struct(
+    """Of a key given twice, the last entry counts (only records kept although
+    malformed have any)."""
+    entries, keys = F.map_entries(F.col("j.requires")), F.map_keys(F.col("j.requires"))
+    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    once = F.size(keys) == F.size(F.array_distinct(keys))
+    return F.transform(F.when(once, entries).otherwise(last), lambda e: F.struct(
         F.col("name").alias("pkg_name"), e["key"].alias("required_pkg_name"),
         e["value"].alias("v")))
 
@@ -163,7 +171,7 @@ def _explode(parsed: DataFrame, entries: Column) -> DataFrame:
 
 def canon_package(parsed: DataFrame, keep_ord: bool = False) -> DataFrame:
     """Eight scalar fields per package; license as read (no first-occurrence rule)."""
-    return _finish_package(_explode(parsed, _package_entries()), keep_ord)
+    return _finish_package(parsed.select(*_package_fields()), keep_ord)
 
 
 def canon_license(package: DataFrame) -> DataFrame:
@@ -226,6 +234,42 @@ def canonicalize(parsed: DataFrame, keyword_threshold: int = KEYWORD_MIN_COUNT,
     }
 
 
+def canonical_counts(parsed: DataFrame, keyword_threshold: int = KEYWORD_MIN_COUNT) -> DataFrame:
+    """(table, n_rows, ok): rows of the five canonical tables, from one decode.
+
+    Per record the entries of each kind are only counted; a keyword's kept rows
+    are its occurrences past the threshold, so their number needs no order.
+    """
+    addresses = F.aggregate(
+        F.transform(_person_entries(), lambda r: F.size(F.split(
+            person_and_email(r["person"], r["pe"])["email_record"], ",", -1))),
+        F.lit(0), lambda a, n: a + n)
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    per_record = {"latest_package": F.lit(1),
+                  "latest_requirement": F.when(F.col("j.requires").isNotNull(), size(_requirement_entries()))
+                  .otherwise(F.lit(0)),
+                  "latest_url": size(_url_entries()), "latest_email": addresses}
+    none = F.lit(None).cast("string")
+    parts = [F.struct(F.lit(t).alias("table"), none.alias("keyword"), n.cast("long").alias("n"))
+             for t, n in per_record.items()]
+    words = F.filter(F.transform(F.col("_tokens"), clean_keyword), lambda w: w != "")
+    keywords = F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.struct(
+        F.lit("latest_keyword").alias("table"), w.alias("keyword"), F.lit(1).cast("long").alias("n")))
+    rows = (parsed.withColumn("_tokens", keyword_tokens(_variant_text(_info("keywords"))))
+            .select(F.explode(F.concat(F.array(*parts), keywords)).alias("e"), F.col("name").alias("_name"))
+            .select("e.*", "_name"))
+    # the name carries the malformed-record check, so it must be evaluated
+    sums = rows.where(F.col("_name").isNotNull() | F.col("table").isNotNull()).groupBy("table", "keyword").agg(
+        F.sum("n").alias("n"), F.count("_name").alias("_names"))
+    kept = F.when(F.col("table") == "latest_keyword", F.greatest(F.col("n") - keyword_threshold, F.lit(0))
+                  ).otherwise(F.col("n"))
+    totals = sums.groupBy("table").agg(F.sum(kept).alias("n"), F.sum("_names").alias("_names"))
+    names = parsed.sparkSession.createDataFrame([(t,) for t in (*per_record, "latest_keyword")], "table string")
+    n_rows = F.when(F.col("_names") >= 0, F.col("n")).otherwise(F.lit(0))
+    return names.join(totals, "table", "left").select(
+        "table", n_rows.alias("n_rows"), (n_rows > 0).alias("ok"))
+
+
 # --- single pass ------------------------------------------------------------------
 
 ROW_KINDS = {"package": _package_entries, "requirement": _requirement_entries,

@@ -18,17 +18,19 @@ feed 26 checks and 21 final tables):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ..operators.checks import assert_valid, check_graph
+from ..operators.checks import SIDES, assert_valid, check_graph
 from ..operators.extract import extract_link, extract_node
 from ..operators.group import group_links, group_nodes
 from ..operators.profile import assert_nonempty, expect_nonempty, table_counts
 from ..sources.layers import write_layer, write_manifest
-from ..session import scratch_path
+from ..operators.running import require_order
+from ..session import remove_path, scratch_path
 from ..sources.raw import parse_raw
 from .canon import KEYWORD_MIN_COUNT, canonical_entries, canonical_from_entries, canonicalize
 from .spec import GraphSpec, package_registry_spec
@@ -81,8 +83,8 @@ class GraphView:
 
     Nothing is planned until a table is asked for, so a caller that needs one
     final table builds only its children (no 46-plan analysis up front).
-    ``overrides`` replaces subgraph tables by name before grouping (e.g. a
-    resolved version of one child).
+    ``overrides`` gives tables by name before grouping: in the place of a
+    subgraph table of that name, or as a new table the spec swaps in.
     """
 
     def __init__(self, canon: dict[str, DataFrame], spec: GraphSpec | None = None,
@@ -90,6 +92,10 @@ class GraphView:
         self.canon = canon
         self.spec = spec or package_registry_spec()
         self.overrides = dict(overrides or {})
+        unknown = set(self.overrides) - {*self.spec.nodes, *self.spec.links,
+                                         *self.spec.node_swaps.values(), *self.spec.link_swaps.values()}
+        if unknown:
+            raise ValueError(f"overrides of no table of the graph: {sorted(unknown)}")
         self._memo: dict[tuple[str, str], DataFrame] = {}
 
     def _get(self, kind: str, name: str, build) -> DataFrame:
@@ -114,7 +120,8 @@ class GraphView:
         key (md5 is injective, NULL -> 'null'), or for a link a distinct key
         made of one source and one target column. Composite person keys are
         not: NULL and '' parts share an id."""
-        if name in self.overrides:
+        swaps = self.spec.node_swaps if kind == "node" else self.spec.link_swaps
+        if name in self.overrides or name in swaps:
             return False
         if kind == "node":
             return len(self.spec.nodes[name].keys) == 1
@@ -127,14 +134,22 @@ class GraphView:
         if g.select is None and self._ids_unique("node", g.children[0]):
             return self.sub_node(g.children[0])      # pass-through, no shuffle needed
         return self._get("node", group, lambda: group_nodes(
-            [self.sub_node(c) for c in g.children], g.select, g.distinct))
+            [self._child("node", c) for c in g.children], g.select, g.distinct))
 
     def link(self, group: str) -> DataFrame:
         g = self.spec.all_link_groups()[group]
         if g.select is None and self._ids_unique("link", g.children[0]):
             return self.sub_link(g.children[0])
         return self._get("link", group, lambda: group_links(
-            [self.sub_link(c) for c in g.children], g.select, g.distinct))
+            [self._child("link", c) for c in g.children], g.select, g.distinct))
+
+    def _child(self, kind: str, name: str) -> DataFrame:
+        """The table grouped for a child: its swap, if the spec has one."""
+        table = (self.spec.node_swaps if kind == "node" else self.spec.link_swaps).get(name, name)
+        known = self.spec.nodes if kind == "node" else self.spec.links
+        if table not in self.overrides and table not in known:
+            raise ValueError(f"no {kind} table {table} to group in place of {name}")
+        return self.sub_node(table) if kind == "node" else self.sub_link(table)
 
     def sub_nodes(self) -> dict[str, DataFrame]:
         return {n: self.sub_node(n) for n in self.spec.nodes}
@@ -148,8 +163,12 @@ class GraphView:
     def links(self) -> dict[str, DataFrame]:
         return {g: self.link(g) for g in self.spec.all_link_groups()}
 
-    def check(self) -> DataFrame:
-        return check_graph(self.sub_nodes(), self.sub_links(), self.spec.subgraphs)
+    def check(self, sides: Sequence[str] = SIDES) -> DataFrame:
+        return check_graph(self.sub_nodes(), self.sub_links(), self.spec.subgraphs, sides)
+
+    def final_tables(self) -> dict[str, DataFrame]:
+        return {**{f"node_{n}": df for n, df in self.nodes().items()},
+                **{f"link_{n}": df for n, df in self.links().items()}}
 
 
 def group_graph(sub_nodes: dict[str, DataFrame], sub_links: dict[str, DataFrame],
@@ -175,9 +194,13 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
                 spec: GraphSpec | None = None, layer_root: str | None = None,
                 validate: str = "raise", keyword_threshold: int = KEYWORD_MIN_COUNT,
                 on_malformed: str = "fail", materialize: str | None = "write",
-                overrides: dict[str, DataFrame] | None = None) -> Graph:
+                overrides: dict[str, DataFrame] | None = None,
+                keyword_buckets: int | None = None) -> Graph:
     """Build the property graph from a raw snapshot or from canonical tables.
 
+    ``raw.ord`` must be unique and not NULL. A run on a ``layer_root`` that
+    already holds layers overwrites them.
+
     validate: 'raise' stops on an empty canonical table or on any link end
     missing from its node table; 'report' only returns the check table.
     """
@@ -194,25 +217,23 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
 
     cached: list[DataFrame] = []
     if canon is None:
+        require_order(raw, ["ord"])
         parsed = parse_raw(raw, on_malformed)
         if materialize == "write":
             # One decode: every kind of entries per record, written once; each
             # canonical table reads its column (pruned) and explodes it.
             entries_path = f"{layer_root}/canon/_entries"
-            canonical_entries(parsed).write.parquet(entries_path)
+            canonical_entries(parsed).write.mode("overwrite").parquet(entries_path)
             entries = parsed.sparkSession.read.parquet(entries_path)
-            canon = canonical_from_entries(entries, keyword_threshold, deferred=True)
-            # The requirement finish is a cheap projection (no regex) with two
-            # readers: they explode its entries column instead of reading a
-            # rewritten copy of what may be the largest canonical table.
-            lazy = {"latest_requirement": canon.pop("latest_requirement")}
-            canon = {**write_layer(canon, f"{layer_root}/canon"), **lazy}
+            canon = write_layer(canonical_from_entries(entries, keyword_threshold, keyword_buckets,
+                                                       deferred=True), f"{layer_root}/canon")
+            remove_path(parsed.sparkSession, entries_path)      # its readers are written
         elif materialize == "persist":
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-            canon = _persist(canonicalize(parsed, keyword_threshold), materialize)
+            canon = _persist(canonicalize(parsed, keyword_threshold, keyword_buckets), materialize)
             cached.append(parsed)
         else:
-            canon = canonicalize(parsed, keyword_threshold)
+            canon = canonicalize(parsed, keyword_threshold, keyword_buckets)
     if validate == "raise":
         assert_nonempty(expect_nonempty(canon))
     sub_nodes, sub_links = extract_subgraph(canon, spec)
@@ -231,19 +252,11 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
     g = Graph(canon, sub_nodes, sub_links, check, nodes, links, spec)
     g.cached = tuple(cached)
     if materialize == "write":
-        # Pass-through tables that needed no dedup are the subgraph files
-        # already; only merged or deduped tables are written again.
-        given = {id(df) for df in (*sub_nodes.values(), *sub_links.values())}
-        new = {k: df for k, df in g.final_tables("_final").items() if id(df) not in given}
-        final = write_layer(new, f"{layer_root}/graph")
-        g.nodes = {n: final.get(f"node_{n}_final", df) for n, df in nodes.items()}
-        g.links = {n: final.get(f"link_{n}_final", df) for n, df in links.items()}
-        paths = {f"node_{n}": f"{layer_root}/graph/node_{n}_final" if f"node_{n}_final" in final
-                 else f"{layer_root}/subgraph/node/{spec.all_node_groups()[n].children[0]}"
-                 for n in nodes}
-        paths.update({f"link_{n}": f"{layer_root}/graph/link_{n}_final" if f"link_{n}_final" in final
-                      else f"{layer_root}/subgraph/link/{spec.all_link_groups()[n].children[0]}"
-                      for n in links})
-        write_manifest(some.sparkSession, paths, f"{layer_root}/graph")
+        names = g.final_tables("_final")
+        final = write_layer(names, f"{layer_root}/graph")
+        g.nodes = {n: final[f"node_{n}_final"] for n in nodes}
+        g.links = {n: final[f"link_{n}_final"] for n in links}
+        write_manifest(some.sparkSession, {n.removesuffix("_final"): n for n in names},
+                       f"{layer_root}/graph")
         g.layer_root = layer_root
     return g

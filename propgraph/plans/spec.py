@@ -9,7 +9,7 @@ needs a live session.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,12 +36,18 @@ def attr_column(attr: Attr) -> Column:
 
 @dataclass(frozen=True)
 class NodeSpec:
-    """A node table: source table, natural key, attributes, row filter."""
+    """A node table: source table, natural key, attributes, row filter.
+
+    ``determined``: the key fixes the attributes in the source (a URL its
+    parts, a domain its top-level domain), so a distinct of both is one row per
+    key; otherwise one row is picked per key.
+    """
     name: str
     source: str
     keys: tuple[str, ...]
     attrs: tuple[Attr, ...]
     where: ColumnFn | None = None
+    determined: bool = False
 
 
 @dataclass(frozen=True)
@@ -80,6 +86,8 @@ class GraphSpec:
     subgraphs: dict[str, tuple[str, str]]          # link -> (source node, target node)
     node_groups: dict[str, GroupSpec] = field(default_factory=dict)
     link_groups: dict[str, GroupSpec] = field(default_factory=dict)
+    node_swaps: dict[str, str] = field(default_factory=dict)   # child -> table grouped in its place
+    link_swaps: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         used = {n for pair in self.subgraphs.values() for n in pair}
@@ -116,43 +124,28 @@ class GraphSpec:
                 out[n] = GroupSpec(children=(n,))
         return out
 
-    def parent_node(self, child: str) -> str:
-        for g, spec in self.all_node_groups().items():
-            if child in spec.children:
-                return g
-        raise ValueError(f"node {child} is in no group")
-
     def triplets(self) -> dict[str, tuple[str, str]]:
-        """Final link -> (final source, final target), from its first child."""
-        out = {}
-        for g, spec in self.all_link_groups().items():
-            src, dst = self.subgraphs[spec.children[0]]
-            out[g] = (self.parent_node(src), self.parent_node(dst))
-        return out
+        """Final link -> (final source, final target), by its first child's ends."""
+        home = {c: g for g, spec in self.all_node_groups().items() for c in spec.children}
+        ends = {g: self.subgraphs[spec.children[0]] for g, spec in self.all_link_groups().items()}
+        return {g: (home[src], home[dst]) for g, (src, dst) in ends.items()}
 
-    def with_group_children(self, kind: str, old: str, new: str) -> GraphSpec:
-        """Swap one child table for another before grouping (e.g. a resolved one)."""
-        groups = self.all_node_groups() if kind == "node" else self.all_link_groups()
-        swapped = {g: GroupSpec(tuple(new if c == old else c for c in s.children), s.select, s.distinct)
-                   for g, s in groups.items()}
-        if kind == "node":
-            return GraphSpec(self.inputs, self.nodes, self.links, self.subgraphs,
-                             swapped, self.link_groups)
-        return GraphSpec(self.inputs, self.nodes, self.links, self.subgraphs,
-                         self.node_groups, swapped)
+    def with_swap(self, kind: str, child: str, table: str) -> GraphSpec:
+        """Group ``table`` (any name: another subgraph table, or one given to
+        ``build_graph`` as an override) in the place of ``child``. Groups, final
+        tables and link ends stay as they are."""
+        if child not in (self.nodes if kind == "node" else self.links):
+            raise ValueError(f"no {kind} table {child}")
+        which = f"{kind}_swaps"
+        return replace(self, **{which: {**getattr(self, which), child: table}})
 
 
 def with_group_select(spec: GraphSpec, kind: str, group: str,
                       select: Callable[[], list[Column]]) -> GraphSpec:
     """The same graph with another select list for one group."""
-    groups = dict(spec.node_groups if kind == "node" else spec.link_groups)
-    g = groups[group]
-    groups[group] = GroupSpec(g.children, select, g.distinct)
-    if kind == "node":
-        return GraphSpec(spec.inputs, spec.nodes, spec.links, spec.subgraphs, groups,
-                         spec.link_groups)
-    return GraphSpec(spec.inputs, spec.nodes, spec.links, spec.subgraphs, spec.node_groups,
-                     groups)
+    which = f"{kind}_groups"
+    groups = dict(getattr(spec, which))
+    return replace(spec, **{which: {**groups, group: replace(groups[group], select=select)}})
 
 
 def _coalesce(*cols: str) -> Column:
@@ -180,6 +173,7 @@ PERSON_KEY = ("person_name", "email_record")
 
 def package_registry_spec() -> GraphSpec:
     """The package-registry property graph (9 final node and 12 final link tables)."""
+    # --- fixed values: tables, keys, attributes, filters, link ends, groups ---
     nodes = [
         NodeSpec("package", "latest_package", ("pkg_name",),
                  (("name", "name"), ("package_url", "package_url"),
@@ -196,16 +190,16 @@ def package_registry_spec() -> GraphSpec:
                  lambda: not_blank("keyword")),
         NodeSpec("email", "latest_email", ("email",),
                  (("email", "email"), ("domain", "domain"), ("top_level_domain", "top_level_domain")),
-                 lambda: not_blank("email")),
+                 lambda: not_blank("email"), determined=True),
         NodeSpec("url", "latest_url", ("url",),
                  (("url", "url"), ("domain", "domain"), ("top_level_domain", "top_level_domain"),
-                  ("path", "path")), _url_ok),
+                  ("path", "path")), _url_ok, determined=True),
         NodeSpec("email_domain", "latest_email", ("domain",),
                  (("domain", "domain"), ("top_level_domain", "top_level_domain")),
-                 lambda: not_blank("domain")),
+                 lambda: not_blank("domain"), determined=True),
         NodeSpec("url_domain", "latest_url", ("domain",),
                  (("domain", "domain"), ("top_level_domain", "top_level_domain")),
-                 lambda: not_blank("domain", UNKNOWN)),
+                 lambda: not_blank("domain", UNKNOWN), determined=True),
         NodeSpec("github_repo", "latest_url", ("github_repo",), (("github_repo", "github_repo"),),
                  lambda: not_blank("github_repo")),
         NodeSpec("github_account", "latest_url", ("github_account",),
@@ -280,6 +274,7 @@ def package_registry_spec() -> GraphSpec:
         "has_email": GroupSpec(("author_has_email", "maintainer_has_email"),
                                has_email_select(parity=True), distinct=False),
     }
+    # --------------------------------------------------------------------------
     return GraphSpec(
         inputs=("latest_package", "latest_requirement", "latest_url", "latest_keyword",
                 "latest_email"),

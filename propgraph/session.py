@@ -29,6 +29,7 @@ def get_spark(master: str | None = None, app: str = "propgraph",
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", "8g"))
     for k, v in (conf or {}).items():
         b = b.config(k, v)
@@ -67,13 +68,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote, on whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a parquet table in the shared checkpoint folder.
+    """Cut the lineage with a checkpoint in the shared folder.
 
     Survives executor loss, and fixes values that a recomputation could
-    change (e.g. partition-id tags); columnar and compressed, unlike an RDD
-    checkpoint of serialized rows.
+    change (e.g. partition-id tags). Spark's cleaner removes the files once
+    the frame is gone (``spark.cleaner.referenceTracking.cleanCheckpoints``).
     """
-    path = scratch_path(df.sparkSession, "checkpoint")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -3,7 +3,9 @@
 Each view is one SQL text that runs unchanged on Spark and on DuckDB. Table
 references are ``{placeholders}``: Spark fills them with DataFrames
 (``spark.sql(text, part=df)``, no global temp views), the DuckDB oracle with
-CTE names. Every view grows with the given tables.
+CTE names. Every view grows with the given tables, in rows and in keys:
+packages, persons, addresses, URLs and domains follow the parts, orders and
+customers, next to a few hot ones (a third of the addresses share a domain).
 
 The ``%`` expressions shape values, to produce the cases the rules must
 handle (NULL and '' twins, unknown markers, URLs with two types, orphans);
@@ -30,20 +32,22 @@ SELECT p_partkey AS ord, concat('pkg-', p_partkey) AS name, p_name AS info_name,
        ELSE concat(p_brand, '/', p_type) END AS license,
   CASE p_partkey % 6
     WHEN 0 THEN concat('<https://github.com/', replace(p_brand, '#', ''), '/', replace(p_name, ' ', '-'), '.git>')
-    WHEN 1 THEN concat('https://github.com/acct', p_size, '/')
+    WHEN 1 THEN concat('https://github.com/acct', p_partkey - p_partkey % 4, '/')
     WHEN 2 THEN 'github.com/no/scheme'
     WHEN 3 THEN 'UNKNOWN'
-    WHEN 4 THEN concat('http://user@h_x.com:80//a///b', p_size, ';p?q#f')
+    WHEN 4 THEN concat('http://user@h_', p_partkey - p_partkey % 30, '.com:80//a///b', p_size, ';p?q#f')
     ELSE NULL END AS home_page,
-  CASE WHEN p_partkey % 3 = 0 THEN concat('https://docs.example.org/', p_size) END AS docs_url,
-  CASE WHEN p_partkey % 5 = 0 THEN concat('https://github.com/tiangolo/t', p_size, '.git') END AS pu_source,
-  CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Ann <old>' ELSE 'Cara' END AS author,
+  CASE WHEN p_partkey % 3 = 0 THEN concat('https://docs.example.org/', p_partkey) END AS docs_url,
+  CASE WHEN p_partkey % 5 = 0 THEN concat('https://github.com/tiangolo/t', p_partkey, '.git') END AS pu_source,
+  CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Ann <old>'
+    ELSE CASE WHEN p_partkey % 8 = 3 THEN 'Cara' ELSE concat('Cara ', p_partkey) END END AS author,
   CASE p_partkey % 5 WHEN 0 THEN NULL
-    WHEN 1 THEN concat('Jane D <j', p_size, '@x.org>, Bob <b@y.org>')
-    WHEN 2 THEN concat('a', p_size, '@x.org, b@y.net')
+    WHEN 1 THEN concat('Jane ', p_partkey, ' <j', p_partkey, '@x.org>, Bob <b@y.org>')
+    WHEN 2 THEN concat('a', p_partkey, '@x', p_partkey - p_partkey % 40, '.org, b@y.net')
     WHEN 3 THEN 'nodomain' ELSE '' END AS author_email,
-  CAST(NULL AS VARCHAR(10)) AS maintainer,
-  CASE WHEN p_partkey % 2 = 0 THEN concat('m', p_size, '@z.io') END AS maintainer_email,
+  CASE p_partkey % 4 WHEN 0 THEN 'Mo <mo@old.org>' WHEN 1 THEN concat('Mo ', p_partkey) END AS maintainer,
+  CASE p_partkey % 6 WHEN 0 THEN concat('Mia ', p_partkey, ' <m', p_partkey, '@z.io>')
+    WHEN 2 THEN concat('m', p_partkey, '@z.io') WHEN 4 THEN 'hot@z.io' END AS maintainer_email,
   CASE p_partkey % 3
     WHEN 0 THEN concat('["', p_type, '", "', replace(p_name, ' ', '", "'), '"]')
     WHEN 1 THEN concat(p_type, ' ', p_name) END AS keywords
@@ -105,11 +109,11 @@ SELECT concat('pkg-', p_partkey), lower(p_name) FROM {part} WHERE p_size > 25
 """
 
 VIEWS["latest_email"] = """
-SELECT concat('pkg-', o_orderkey % 2000) AS pkg_name,
+SELECT concat(CASE WHEN o_custkey % 61 = 5 THEN 'gone-' ELSE 'pkg-' END, o_custkey) AS pkg_name,
   CASE WHEN o_custkey % 5 = 0 THEN NULL WHEN o_custkey % 5 = 1 THEN '' ELSE concat('Cust ', o_custkey) END AS person_name,
-  CASE WHEN o_custkey % 50 = 7 THEN NULL ELSE concat('u', o_custkey % 41, '@mail', o_custkey % 9, '.example.com') END AS email_record,
-  CASE WHEN o_custkey % 50 = 7 THEN NULL ELSE concat('u', o_custkey % 41, '@mail', o_custkey % 9, '.example.com') END AS email,
-  CASE WHEN o_custkey % 50 = 7 THEN NULL ELSE concat('mail', o_custkey % 9, '.example.com') END AS domain,
+  CASE WHEN o_custkey % 50 = 7 THEN NULL ELSE concat('u', o_custkey - o_custkey % 2, '@mail', CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey - o_custkey % 20 END, '.example.com') END AS email_record,
+  CASE WHEN o_custkey % 50 = 7 THEN NULL ELSE concat('u', o_custkey - o_custkey % 2, '@mail', CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey - o_custkey % 20 END, '.example.com') END AS email,
+  CASE WHEN o_custkey % 50 = 7 THEN NULL ELSE concat('mail', CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey - o_custkey % 20 END, '.example.com') END AS domain,
   'com' AS top_level_domain,
   CASE WHEN o_orderkey % 2 = 0 THEN 'author' ELSE 'maintainer' END AS role
 FROM {orders}

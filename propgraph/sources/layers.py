@@ -48,7 +48,8 @@ MANIFEST = "_tables"
 
 
 def write_manifest(spark, tables: dict[str, str], root: str) -> None:
-    """Record where each table of a layer lives (a small (table, path) table)."""
+    """Record the folder of each table below ``root`` (a small (table, path)
+    table; paths are relative, so a layer can be moved)."""
     rows = sorted(tables.items())
     (spark.createDataFrame(rows, "table string, path string").coalesce(1)
           .write.mode("overwrite").parquet(f"{root.rstrip('/')}/{MANIFEST}"))
@@ -56,8 +57,9 @@ def write_manifest(spark, tables: dict[str, str], root: str) -> None:
 
 def read_graph(spark, root: str) -> dict[str, DataFrame]:
     """The final tables of a graph layer, by name (``node_package``, ...)."""
-    rows = spark.read.parquet(f"{root.rstrip('/')}/{MANIFEST}").collect()   # one row per table
-    return {r.table: spark.read.parquet(r.path) for r in rows}
+    root = root.rstrip("/")
+    rows = spark.read.parquet(f"{root}/{MANIFEST}").collect()   # one row per table
+    return {r.table: spark.read.parquet(f"{root}/{r.path}") for r in rows}
 
 
 def publish(final: dict[str, DataFrame], database: str = "graph",

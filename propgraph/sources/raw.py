@@ -8,7 +8,7 @@ fields are read as VARIANT because their JSON type decides the meaning: a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RAW_SCHEMA = (
@@ -16,27 +16,44 @@ RAW_SCHEMA = (
     "info struct<name string, package_url string, requires_python string, version string, "
     "license string, home_page string, docs_url string, keywords variant, author string, "
     "author_email string, maintainer string, maintainer_email string, project_urls variant>, "
-    "requires map<string, struct<releases array<string>, requirement string>>"
+    "requires map<string, struct<releases array<string>, requirement string>>, _corrupt string"
 )
 
 
 def scan_raw(spark: SparkSession, path: str, ord_col: str | None = "ord") -> DataFrame:
-    """Read the snapshot; ``ord`` gives the input order (default: ``name``)."""
+    """Read the snapshot; column ``ord_col`` gives the input order, ``None``
+    takes ``name`` for it. A named column that is not there is an error."""
     df = spark.read.parquet(path)
-    ord_expr = F.col(ord_col) if ord_col and ord_col in df.columns else F.col("name")
-    return df.select(ord_expr.alias("ord"), "name", "latest")
+    if ord_col is not None and ord_col not in df.columns:
+        raise ValueError(f"no order column {ord_col!r} in {path}; it has {df.columns}")
+    return df.select(F.col(f"`{ord_col or 'name'}`").alias("ord"), "name", "latest")
+
+
+def malformed(latest: Column, j: Column) -> Column:
+    """Whether a record is malformed: no text, no decodable ``info``, a field of
+    another JSON type than its meaning allows (a text count, a ``requires`` that
+    is no object, an entry that is neither NULL nor an object with a
+    ``releases`` list), or a key given twice in ``requires`` or
+    ``project_urls``."""
+    keys = F.map_keys(j["requires"])
+    repeated = F.size(keys) != F.size(F.array_distinct(keys))
+    no_list = F.exists(F.map_values(j["requires"]), lambda v: v.isNotNull() & v["releases"].isNull())
+    return (latest.isNull() | j["info"].isNull() | j["_corrupt"].isNotNull()
+            | F.coalesce(repeated | no_list, F.lit(False)))
 
 
 def parse_raw(raw: DataFrame, on_malformed: str = "fail") -> DataFrame:
     """(ord, name, j) with ``j`` the decoded record.
 
-    A record with text but no decodable ``info`` stops the job
-    (``on_malformed='fail'``, the reference behaviour), is dropped ('drop')
-    or kept with NULL fields ('keep').
+    A ``malformed`` record stops the job (``on_malformed='fail'``), is dropped
+    ('drop') or kept ('keep') with what could be read: parts of a wrong type are
+    NULL, the last of repeated ``requires`` entries counts, and
+    ``project_urls`` with a repeated key gives none.
     """
-    j = F.from_json(F.col("latest"), RAW_SCHEMA, {"mode": "PERMISSIVE"})
+    j = F.from_json(F.col("latest"), RAW_SCHEMA,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     df = raw.select("ord", "name", "latest", j.alias("j"))
-    bad = F.col("latest").isNotNull() & F.col("j.info").isNull()
+    bad = malformed(F.col("latest"), F.col("j"))
     if on_malformed == "fail":
         # Folded into `name`, which every canonical table reads, so the check
         # rides on the same pass and the JSON is decoded once.

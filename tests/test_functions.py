@@ -1,119 +1,99 @@
-"""Column functions on hand-written edge rows, against plain-Python models of
-the rules (``urllib.parse``, ``re``, ``str`` methods)."""
+"""Column functions: tables of written-out inputs and expected outputs."""
 
 from __future__ import annotations
 
-import re
-from urllib.parse import urlparse
-
 import pytest
-from pyspark.sql import functions as F
 
 from propgraph.functions import (clean_keyword, github_parts, key_id, keyword_tokens,
                                  not_both_blank, person_and_email, py_strip, url_features)
+from pyspark.sql import functions as F
 
-URLS = [None, "", "   http://lead.blank/x", "http://a.com/x;p?q", "mailto:a@b.c",
-        "localhost:8080/x", "http:/a", "//net/p", "https://github.com/",
-        "https://github.com/a/b/tree/main", "https://www.github.com/a/b",
-        "https://github.com/tiangolo/typer.git", "http://user@h_x.com:80//a///b5;p?q#f",
-        "git+https://github.com/o/r.git;x", "HTTP://UP.com/A;b", "github.com/no/scheme",
-        "UNKNOWN", "https://github.com/acct5/", "https://github.com/...",
-        "https://github.com/x.zip/", "ftp://h.org/d/f;type=a", "https://h.org/a\tb\nc"]
-
-
-def model_url(url):
-    """domain, top_level_domain, path, github_repo, github_account."""
-    parsed = urlparse(url)
-    domain = str(parsed.netloc) if len(parsed.netloc) else None
-    path = str(parsed.path).replace("//", "/") if len(parsed.path) else None
-    tld = domain.split(".")[-1] if domain is not None and "." in domain else None
-    repo = account = None
-    if domain == "github.com" and path is not None:
-        p = path.strip("/")
-        if p.endswith(".git"):
-            p = p.strip(".git")
-        if "/" not in p:
-            account = p if p not in ("...", "..", "*.zip") else None
-        else:
-            repo, account = "/".join(p.split("/")[:2]), p.split("/")[0]
-    return (domain or None, tld, path or None, repo, account)
-
-
-def test_url_features_match_urlparse(spark):
-    df = spark.createDataFrame([(u,) for u in URLS], "url string")
-    f = df.withColumn("f", url_features("url"))
-    g = f.withColumn("g", github_parts("f.domain", "f.path"))
-    got = {r.url: (r.domain, r.top_level_domain, r.path, r.github_repo, r.github_account)
-           for r in g.select("url", "f.*", "g.*").collect()}
-    for u in URLS:
-        want = (None,) * 5 if u is None else model_url(u)
-        assert got[u] == want, u
-
-
-def test_bad_ipv6_bracket_gives_null_parts(spark):
-    # urlparse raises here; the DataFrame path yields NULL parts instead
-    with pytest.raises(ValueError):
-        urlparse("http://[bad/x")
-    r = (spark.createDataFrame([("http://[bad/x",)], "url string")
-         .select(url_features("url").alias("f")).select("f.*").first())
-    assert (r.domain, r.path) == (None, None)
-
-
-ADDRESSES = [("<a@b>", None), ("x <>", None), ("x <> y <z>", "p"), ("no", None),
-             ("Ann\nB <a@b>", None), ("Ann B\n <a@b>", None), ("x <<a>", "P <x>"),
-             ("< >", ""), ("Jane D <j@x.org>, Bob <b@y.org>", "Cara"),
-             ("Jane D <j@x.org>", "Who <w@x>"), ("a@x.org, b@y.net", None), ("", "")]
-EMAIL_RE = re.compile(r"^(.*?)\s*<([^>]+)")
-
-
-def model_person(person, email):
-    if "<" in email:
-        m = EMAIL_RE.search(email)
-        if m:
-            name, addr = m.group(1).strip(), m.group(2).strip()
-            if person is None or "<" in person:
-                return name, addr
-            return person, addr
-    return person, email
-
-
-def test_person_and_email_match_python(spark):
-    df = spark.createDataFrame([(p, e) for e, p in ADDRESSES], "person string, email string")
-    got = [tuple(r) for r in df.select(person_and_email("person", "email").alias("x"))
-           .select("x.*").collect()]
-    assert got == [model_person(p, e) for e, p in ADDRESSES]
-
-
-KEYWORDS = ['["a", "b"]', "a,b", "a b", " A ,, b", "[]", "", "x  y", '["Big Data"]',
-            " Tab\tkw ,z"]
-
-
-def model_keywords(k):
-    k = k.strip("[]").strip('""')
-    sep = "," if "," in k else " "
-    out = []
-    for tok in k.split(sep):
-        t = tok.strip().lower().strip("[]").strip('""')
-        if t != "":
-            out.append(t)
-    return out
-
-
-def test_keywords_match_python(spark):
-    df = spark.createDataFrame([(i, k) for i, k in enumerate(KEYWORDS)], "i int, k string")
-    t = (df.select("i", F.posexplode(keyword_tokens("k")).alias("pos", "tok"))
-           .select("i", "pos", clean_keyword("tok").alias("kw")).where("kw != ''"))
-    got = {}
-    for r in t.orderBy("i", "pos").collect():
-        got.setdefault(r.i, []).append(r.kw)
-    for i, k in enumerate(KEYWORDS):
-        assert got.get(i, []) == model_keywords(k), k
-
-
-def test_py_strip_unicode_blanks(spark):
-    s = "  \x1c a b\t　"
-    r = spark.createDataFrame([(s,)], "s string").select(py_strip("s").alias("x")).first()
-    assert r.x == s.strip()
+N = None
+# url, domain, top-level domain, path, repository, account
+URLS = [
+    (N, N, N, N, N, N),
+    ("", N, N, N, N, N),
+    ("   http://lead.blank/x", "lead.blank", "blank", "/x", N, N),
+    ("http://a.com/x;p?q", "a.com", "com", "/x", N, N),
+    ("mailto:a@b.c", N, N, "a@b.c", N, N),
+    ("localhost:8080/x", N, N, "8080/x", N, N),
+    ("http:/a", N, N, "/a", N, N),
+    ("//net/p", "net", N, "/p", N, N),
+    ("https://github.com/", "github.com", "com", "/", N, ""),
+    ("https://github.com", "github.com", "com", N, N, N),
+    ("https://github.com/a/b/tree/main", "github.com", "com", "/a/b/tree/main", "a/b", "a"),
+    ("https://github.com/o//r", "github.com", "com", "/o/r", "o/r", "o"),
+    ("https://www.github.com/a/b", "www.github.com", "com", "/a/b", N, N),
+    ("https://github.com/tiangolo/typer.git", "github.com", "com", "/tiangolo/typer.git", "angolo/typer", "angolo"),
+    ("http://user@h_x.com:80//a///b5;p?q#f", "user@h_x.com:80", "com:80", "/a//b5", N, N),
+    ("git+https://github.com/o/r.git;x", "github.com", "com", "/o/r.git;x", "o/r.git;x", "o"),
+    ("HTTP://UP.com/A;b", "UP.com", "com", "/A", N, N),
+    ("github.com/no/scheme", N, N, "github.com/no/scheme", N, N),
+    ("UNKNOWN", N, N, "UNKNOWN", N, N),
+    ("https://github.com/acct5/", "github.com", "com", "/acct5/", N, "acct5"),
+    ("https://github.com/...", "github.com", "com", "/...", N, N),
+    ("https://github.com/x.zip/", "github.com", "com", "/x.zip/", N, "x.zip"),
+    ("ftp://h.org/d/f;type=a", "h.org", "org", "/d/f", N, N),
+    ("https://h.org/a\tb\nc", "h.org", "org", "/abc", N, N),
+    ("http://h.org/;a/b;c", "h.org", "org", "/;a/b", N, N),
+    ("http://[bad/x", N, N, N, N, N),
+    ("http://[::1]:8/x", "[::1]:8", N, "/x", N, N),
+]
+
+
+def test_urls(spark):
+    df = spark.createDataFrame([(i, u[0]) for i, u in enumerate(URLS)], "i int, url string")
+    f = df.withColumn("f", url_features("url")).withColumn("g", github_parts("f.domain", "f.path"))
+    got = {r.i: (r.domain, r.top_level_domain, r.path, r.github_repo, r.github_account)
+           for r in f.select("i", "f.*", "g.*").collect()}
+    for i, (url, *want) in enumerate(URLS):
+        assert got[i] == tuple(want), url
+
+
+def test_url_regexes_appear_once(spark):
+    df = spark.createDataFrame([("http://a.b/c",)], "url string")
+    plan = (df.withColumn("f", url_features("url")).select("f.*")
+            ._jdf.queryExecution().optimizedPlan().toString())
+    assert sum(plan.count(x) for x in ("regexp_replace(", "regexp_extract(", "RLIKE")) <= 8
+
+
+# email text, person -> name, address
+PEOPLE = [
+    ("<a@b>", N, "", "a@b"), ("x <>", N, N, "x <>"), ("x <> y <z>", "p", "p", "z"),
+    ("no", N, N, "no"), ("Ann\nB <a@b>", N, N, "Ann\nB <a@b>"), ("Ann B\n <a@b>", N, "Ann B", "a@b"),
+    ("x <<a>", "P <x>", "x", "<a"), ("< >", "", "", ""),
+    ("Jane D <j@x.org>, Bob <b@y.org>", "Cara", "Cara", "j@x.org"),
+    ("Jane D <j@x.org>", "Who <w@x>", "Jane D", "j@x.org"), ("a@x.org, b@y.net", N, N, "a@x.org, b@y.net"),
+    ("", "", "", ""), ("x y <c@d>", N, "x y", "c@d"),
+]
+
+
+def test_people(spark):
+    df = spark.createDataFrame([(i, p[1], p[0]) for i, p in enumerate(PEOPLE)], "i int, person string, email string")
+    got = {r.i: (r.person_name, r.email_record) for r in
+           df.select("i", person_and_email("person", "email").alias("x")).select("i", "x.*").collect()}
+    for i, (email, person, *want) in enumerate(PEOPLE):
+        assert got[i] == tuple(want), (email, person)
+
+
+KEYWORDS = [
+    ('["a", "b"]', ["a", "b"]), ("a,b", ["a", "b"]), ("a b", ["a", "b"]), (" A ,, b", ["a", "b"]),
+    ("[]", []), ("", []), ("x  y", ["x", "y"]), ('["Big Data"]', ["big", "data"]),
+    (" Tab\tkw ,z", ["tab\tkw", "z"]), ('"one"', ["one"]), ("[x],[Y]", ["x", "y"]),
+]
+
+
+def test_keywords(spark):
+    df = spark.createDataFrame([(i, k) for i, (k, _) in enumerate(KEYWORDS)], "i int, k string")
+    rows = (df.select("i", F.posexplode(keyword_tokens("k")).alias("pos", "tok"))
+            .select("i", "pos", clean_keyword("tok").alias("kw")).where("kw != ''").orderBy("i", "pos").collect())
+    for i, (text, want) in enumerate(KEYWORDS):
+        assert [r.kw for r in rows if r.i == i] == want, text
+
+
+@pytest.mark.parametrize("s", ["  \x1c a b\t　", "", "a", "\n\x85x\xa0"])
+def test_py_strip_unicode_blanks(spark, s):
+    assert spark.createDataFrame([(s,)], "s string").select(py_strip("s").alias("x")).first().x == s.strip()
 
 
 def test_key_id_null_rules(spark):
