@@ -3,10 +3,13 @@
 Texts are equal when identical after deleting every blank. Rows are
 range-partitioned on the normalised bytes by sampled splitters and sorted
 there (externally, so memory is bounded); equal texts become neighbours, and
-the window's group boundaries are full comparisons of neighbouring texts.
+the window's group boundaries are full comparisons of neighbouring texts. The
+splitters hold the leading characters and a hash of the text, never the whole
+text: a sample of whole texts would outgrow the driver.
 
 A text held by more rows than a task's fair share is split into pieces of
-about that share: the sort key is then (text, piece). The pieces' first rows,
+about that share: the sort key is then (text, piece). Rows are dealt to pieces by
+their place in the input, which a scan of files repeats exactly. The pieces' first rows,
 few by construction, are merged by a full comparison again. The list of split
 texts has at most 4 x shuffle partitions rows, so it and the merge result are
 broadcast.
@@ -26,6 +29,8 @@ from propgraph.llm.common import checkpointed, hot_keys
 
 #: Fewest rows of one text that are split.
 SPLIT_ROWS = 256
+#: Leading code points of a text in the splitters, which pass through the driver.
+LEAD_POINTS = 32
 
 
 def exact_dedup(docs: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
@@ -42,10 +47,13 @@ def exact_dedup(docs: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
              .withColumn("hot", F.col("pieces").isNotNull())
              .withColumn("piece", F.coalesce(
                  F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("pieces")), F.lit(0)))
-             .drop("hkey", "pieces"))
-    group = Window.partitionBy("norm", "piece")
+             .withColumn("lead", F.substring("norm", 1, LEAD_POINTS))
+             .drop("pieces"))
+    # lead and hkey follow from norm: they add nothing to the group, but keep the
+    # sampled splitters short
+    group = Window.partitionBy("lead", "hkey", "norm", "piece")
     order = group.orderBy(F.col("points").desc(), F.col("doc_id").asc_nulls_last())
-    sorted_ = dealt.repartitionByRange("norm", "piece").select(
+    sorted_ = dealt.repartitionByRange("lead", "hkey", "piece").select(
         "doc_id", "norm", "points", "hot", "piece",
         F.row_number().over(order).alias("place"),
         F.first("doc_id").over(order).alias("first_id"),

@@ -8,7 +8,6 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from propgraph.llm import exact_dedup, line_dedup
 
@@ -54,14 +53,16 @@ def test_exact_repeated_rows_and_null_ids(spark, split_rows):
     assert exact_dedup.exact_dedup(none).count() == 0
 
 
-def test_exact_never_regroups_the_sorted_text(spark):
-    rows = spark.range(10).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
-    # the window over (text, piece) reuses the range partitioning: one exchange of texts
-    from pyspark.sql import Window
-    w = Window.partitionBy("text", "p").orderBy("doc_id")
-    plan = (rows.withColumn("p", F.col("doc_id") % 2).repartitionByRange("text", "p")
-            .withColumn("n", F.row_number().over(w)))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1, plan
+def test_exact_sorts_texts_once_by_short_splitters(spark, monkeypatch):
+    plans = []
+    real = exact_dedup.checkpointed
+    monkeypatch.setattr(exact_dedup, "checkpointed", lambda df: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    df = spark.createDataFrame([(i, f"text {i % 40}") for i in range(100)], "doc_id bigint, text string")
+    assert exact_dedup.exact_dedup(df).where("kept").count() == 40
+    # the windows reuse the range partitioning: no other exchange of the texts
+    (plan,) = plans
+    assert plan.count("rangepartitioning(lead#") == 1 and "hashpartitioning" not in plan
 
 
 def slow_lines(rows, min_points=10):
