@@ -215,14 +215,18 @@ def fingerprint_links(distinct: DataFrame, radius: int = 4, n: int | None = None
         F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in tables]))
         .alias("tab", "key"))
     # shards over the memory bound: cut in parts, one tree for each pair of parts
-    large = (keyed.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > split)
-             .select("tab", "key", F.ceil(F.col("n") / F.lit(split)).cast("int").alias("parts")))
-    part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: (
-        F.least(part, j) * F.col("parts") + F.greatest(part, j)).cast("int"))
-    dealt = (keyed.join(large, ["tab", "key"], "left")
-             .withColumn("parts", F.coalesce("parts", F.lit(1)))
-             .select("tab", "key", F.explode(pairs).alias("cut"), "fp"))
+    large = checkpointed(
+        keyed.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > split)
+        .select("tab", "key", F.ceil(F.col("n") / F.lit(split)).cast("int").alias("parts")))
+    if large.isEmpty():
+        dealt = keyed.withColumn("cut", F.lit(0))
+    else:
+        part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+        pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: (
+            F.least(part, j) * F.col("parts") + F.greatest(part, j)).cast("int"))
+        dealt = (keyed.join(large, ["tab", "key"], "left")
+                 .withColumn("parts", F.coalesce("parts", F.lit(1)))
+                 .select("tab", "key", F.explode(pairs).alias("cut"), "fp"))
     return (dealt.repartition("tab", "key", "cut").sortWithinPartitions("tab", "key", "cut")
             .select("tab", "key", "cut", "fp")
             .mapInArrow(_shard_links(radius), "fp bigint, root bigint").distinct())
