@@ -25,7 +25,6 @@ of a score.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,8 +40,8 @@ GRAMS = 5          # trigrams at offsets 0-3, and the last one
 BUCKETS = 8192
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 12, 8, 8
 WINDOW = 48
-PER_CLASS = 2500
-TRAIN_WINDOWS = 16
+PER_CLASS = 5000
+TRAIN_WINDOWS = 40
 TRAIN_POINTS = 20_000
 CACHE_WORDS = 250_000
 
@@ -274,27 +273,28 @@ def train(texts: list[str], labels: list[int], rates: tuple[int, int] | None = N
     if min(n_clean, n_toxic) < 2:
         return Scorer(None, {}, 0.0, float(np.log((rates[1] + 1) / (rates[0] + 1))), window)
     r = np.random.default_rng(seed)
-    tokens = [words_of(t) for t in texts]
-    counts = Counter(w for ws in tokens for w in set(ws))
-    vocab = {w: k + 1 for k, (w, c) in enumerate(
-        sorted(counts.items(), key=lambda i: (-i[1], i[0]))[:vocab_size]) if c > 1}
+    number: dict[str, int] = {}  # word -> number, 0 is padding
+    docs = [np.fromiter((number.setdefault(w, len(number) + 1) for w in words_of(t)), np.int32)
+            for t in texts]
+    held_by = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=len(number) + 1)
+    frequent = sorted(((w, int(held_by[k])) for w, k in number.items() if held_by[k] > 1),
+                      key=lambda i: (-i[1], i[0]))[:vocab_size]
+    vocab = {w: k + 1 for k, (w, _) in enumerate(frequent)}
     # every fifth document calibrates, the others train
     turn = np.empty(len(y), np.int64)
     for cls in (0, 1):
         turn[y == cls] = np.arange((y == cls).sum())
     fit = turn % 5 != 0 if min(n_clean, n_toxic) >= 10 else np.ones(len(y), bool)
-    everyone = sorted(counts)
-    number = {w: k + 1 for k, w in enumerate(everyone)}
-    word_ids = np.array([0] + [vocab.get(w, 0) for w in everyone])
-    grams = char_grams(["", *everyone])
+    word_ids = np.array([0, *(vocab.get(w, 0) for w in number)])
+    grams = char_grams(["", *number])
     at, owner = [], []
     for d in np.flatnonzero(fit):
-        ids = np.fromiter((number[w] for w in tokens[d]), np.int64, len(tokens[d]))
+        ids = docs[d]
         starts = window_starts(len(ids), window)
         if len(starts) > train_windows:
             starts = np.sort(r.choice(starts, train_windows, replace=False))
         for s in starts:
-            row = np.zeros(window, np.int64)
+            row = np.zeros(window, np.int32)
             part = ids[s:s + window]
             row[:len(part)] = part
             at.append(row)
