@@ -286,7 +286,10 @@ def train(texts: list[str], labels: list[int], rates: tuple[int, int] | None = N
         turn[y == cls] = np.arange((y == cls).sum())
     fit = turn % 5 != 0 if min(n_clean, n_toxic) >= 10 else np.ones(len(y), bool)
     word_ids = np.array([0, *(vocab.get(w, 0) for w in number)])
-    grams = char_grams(["", *number])
+    words = ["", *number]
+    grams = np.concatenate([char_grams(words[k:k + 50_000]).astype(np.int32)
+                            for k in range(0, len(words), 50_000)])
+    del words
     at, owner = [], []
     for d in np.flatnonzero(fit):
         ids = docs[d]
@@ -329,8 +332,10 @@ def train(texts: list[str], labels: list[int], rates: tuple[int, int] | None = N
                 v -= (rate * mean[k] / (np.sqrt(power[k]) + 1e-8)).astype(np.float32)
     scorer = Scorer(net, vocab, 1.0, 0.0, window)
     held = ~fit if (~fit).any() else fit
-    best = np.array([w.max() for w in scorer.window_logits([texts[i] for i in np.flatnonzero(held)])],
-                    np.float64)
+    judged = [texts[i] for i in np.flatnonzero(held)]
+    best = np.array([w.max() for k in range(0, len(judged), 100)
+                     for w in scorer.window_logits(judged[k:k + 100])], np.float64)
+    scorer.__post_init__()  # the words seen so far need not travel or stay
     yh = y[held]
     each = np.where(yh == 1, rates[1] / max(1, (yh == 1).sum()), rates[0] / max(1, (yh == 0).sum()))
     scorer.slope, scorer.offset = _calibrate(best, yh, each / each.mean())
@@ -340,9 +345,12 @@ def train(texts: list[str], labels: list[int], rates: tuple[int, int] | None = N
 def _sure_windows(net, word_ids, grams, at, mask, target, owner) -> np.ndarray:
     """Clean windows, and of toxic documents those that score toxic or best."""
     rows = np.flatnonzero(target == 1)
-    table = net.projected(net.inputs(word_ids, grams))
-    logit = np.concatenate([net.forward(table, at[rows[lo:lo + 2048]], mask[rows[lo:lo + 2048]])[0]
-                            for lo in range(0, len(rows), 2048)])
+    logit = np.empty(len(rows), np.float32)
+    for lo in range(0, len(rows), 2048):
+        part = rows[lo:lo + 2048]
+        used, inside = np.unique(at[part], return_inverse=True)
+        table = net.projected(net.inputs(word_ids[used], grams[used]))
+        logit[lo:lo + 2048] = net.forward(table, inside.reshape(len(part), -1), mask[part])[0]
     order = np.lexsort((-logit, owner[rows]))
     best = order[np.concatenate(([True], owner[rows][order][1:] != owner[rows][order][:-1]))]
     sure = logit > 0
