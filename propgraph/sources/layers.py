@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
-MAX_CONCURRENT_JOBS = 8
+MAX_CONCURRENT_JOBS = 16
 
 
 def _run_all(tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
@@ -38,7 +38,8 @@ def write_layer(tables: dict[str, DataFrame | Callable[[], DataFrame]], root: st
         def run():
             df = t() if callable(t) else t
             df.write.mode(mode).parquet(path)
-            return df.sparkSession.read.parquet(path)
+            # the schema is known: no job to read it from the files
+            return df.sparkSession.read.schema(df.schema).parquet(path)
         return run
 
     return _run_all({name: task(t, paths[name]) for name, t in tables.items()})
