@@ -1,10 +1,15 @@
 """Secret scan: wide candidates, and a random forest that removes false ones.
 
-A candidate is a word with a value of at least ``MIN_LENGTH`` characters from
-``[A-Za-z0-9+/=_@.:%-]`` that holds a digit, alone or after ``name=`` or
-``name:``. The forest sees the value's length, its character transitions, how
-much of it dictionary words cover, how path-like it is, and the words around
-it; it never sees the value itself. Labelled findings train it: given ones, or
+Every maximal run of ``[A-Za-z0-9+/=_@.:%-]`` is read, whatever surrounds it and
+however many a word holds. A candidate is a run (or its value and its name, if
+it is ``name=value`` or ``name:value``) of at least ``MIN_LENGTH`` characters
+that is no plain word (letters without a digit, lower case after the first).
+After a credential's name and a sign (``password=``, ``"api_key":``, ``DB_KEY2 =``)
+the value may hold any characters up to its quote, or unquoted up to a blank or
+one of ``"'`,;&<>)}]``, and counts from ``MIN_CREDENTIAL`` characters. The forest
+sees the value's length, its character transitions, how much of it dictionary
+words cover, how path-like it is, and the words around it; it never sees the
+value itself. Labelled findings train it: given ones, or
 those the strict rules of ``label_findings`` label (known key formats and
 credential assignments of mixed values against addresses, numbers and the
 like), at most ``max_train`` of them, chosen by hash.
@@ -13,7 +18,7 @@ Everything is a DataFrame expression or Spark ML (JVM): no Python on executors
 and no shuffle on the scan path. Only digests and lengths of values are returned.
 
 Cases: null or empty text has no candidates; a text may have many, also the
-same one repeatedly (told apart by word position); an empty table gives an
+same one repeatedly (told apart by word position and part); an empty table gives an
 empty result; with labels of one class only every score is that class; extra
 columns are not read.
 """
@@ -29,6 +34,7 @@ from pyspark.sql import functions as F
 from propgraph.llm.common import checkpointed
 
 MIN_LENGTH = 12
+MIN_CREDENTIAL = 4
 MAX_TRAIN = 20_000
 
 # Words that stand before a credential, and words common inside
@@ -46,37 +52,81 @@ FEATURES = ["length", "kinds", "letter_digit", "digit_letter", "case_change", "s
             "name_credential", "before_credential", "after_letters"]
 
 
+RUN = "[A-Za-z0-9+/=_@.:%-]"
+PLAIN = "^[A-Z]?[a-z]+$"
+CLOSE, SIGN = r"[\x22'`\])\\]*+", r"[=:]+>?\\*+"
+#: A credential word in a name without separators; the word found is one of CREDENTIAL_WORDS.
+REDUCED = "password|passwd|pwd|token|secret|apikey|credentials|credential|bearer|key$|auth$"
+CREDENTIAL = (r"(?:(?:password|passwd|pwd|token|secret|api[_-]?key|credential|bearer)[A-Za-z0-9_.-]*?"
+              r"|(?:key|auth)[0-9_.-]*)")
+#: name, sign and value of a credential in one word; of any name; a run.
+ASSIGNED = (rf"(?i:{RUN}*?{CREDENTIAL}){CLOSE}{SIGN}"
+            r"(?:\x22[^\x22]+|'[^']+|`[^`]+|[^\x20\x09-\x0D\x22'`,;&<>)}\]]+)")
+NAMED = rf"(?:[A-Za-z_][A-Za-z0-9_.-]*+{CLOSE}{SIGN}[\x22'`(]+)?{RUN}+"
+
+
 def candidates(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
-    """(doc_id, pos, name, value, before, after) of every candidate; pos is the
-    0-based position among the text's words."""
+    """(doc_id, pos, part, name, value, before, after) of every candidate; pos is
+    the 0-based position among the text's words, part tells those of a word apart."""
     words = F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", -1)
-    whole = rf"^[\x22'(\[<]*(?:[A-Za-z_-]+[=:]+[\x22']?)?[A-Za-z0-9+/=_@.:%-]{{{min_length},}}"
-    maybe = rf"[A-Za-z0-9+/=_@.:%-]{{{min_length},}}"
+    run = rf"{RUN}{{{min_length},}}"
+    # a credential's name and a sign, somewhere in the text or around a word
+    signed = r"(?i)(?:password|passwd|pwd|token|secret|key|credential|bearer|auth)[^\x20\x09-\x0D]*[\x20\x09-\x0D]*[=:]"
+    name_end = rf"(?i){CREDENTIAL}[\x22'`\])\\]*$"
+    name_sign = rf"(?i){CREDENTIAL}[\x22'`\])\\]*[=:]+>?$"
+
+    def after_name(word: Column, b1: Column, b2: Column) -> Column:
+        return F.coalesce(b1.rlike(name_sign) | (b1.rlike("^[=:]+>?$") & b2.rlike(name_end))
+                          | (word.rlike("^[=:]+>?[^=:>]") & b1.rlike(name_end)), F.lit(False))
+
+    def word_at(i: Column) -> Column:
+        return F.when((i >= 0) & (i < F.size("_words")), F.get("_words", i))
+
     picked = F.filter(F.transform("_words", lambda x, i: F.when(
-        (F.char_length(x) >= min_length) & x.rlike("[0-9]") & x.rlike(whole),
+        ((F.char_length(x) >= min_length) & x.rlike(run) & ~x.rlike(r"^[\x22'(]*[A-Z]?[a-z]+[\x22'.,;:!?)]*$"))
+        | (F.col("_signed") & (x.rlike(signed) | after_name(x, word_at(i - 1), word_at(i - 2)))),
         F.struct(i.alias("pos"), x.alias("word")))), lambda c: c.isNotNull())
     near = F.transform(picked, lambda c: F.struct(
         c["pos"].alias("pos"), c["word"].alias("word"),
-        *[F.when((c["pos"] - k >= 0) & (c["pos"] - k < F.size("_words")),
-                 F.get("_words", c["pos"] - k)).alias(n) for k, n in ((1, "b1"), (2, "b2"), (-1, "a1"))]))
-    found = (docs.select("doc_id", "text").where(F.col("text").rlike(maybe))
-             .select("doc_id", words.alias("_words"))
-             .select("doc_id", F.explode(near).alias("c")))
-    trimmed = F.regexp_replace("c.word", r"^[\x22'(\[<]+|[\x22'.,;:!?)\]>]+$", "")
-    split = r"^([A-Za-z_-]+)[=:]+[\x22']?(.*)$"
-    parts = found.select("doc_id", F.col("c.pos").alias("pos"), trimmed.alias("t"),
-                         F.col("c.b1").alias("b1"), F.col("c.b2").alias("b2"),
-                         F.col("c.a1").alias("after"))
-    named = F.col("t").rlike(split)
-    value = F.when(named, F.regexp_extract("t", split, 2)).otherwise(F.col("t"))
-    # 'token = "value"': the word before the sign is the name's place
-    before = F.when(F.col("b1").rlike("^[=:]+$"), F.col("b2")).otherwise(F.col("b1"))
+        *[word_at(c["pos"] - k).alias(n) for k, n in ((1, "b1"), (2, "b2"), (-1, "a1"))]))
+    found = (docs.select("doc_id", "text").where(F.col("text").rlike(f"{run}|{signed}"))
+             .select("doc_id", words.alias("_words"), F.col("text").rlike(signed).alias("_signed"))
+             .select("doc_id", F.explode(near).alias("c")).select("doc_id", "c.*"))
+    # a value apart from its name is read as one behind a name of its own
+    apart = after_name(F.col("word"), F.col("b1"), F.col("b2")) & ~F.col("word").rlike(ASSIGNED)
+    said = F.when(F.col("_apart"), F.concat(F.lit("key="), F.regexp_replace("word", "^[=:]+>?", ""))).otherwise(F.col("word"))
+    items = (found.withColumn("_apart", apart).withColumn("_signed_before", F.col("b1").rlike("[=:]>?$"))
+             .select("*", F.posexplode(F.regexp_extract_all(said, F.lit(f"{ASSIGNED}|{NAMED}"), F.lit(0))).alias("_k", "_m")))
+    secret = rf"^({RUN}*?(?i:{CREDENTIAL})){CLOSE}{SIGN}([\x22'`]?)(.+)$"
+    split = (rf"^([A-Za-z_-]+(?=[=:])|[A-Za-z_][A-Za-z0-9_.-]*(?=[\x22'`\])\\=]|:+>?\\*[\x22'`(]))"
+             rf"{CLOSE}{SIGN}[\x22'`(]*(.*[A-Za-z0-9].*)$")
+    m, is_secret = F.col("_m"), F.col("_m").rlike(f"^(?:{ASSIGNED})$")
+    trim = lambda c: F.regexp_replace(c, r"^[=:]+|[.:]+$", "")
     clean = lambda c: F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z]+", "")
-    rows = parts.select("doc_id", "pos", F.when(named, clean(F.regexp_extract("t", split, 1)))
-                        .otherwise(F.lit("")).alias("name"), value.alias("value"),
-                        clean(before).alias("before"), clean(F.col("after")).alias("after"))
-    return rows.where((F.char_length("value") >= min_length) & F.col("value").rlike("[0-9]")
-                      & F.col("value").rlike(r"^[A-Za-z0-9+/=_@.:%-]+$"))
+    short = lambda c: F.when(c.rlike(REDUCED), F.regexp_extract(c, REDUCED, 0)).otherwise(c)
+    raw = F.regexp_extract(m, secret, 3)
+    quoted = F.regexp_extract(m, secret, 2) != ""
+    bare = F.regexp_replace(raw, r"\\+$", "")
+    given = F.when(is_secret, F.regexp_extract(m, secret, 1)).otherwise(F.regexp_extract(m, split, 1))
+    own = F.col("_apart") & (F.col("_k") == 0)  # the name is the word before
+    is_named = is_secret | m.rlike(split)
+    piece = lambda part, name, value, known: F.struct(
+        (F.col("_k") * 2 + part).alias("part"), name.alias("name"), value.alias("value"), known.alias("known"))
+    pieces = F.array(
+        piece(0, F.when(is_named & ~own, short(clean(given))).otherwise(F.lit("")),
+              F.when(is_secret, F.when(quoted, bare).otherwise(F.regexp_replace(bare, "[.:?]+$", "")))
+              .when(m.rlike(split), trim(F.regexp_extract(m, split, 2))).otherwise(trim(m)), is_secret),
+        piece(1, F.lit(""), F.when(is_named & ~own, trim(given)).otherwise(F.lit("")), F.lit(False)))
+    # 'token = "value"': the word before the sign is the name's place
+    before = clean(F.when(F.col("b1").rlike("^[=:]+>?$"), F.col("b2")).otherwise(F.col("b1")))
+    rows = (items.select("doc_id", "pos", F.explode(pieces).alias("p"),
+                         F.when(F.col("_apart") | F.col("_signed_before"), short(before)).otherwise(before).alias("before"),
+                         clean(F.col("a1")).alias("after"))
+            .select("doc_id", "pos", "p.*", "before", "after"))
+    v = F.col("value")
+    wide = (F.char_length(v) >= min_length) & v.rlike(f"^{RUN}+$") & v.rlike("[A-Za-z0-9]") & ~v.rlike(PLAIN)
+    return (rows.where(wide | (F.col("known") & (F.char_length(v) >= MIN_CREDENTIAL)))
+            .select("doc_id", "pos", "part", "name", "value", "before", "after"))
 
 
 def _times(value: Column, pattern: str) -> Column:
@@ -111,11 +161,13 @@ def features(rows: DataFrame) -> DataFrame:
 
 def label_findings(rows: DataFrame) -> DataFrame:
     """Strict labels: 1 for known key formats and credential assignments of
-    values without words or structure, else 0."""
+    values without words or structure (short ones only behind their name and
+    sign in one word), else 0."""
     v = F.col("value")
     key_format = v.rlike(r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk-[A-Za-z0-9]{20,}$")
     assigned = F.col("name").isin(CREDENTIAL_WORDS) | F.col("before").isin(CREDENTIAL_WORDS)
-    mixed = v.rlike("[A-Za-z]") & v.rlike("[0-9]") & ~v.rlike(r"[@./:]") & (F.char_length("value") >= 16)
+    mixed = v.rlike("[A-Za-z]") & v.rlike("[0-9]") & ~v.rlike(r"[@./:]") & (
+        (F.char_length("value") >= 16) | (F.col("name").isin(CREDENTIAL_WORDS) & (F.char_length("value") >= 8)))
     return rows.withColumn("label", (key_format | (assigned & mixed)).cast("double"))
 
 
@@ -124,7 +176,7 @@ def train_forest(findings: DataFrame, max_train: int = MAX_TRAIN, trees: int = 2
     """A forest fitted on labelled findings (``FEATURES`` and label), or the
     class itself if there is only one."""
     few = checkpointed(findings.select(*FEATURES, "label", F.xxhash64("doc_id", "pos").alias("_r"))
-                       .orderBy("_r").limit(max_train).select(*FEATURES, "label"))
+                       .orderBy("_r", *FEATURES).limit(max_train).select(*FEATURES, "label"))
     classes = [r["label"] for r in few.select("label").distinct().collect()]
     if len(classes) < 2:
         return classes[0] if classes else 0.0
@@ -145,13 +197,13 @@ def score_findings(rows: DataFrame, model) -> DataFrame:
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5,
                  max_train: int = MAX_TRAIN) -> DataFrame:
-    """One row per candidate: doc_id, pos, value_sha256, n_chars, score, kept
+    """One row per candidate: doc_id, pos, part, value_sha256, n_chars, score, kept
     (score at least ``threshold``: not removed as a false positive)."""
     rows = features(candidates(docs))
     slim = checkpointed(label_findings(rows).select(
-        "doc_id", "pos", F.sha2("value", 256).alias("value_sha256"),
+        "doc_id", "pos", "part", F.sha2("value", 256).alias("value_sha256"),
         F.char_length("value").alias("n_chars"), *FEATURES, "label"))
     model = train_forest(labelled if labelled is not None else slim, max_train)
     scored = score_findings(slim.drop("label"), model)
-    return scored.select("doc_id", "pos", "value_sha256", "n_chars", F.round("score", 6).alias("score"),
+    return scored.select("doc_id", "pos", "part", "value_sha256", "n_chars", F.round("score", 6).alias("score"),
                          (F.col("score") >= threshold).alias("kept"))
