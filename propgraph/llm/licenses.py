@@ -7,8 +7,10 @@ rule that matches names its licence and uses its identifiers up; known
 sentences no rule used are counted as left over.
 
 Licence texts are often hard-wrapped, and notices often stand on lines without
-a full stop, so each text is read twice: with line ends as blanks and with line
-ends as sentence ends. The licences of both readings are joined.
+a full stop, so each text is read three times: with line ends as blanks, with
+line ends as sentence ends, and with line ends as blanks but paragraph ends
+(lines without letters and digits, also in comments) and the ends of copyright
+lines as sentence ends. The licences of all readings are joined.
 
 Everything is a per-row expression: no shuffle, no Python. Texts without any
 ``ANCHORS`` word (every known sentence has one) skip the splitting.
@@ -109,6 +111,10 @@ ANCHORS = ["licen", "permission", "copyright", "redistribut", "warrant", "cc by"
 
 #: Sentence ends: a stop before a blank or the end, a colon or semicolon before a line end.
 BREAK = r"[.!?]+([\x20\x09-\x0D]|\z)|[:;][\x20\x09\x0D]*\n"
+#: Paragraph ends and copyright lines (lower case) of the third reading.
+PARAGRAPH = r"\n[^a-z0-9\n]*\n"
+COPYRIGHT_LINE = (r"(?md)^[^a-z0-9\n]*(?:copyright[^a-z0-9\n]*(?:\(c\)|c\b|by\b|[0-9]{4})"
+                  r"|\(c\)[^a-z0-9\n]*[0-9]{4})[^\n]*$")
 CUT = "\x01"
 JUNK = r"[^a-z0-9.+]+"
 EDGE = r"^[ .]+|[ .]+$"
@@ -131,11 +137,14 @@ def rule_runs() -> list[tuple[str, str]]:
     return [(name, "".join(f"<{i}>" for i in ids)) for name, ids in RULES]
 
 
-def _ids(text: Column, line_end: str) -> Column:
+def _ids(text: Column, line_end: str, paragraphs: bool = False) -> Column:
     """Identifiers of the known sentences, in order, as ``<A><B>``."""
     known = F.create_map(*[F.lit(x) for kv in known_sentences().items() for x in kv])
     plain = F.lower(F.regexp_replace(text, r"[^\x00-\x7F]+", " "))
-    cut = F.replace(F.regexp_replace(plain, BREAK, CUT), F.lit("\n"), F.lit(line_end))
+    if paragraphs:
+        plain = F.regexp_replace(plain, COPYRIGHT_LINE, f"{CUT}$0{CUT}")
+    ends = f"{BREAK}|{PARAGRAPH}" if paragraphs else BREAK
+    cut = F.replace(F.regexp_replace(plain, ends, CUT), F.lit("\n"), F.lit(line_end))
     found = F.transform(F.split(cut, CUT, -1), lambda s: known[
         F.regexp_replace(F.regexp_replace(s, JUNK, " "), EDGE, "")])
     return F.array_join(F.transform(F.filter(found, lambda x: x.isNotNull()),
@@ -158,19 +167,22 @@ def _count(ids: Column) -> Column:
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, licenses (comma-joined: those of the reading
-    with line ends as blanks in rule order, then further ones of the other),
-    sentence_ids of the reading that knows more sentences (the first on ties) and
+    with line ends as blanks in rule order, then further ones of the others),
+    sentence_ids of the reading that knows most sentences (the first on ties) and
     n_left_over, its known sentences that no rule used."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
     maybe = F.col("_text").rlike("(?i)" + "|".join(ANCHORS))
-    read = rows.select("doc_id", *[F.when(maybe, _ids(F.col("_text"), end)).otherwise(F.lit("")).alias(c)
-                                   for c, end in (("_a", " "), ("_b", CUT))])
-    matched = read.select("doc_id", "_a", "_b", *[
-        F.when(F.col(c) != "", _match(F.col(c))).alias(c + "m") for c in ("_a", "_b")])
-    hits = [F.coalesce(F.col(f"{c}m.hits"), F.array().cast("array<string>")) for c in ("_a", "_b")]
-    fuller = _count(F.col("_b")) > _count(F.col("_a"))
-    ids = F.when(fuller, F.col("_b")).otherwise(F.col("_a"))
-    left = F.when(fuller, F.col("_bm.state")).otherwise(F.col("_am.state"))
+    readings = ("_a", " ", False), ("_b", CUT, False), ("_c", " ", True)
+    read = rows.select("doc_id", *[F.when(maybe, _ids(F.col("_text"), end, cut)).otherwise(F.lit("")).alias(c)
+                                   for c, end, cut in readings])
+    names = [c for c, *_ in readings]
+    matched = read.select("doc_id", *names, *[
+        F.when(F.col(c) != "", _match(F.col(c))).alias(c + "m") for c in names])
+    hits = [F.coalesce(F.col(f"{c}m.hits"), F.array().cast("array<string>")) for c in names]
+    ids, left = F.col("_a"), F.col("_am.state")
+    for c in names[1:]:
+        fuller = _count(F.col(c)) > _count(ids)
+        ids, left = F.when(fuller, F.col(c)).otherwise(ids), F.when(fuller, F.col(f"{c}m.state")).otherwise(left)
     return matched.select(
         "doc_id", F.array_join(F.array_distinct(F.concat(*hits)), ",").alias("licenses"),
         ids.alias("sentence_ids"),

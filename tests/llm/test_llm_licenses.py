@@ -63,3 +63,52 @@ def test_ambiguous_sentences_are_refused(monkeypatch, bad):
     monkeypatch.setitem(licenses.SENTENCES, "Other", [bad])
     with pytest.raises(ValueError):
         licenses.known_sentences()
+
+
+MIT_BODY = MIT[MIT.index("Permission is"):] + """
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+"""
+ISC_BODY = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+"""
+BSD_BODY = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+GPL_BODY = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+BODIES = [(MIT_BODY, "MIT", "<MitGrant><MitKeep><MitAsIs>"), (ISC_BODY, "ISC", "<IscGrant>"),
+          (BSD_BODY, "BSD-2-Clause", "<BsdGrant><BsdSource><BsdBinary>"),
+          (GPL_BODY, "GPL-3.0-or-later", "<GplFree3><GplCopy>")]
+
+
+@pytest.mark.parametrize("head", ["Copyright (c) 2020 X\n\n", "Copyright (C) 2019, A\nCopyright 2020 B\n",
+                                  "A heading\n \t\n", "A heading\r\n\r\n"])
+def test_texts_without_title_are_read_whole(spark, head):
+    texts = [head + b for b, *_ in BODIES]
+    texts += ["".join(f" * {line}".rstrip() + "\n" for line in x.splitlines()) for x in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.licenses, r.sentence_ids) for r in licenses.scan_licenses(df).collect()}
+    assert [got[i] for i in range(len(texts))] == [b[1:] for b in BODIES] * 2
+
+
+def test_sentences_across_blank_lines_are_still_read(spark):
+    df = spark.createDataFrame([(1, "Licensed under the\n\nMIT License.")], "doc_id bigint, text string")
+    assert licenses.scan_licenses(df).first().licenses == "MIT"
