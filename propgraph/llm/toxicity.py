@@ -1,8 +1,11 @@
 """Toxicity scores from a bidirectional GRU with attention pooling, in numpy.
 
-Each word is the sum of its word embedding and hashed character-trigram
-embeddings (of its first characters, by position, and its ending), so unseen
-words are read by their characters. Windows of ``window`` words, each
+Each word has its word embedding and the sum of hashed character-trigram
+embeddings (its first characters by position, its ending, and from 7 characters
+up all its trigrams wherever they stand), so unseen words are read by all their
+characters. Runs of over ``PIECE`` characters (scripts without blanks, joined
+words) are read as pieces that overlap by two, so every trigram of a run lies in
+a piece. Windows of ``window`` words, each
 overlapping the next by half, run through a forward and a backward GRU;
 attention pools the states and gives one logit per window. A document's score
 is its largest window logit through a logistic calibration.
@@ -36,8 +39,10 @@ from pyspark.sql import functions as F
 from propgraph.llm.common import widened
 
 _WORD = re.compile(r"\w+")
-GRAMS = 5          # trigrams at offsets 0-3, and the last one
-BUCKETS = 8192
+PIECE = 16
+PLACED = 5         # trigrams at offsets 0-3, and the last one
+GRAMS = PLACED + PIECE - 2
+BUCKETS = 8192     # and one that stays zero, for no trigram
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 12, 8, 8
 WINDOW = 48
 PER_CLASS = 5000
@@ -47,23 +52,35 @@ CACHE_WORDS = 250_000
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    words = _WORD.findall((text or "").lower())
+    if max(map(len, words), default=0) > PIECE:
+        words = [w[k:k + PIECE] for w in words for k in range(0, max(1, len(w) - 2), PIECE - 2)]
+    return words
 
 
 def char_grams(words: list[str]) -> np.ndarray:
-    """Buckets of each word's trigrams: at offsets 0 to 3 and at the end."""
+    """Buckets of each word's trigrams: at offsets 0 to 3 and at the end, and of
+    words of at least 7 characters at every offset, whatever the offset."""
     if not words:
         return np.zeros((0, GRAMS), np.int64)
-    head = np.frombuffer("".join([w[:6].ljust(6, "\0") for w in words])
-                         .encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, 6).astype(np.uint64)
+    head = np.frombuffer("".join([w[:PIECE].ljust(PIECE, "\0") for w in words])
+                         .encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, PIECE).astype(np.uint64)
     tail = np.frombuffer("".join([w[-3:].rjust(3, "\0") for w in words])
                          .encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, 3).astype(np.uint64)
-    out = np.empty((len(words), GRAMS), np.int64)
-    for j in range(GRAMS):
-        a, b, c = (head[:, j + k] for k in range(3)) if j < 4 else (tail[:, k] for k in range(3))
-        h = (((a * np.uint64(1 << 42)) ^ (b << np.uint64(21)) ^ c) + np.uint64(j + 1)) \
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+
+    def bucket(chars: np.ndarray, at: int, kind: int) -> np.ndarray:
+        a, b, c = (chars[:, at + k] for k in range(3))
+        h = (((a * np.uint64(1 << 42)) ^ (b << np.uint64(21)) ^ c) + np.uint64(kind)) \
             * np.uint64(0x9E3779B97F4A7C15)
-        out[:, j] = (h >> np.uint64(51)).astype(np.int64)
+        return (h >> np.uint64(51)).astype(np.int64)
+
+    out = np.full((len(words), GRAMS), BUCKETS, np.int64)
+    for j in range(PLACED):
+        out[:, j] = bucket(head, j, j + 1) if j < 4 else bucket(tail, 0, j + 1)
+    for j in range(PIECE - 2):
+        rows = np.flatnonzero((sizes > 6) & (sizes >= j + 3))
+        out[rows, PLACED + j] = bucket(head[rows], j, PLACED + 1)
     return out
 
 
@@ -88,7 +105,7 @@ class Network:
         def draw(*shape: int, scale: float) -> np.ndarray:
             return (r.standard_normal(shape) * scale).astype(np.float32)
 
-        self.p = {"word": draw(n_words, WORD_DIM, scale=0.1), "char": draw(BUCKETS, CHAR_DIM, scale=0.1),
+        self.p = {"word": draw(n_words, WORD_DIM, scale=0.1), "char": np.append(draw(BUCKETS, CHAR_DIM, scale=0.1), np.zeros((1, CHAR_DIM), np.float32), axis=0),
                   "win": draw(2, dim, 3 * h, scale=dim ** -0.5), "bin": np.zeros((2, 1, 3 * h), np.float32),
                   "rec": draw(2, h, 3 * h, scale=h ** -0.5),
                   "att": draw(2 * h, ATTENTION, scale=(2 * h) ** -0.5), "batt": np.zeros(ATTENTION, np.float32),
@@ -96,7 +113,11 @@ class Network:
                   "out": draw(2 * h, scale=(2 * h) ** -0.5), "bout": np.zeros(1, np.float32)}
 
     def inputs(self, word_ids: np.ndarray, grams: np.ndarray) -> np.ndarray:
-        return np.concatenate((self.p["word"][word_ids], self.p["char"][grams].sum(axis=1)), axis=1)
+        char = self.p["char"][grams[:, 0]]
+        for j in range(1, grams.shape[1]):
+            rows = np.flatnonzero(grams[:, j] < BUCKETS)
+            char[rows] += self.p["char"][grams[rows, j]]
+        return np.concatenate((self.p["word"][word_ids], char), axis=1)
 
     def projected(self, x: np.ndarray) -> np.ndarray:
         """(2, rows, 3 x hidden): what each word adds to the gates, by direction."""
@@ -177,8 +198,10 @@ class Network:
         dx = np.matmul(dtable, p["win"].transpose(0, 2, 1)).sum(axis=0)
         g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
         np.add.at(g["word"], word_ids, dx[:, :WORD_DIM])
-        for j in range(GRAMS):
-            np.add.at(g["char"], grams[:, j], dx[:, WORD_DIM:])
+        rows, which = np.nonzero(grams < BUCKETS)
+        flat = grams[rows, which]
+        for c in range(CHAR_DIM):
+            g["char"][:, c] = np.bincount(flat, dx[rows, WORD_DIM + c], minlength=BUCKETS + 1)
         return loss, g
 
 
@@ -287,7 +310,7 @@ def train(texts: list[str], labels: list[int], rates: tuple[int, int] | None = N
     fit = turn % 5 != 0 if min(n_clean, n_toxic) >= 10 else np.ones(len(y), bool)
     word_ids = np.array([0, *(vocab.get(w, 0) for w in number)])
     words = ["", *number]
-    grams = np.concatenate([char_grams(words[k:k + 50_000]).astype(np.int32)
+    grams = np.concatenate([char_grams(words[k:k + 50_000]).astype(np.int16)
                             for k in range(0, len(words), 50_000)])
     del words
     at, owner = [], []

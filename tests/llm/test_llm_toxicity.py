@@ -108,3 +108,35 @@ def test_without_both_classes(spark):
         got = {r.score for r in T.score_documents(docs, s).collect()}
         assert len(got) == 1 and 0 < got.pop() <= 0.5
     assert T.score_documents(docs.limit(0), T.train([], [])).count() == 0
+
+
+def test_every_trigram_of_a_run_is_read():
+    r = random.Random(5)
+    for n in (1, 6, 7, 16, 17, 18, 30, 31, 34, 500):
+        run = "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(n))
+        pieces = T.words_of(run)
+        assert {run[k:k + 3] for k in range(max(1, n - 2))} == {
+            p[k:k + 3] for p in pieces for k in range(max(1, len(p) - 2))}
+        for p in pieces:
+            for k in range(len(p)):
+                other = p[:k] + "x" + p[k + 1:]
+                assert (T.char_grams([p]) != T.char_grams([other])).any(), (n, k)
+
+
+def clauses(n, seed):
+    r = random.Random(seed)
+    texts, labels = [], []
+    for k in range(n):
+        run = [chr(0x4E00 + r.randrange(300)) for _ in range(34)]
+        if k % 2:
+            at = r.randint(7, 22)
+            run[at:at + 4] = "\u6bd2\u6028\u9a82\u4eba"
+        texts.append("".join(run))
+        labels.append(k % 2)
+    return texts, labels
+
+
+def test_phrase_inside_a_run_without_blanks():
+    texts, labels = clauses(200, 7)
+    right = (T.train(*clauses(800, 6), batch=64).scores(texts) >= 0.5) == np.array(labels)
+    assert right.mean() > 0.9
