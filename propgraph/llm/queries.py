@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph.llm import (decontaminate, exact_dedup, licenses, line_dedup, oracle, piece, secret_scan,
+from propgraph.llm import (conversations, decontaminate, exact_dedup, licenses, line_dedup, oracle, piece, secret_scan,
                            sharding, simhash, toxicity, warc)
 
 SHARDS = 24
@@ -81,9 +81,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "contaminated")
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair_report(rows, conversations.damaged(rows))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_sharding, op2_simhash, op3_exact_dedup, op4_line_dedup, op5_license_scan,
-           op6_secret_scan, op7_warc, op8_toxicity, op9_sentencepiece, op10_decontamination)
+           op6_secret_scan, op7_warc, op8_toxicity, op9_sentencepiece, op10_decontamination,
+           op11_conversations)
     return {f.__name__: f for f in ops}
 
 
