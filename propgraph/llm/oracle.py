@@ -126,8 +126,44 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_
 FROM doc d LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
 
+_TERMS = (r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')")
+          + r", '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')")
+
+DIVERGENCE = f"""
+WITH doc AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                    {_TERMS} AS w FROM documents),
+said AS (SELECT id, lang, source, unnest(w) AS term FROM doc),
+kept AS (SELECT lang, term FROM said GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+n_kept AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+held AS (SELECT lang, source, term, count(*) AS n FROM said JOIN kept USING (lang, term) GROUP BY lang, source, term),
+grp AS (SELECT g.lang, g.source, coalesce(sum(h.n), 0) AS total
+        FROM (SELECT DISTINCT lang, source FROM doc) g LEFT JOIN held h USING (lang, source) GROUP BY g.lang, g.source),
+grp_p AS (
+  SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n,
+         CAST(1 + (1000000000 * (coalesce(h.n, 0) + 1)) // (g.total + v) AS BIGINT) AS p
+  FROM grp g JOIN kept k USING (lang) JOIN n_kept USING (lang) LEFT JOIN held h USING (lang, source, term)),
+lang_p AS (
+  SELECT lang, term, CAST(1 + (1000000000 * (sum(n) + 1)) // (sum(sum(n)) OVER (PARTITION BY lang) + max(v)) AS BIGINT) AS q
+  FROM held JOIN n_kept USING (lang) GROUP BY lang, term),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, CAST(sum((x.p - y.p) * (x.p - y.p) // y.p) AS BIGINT) AS value
+             FROM grp_p x JOIN grp_p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+             GROUP BY x.lang, x.source, y.source) s
+    ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+term AS (
+  SELECT lang, source, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value
+  FROM grp_p JOIN lang_p USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT part, lang, source, item, value,
+         CAST(row_number() OVER (PARTITION BY part, lang, source ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+  FROM (SELECT 'pair' AS part, * FROM pair UNION ALL SELECT 'term', * FROM term))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_exact_dedup": EXACT_DEDUP, "op4_line_dedup": LINE_DEDUP,
             "op5_license_scan": _license_sql(), "op7_warc": WARC,
-            "op10_decontamination": DECONTAMINATION}
+            "op10_decontamination": DECONTAMINATION, "op12_divergence": DIVERGENCE}
