@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from gate import compare, duck
@@ -62,27 +64,38 @@ def made(seed, n, sources, words=40):
     return rows
 
 
-@pytest.mark.parametrize("seed, n, sources, block", [(1, 300, 4, 200_000), (2, 300, 4, 25), (3, 120, 30, 60)])
+@pytest.mark.parametrize("seed, n, sources, block", [(1, 300, 4, 1 << 24), (2, 300, 4, 25), (3, 120, 30, 900)])
 def test_against_the_dense_definition(spark, seed, n, sources, block):
     rows = made(seed, n, sources)
     rows += [(9000, "long " * 20_000 + "Tail", "en", "hot")] * 3     # very long, repeated rows
     df = spark.createDataFrame(rows, DDL).selectExpr("*", "1 AS term", "2 AS n", "'x' AS p").repartition(5)
-    assert result(D.audit_sources(df, block_postings=block)) == dense(rows)
-
-
-def test_more_sources_than_the_matrix_holds(spark, monkeypatch):
-    rows = made(4, 200, 12)
-    shares = [{"lang": "en", "term": t, "source": s, "p": 3 + (7 * k + len(t)) % 90, "p0": 2 + k % 5}
-              for t in ("a", "bb", "ccc") for k, s in enumerate("qrstuvw"[: 3 + len(t)])]
-    whole = Counter()
-    for c in D._corrections(iter(shares)):
-        whole[c["source"], c["item"]] += c["value"]
-    monkeypatch.setattr(D, "MATRIX", 4)
-    parts = Counter()
-    for c in D._corrections(iter(shares)):
-        parts[c["source"], c["item"]] += c["value"]
-    assert whole == parts and whole
-    assert result(D.audit_sources(spark.createDataFrame(rows, DDL), top=2)) == dense(rows, top=2)
+    assert result(D.audit_sources(df, block_bytes=block)) == dense(rows)
+
+
+@pytest.mark.parametrize("pairs", [1, 7, 1 << 20])
+def test_corrections_in_portions(monkeypatch, pairs):
+    monkeypatch.setattr(D, "PAIRS", pairs)
+    r, f = random.Random(7), lambda p, q: (p - q) ** 2 // q
+    terms = [[(k, r.randint(1, 10 ** 9), 2 + k % 5) for k in r.sample(range(12), size)] for size in (2, 9, 5, 12, 2)]
+    want, got = Counter(), Counter()
+    for held in terms:
+        for a, p, p0 in held:
+            for b, q, q0 in held:
+                if a != b:
+                    want[a * 12 + b] += f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0)
+    place, p, p0 = np.array([x for held in terms for x in held]).T
+    for keys, values in D._corrected(place, p, p0, np.array([len(t) for t in terms]), 12):
+        got.update(dict(zip(keys.tolist(), values.tolist())))
+    assert got == want
+
+
+def test_words_of_awkward_texts():
+    texts = ["Ab c", "", "d", "é-É x1y", " ", "last"]
+    parts = [pa.array(texts[:3]), pa.array(["skip", *texts[3:]])[1:]]
+    words, sizes = D._words(parts)
+    assert [w.decode() for w in words.to_pylist()] == ["ab", "c", "d", "é", "É", "x", "y", "last"]
+    assert sizes.tolist() == [2, 0, 1, 4, 0, 1]
+    assert [len(x) for x in D._words([pa.array([""])])] == [0, 1]
 
 
 def test_no_kept_terms_and_empty_table(spark):
