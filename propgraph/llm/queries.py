@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.llm import (conversations, decontaminate, divergence, exact_dedup, licenses, line_dedup, oracle,
-                           piece, secret_scan, sharding, simhash, toxicity, warc)
+                           personal_data, piece, secret_scan, sharding, simhash, toxicity, warc)
 
 SHARDS = 24
 
@@ -90,10 +90,14 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(table(spark, sf_dir, "documents"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_sharding, op2_simhash, op3_exact_dedup, op4_line_dedup, op5_license_scan,
            op6_secret_scan, op7_warc, op8_toxicity, op9_sentencepiece, op10_decontamination,
-           op11_conversations, op12_divergence)
+           op11_conversations, op12_divergence, op13_personal_data)
     return {f.__name__: f for f in ops}
 
 
