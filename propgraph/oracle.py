@@ -9,7 +9,7 @@ rules. Inputs are the fixture views as CTEs over the driver's tables.
 
 from __future__ import annotations
 
-from .sources.fixtures import VIEWS, duckdb_ctes
+from .sources.fixtures import DAMAGED, VIEWS, duckdb_ctes
 
 URL_RE = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)"
 EMAIL_RE = r"^(.*?)\s*<([^>]+)"
@@ -132,6 +132,53 @@ FROM raw_fields f LEFT JOIN (
         requirement := requirement) END) ORDER BY req_name)) AS requires
   FROM raw_requires GROUP BY name) r ON f.name = r.name""", ("raw_fields", "raw_requires"))
 
+CANON["raw_damaged"] = (DAMAGED.format(raw="raw_latest"), ("raw_latest",))
+
+# --- fixed values: the keys of a record --------------------------------------------
+RECORD_COUNTS = ("num_releases", "num_info_dependencies")
+RECORD_TEXTS = ("name", "package_url", "requires_python", "version", "license", "home_page", "docs_url")
+RECORD_OTHERS = ("keywords", "project_urls", "author", "author_email", "maintainer", "maintainer_email")
+# -------------------------------------------------------------------------------------
+
+
+def quarantine_sql() -> str:
+    """The records that violate the contract, from the JSON types of their values."""
+    def t(path: str) -> str:
+        return f"json_type(j, '$.{path}')"
+
+    text, number = "('VARCHAR', 'NULL')", "('UBIGINT', 'BIGINT', 'HUGEINT', 'DOUBLE', 'NULL')"
+    has_info = f"{t('info')} = 'OBJECT'"
+    entry = "len(list_filter(entries, lambda e: json_type(e) = 'OBJECT' AND {0})) > 0"
+    rules = [("latest:absent", "latest IS NULL"), ("latest:not json", "latest IS NOT NULL AND j IS NULL"),
+             ("latest:not object", "json_type(j) <> 'OBJECT'"),
+             ("info:not object", f"{t('info')} NOT IN ('OBJECT', 'NULL')"),
+             ("requires:not object", f"{t('requires')} NOT IN ('OBJECT', 'NULL')")]
+    rules += [(f"{c}:absent", f"usual AND {t(c)} IS NULL") for c in RECORD_COUNTS]
+    rules += [(f"{c}:not number", f"{t(c)} NOT IN {number}") for c in RECORD_COUNTS]
+    rules.append(("info:absent", f"usual AND coalesce({t('info')}, 'NULL') = 'NULL'"))
+    rules += [(f"info.{c}:absent", f"usual AND {has_info} AND {t('info.' + c)} IS NULL") for c in RECORD_TEXTS + RECORD_OTHERS]
+    rules += [(f"info.{c}:not text", f"{t('info.' + c)} NOT IN {text}") for c in RECORD_TEXTS]
+    rules += [(f"info.{c}:not text", f"{t(f'info.{c}_email')} = 'VARCHAR' AND {t('info.' + c)} NOT IN {text}")
+              for c in ("author", "maintainer")]
+    rules += [("info.project_urls:not text", f"len(list_filter(urls, lambda u: json_type(u) NOT IN {text})) > 0"),
+              ("requires:absent", f"usual AND {t('requires')} IS NULL"),
+              ("requires.entry:not object", "len(list_filter(entries, lambda e: json_type(e) NOT IN ('OBJECT', 'NULL'))) > 0")]
+    rules += [(f"requires.{c}:absent", entry.format(f"json_type(e, '$.{c}') IS NULL")) for c in ("releases", "requirement")]
+    rules += [("requires.releases:not texts", entry.format(
+        "(json_type(e, '$.releases') <> 'ARRAY' OR len(list_filter(json_extract(e, '$.releases[*]'), "
+        "lambda x: json_type(x) <> 'VARCHAR')) > 0)")),
+        ("requires.requirement:not text", entry.format(f"json_type(e, '$.requirement') NOT IN {text}"))]
+    codes = ", ".join(f"CASE WHEN {cond} THEN {_q(code)} END" for code, cond in rules)
+    return f"""
+SELECT ord, name, array_to_string(reasons, ', ') AS reason, latest FROM (
+  SELECT ord, name, latest, list_filter([{codes}], lambda r: r IS NOT NULL) AS reasons FROM (
+    SELECT *, coalesce(json_type(j) = 'OBJECT' AND coalesce({t('info')}, 'NULL') IN ('OBJECT', 'NULL')
+             AND coalesce({t('requires')}, 'NULL') IN ('OBJECT', 'NULL'), false) AS usual,
+      json_extract(j, '$.requires.*') AS entries, json_extract(j, '$.info.project_urls.*') AS urls
+    FROM (SELECT *, CASE WHEN json_valid(latest) THEN latest END AS j FROM raw_damaged) a) b) c
+WHERE len(reasons) > 0"""
+
+
 FIXTURE_INPUTS = {"latest_package": "latest_package", "latest_requirement": "latest_requirement",
                   "latest_url": "latest_url", "latest_keyword": "latest_keyword",
                   "latest_email": "latest_email"}
@@ -465,6 +512,7 @@ def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_raw"] = o.sql("SELECT * FROM raw_latest", ["raw_latest"])
     q["canon_parse"] = o.sql("SELECT * FROM raw_fields", ["raw_fields"])
+    q["canon_quarantine"] = o.sql(quarantine_sql(), ["raw_damaged"])
     q["canon_package"] = o.sql("SELECT * FROM c_package", ["c_package"])
     q["canon_license"] = o.sql("SELECT * FROM c_license", ["c_license"])
     q["canon_requirement"] = o.sql("SELECT * FROM c_requirement", ["c_requirement"])

@@ -30,11 +30,6 @@ def _info(field: str) -> Column:
     return F.col(f"j.info.{field}")
 
 
-def _variant_text(v: Column) -> Column:
-    """The text of a JSON string value; NULL for any other JSON type."""
-    return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
-
-
 def parsed_fields(parsed: DataFrame) -> DataFrame:
     """The scalar fields of the decoded records, flat (for inspection/tests)."""
     pu = _project_urls()
@@ -48,7 +43,7 @@ def parsed_fields(parsed: DataFrame) -> DataFrame:
         _info("author").alias("author"), _info("author_email").alias("author_email"),
         _info("maintainer").alias("maintainer"),
         _info("maintainer_email").alias("maintainer_email"),
-        _variant_text(_info("keywords")).alias("keywords"))
+        _info("keywords").alias("keywords"))
 
 
 # --- one table = per-record entries (array of structs) + a finish projection --
@@ -76,7 +71,7 @@ def _finish_package(rows: DataFrame, keep_ord: bool = False) -> DataFrame:
 def _requirement_entries() -> Column:
     """Of a key given twice, the last entry counts (only records kept although
     malformed have any)."""
-    entries, keys = F.map_entries(F.col("j.requires")), F.map_keys(F.col("j.requires"))
+    entries, keys = F.col("j.requires"), F.col("j.requires.key")
     last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
     once = F.size(keys) == F.size(F.array_distinct(keys))
     return F.transform(F.when(once, entries).otherwise(last), lambda e: F.struct(
@@ -100,9 +95,7 @@ def _finish_requirement(rows: DataFrame) -> DataFrame:
 
 
 def _project_urls() -> Column:
-    v = _info("project_urls")
-    return F.when(F.schema_of_variant(v).startswith("OBJECT"),
-                  F.try_variant_get(v, "$", "map<string,string>"))
+    return _info("project_urls")
 
 
 def _url_entries() -> Column:
@@ -153,7 +146,7 @@ def _finish_email(rows: DataFrame) -> DataFrame:
 
 
 def _keyword_entries() -> Column:
-    return F.transform(keyword_tokens(_variant_text(_info("keywords"))), lambda t, i: F.struct(
+    return F.transform(keyword_tokens(_info("keywords")), lambda t, i: F.struct(
         F.col("ord").alias("ord"), i.alias("pos"), F.col("name").alias("pkg_name"),
         t.alias("token")))
 
@@ -255,7 +248,7 @@ def canonical_counts(parsed: DataFrame, keyword_threshold: int = KEYWORD_MIN_COU
     words = F.filter(F.transform(F.col("_tokens"), clean_keyword), lambda w: w != "")
     keywords = F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.struct(
         F.lit("latest_keyword").alias("table"), w.alias("keyword"), F.lit(1).cast("long").alias("n")))
-    rows = (parsed.withColumn("_tokens", keyword_tokens(_variant_text(_info("keywords"))))
+    rows = (parsed.withColumn("_tokens", keyword_tokens(_info("keywords")))
             .select(F.explode(F.concat(F.array(*parts), keywords)).alias("e"), F.col("name").alias("_name"))
             .select("e.*", "_name"))
     # the name carries the malformed-record check, so it must be evaluated
@@ -282,9 +275,21 @@ def canonical_entries(parsed: DataFrame) -> DataFrame:
 
     Written once, it gives every canonical table from a single decode of the
     JSON with nothing cached; a table reads only its column (nested column
-    pruning) and explodes it.
+    pruning) and explodes it. Of ``judge_raw`` rows, those with reasons get no
+    entries but a ``quarantine`` row, from the same decode.
     """
-    return parsed.select(*[f().alias(k) for k, f in ROW_KINDS.items()])
+    kinds = {k: f() for k, f in ROW_KINDS.items()}
+    if "reasons" not in parsed.columns:
+        return parsed.select(*[c.alias(k) for k, c in kinds.items()])
+    good = F.size("reasons") == 0
+    fault = F.struct("ord", "name", F.array_join("reasons", ", ").alias("reason"), "latest")
+    return parsed.select(*[F.when(good, c).alias(k) for k, c in kinds.items()],
+                         F.when(~good, fault).alias("quarantine"))
+
+
+def quarantined(entries: DataFrame) -> DataFrame:
+    """(ord, name, reason, latest) of the records left out of ``entries``."""
+    return entries.where(F.col("quarantine").isNotNull()).select("quarantine.*")
 
 
 def canonical_from_entries(entries: DataFrame, keyword_threshold: int = KEYWORD_MIN_COUNT,

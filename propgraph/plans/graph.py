@@ -31,10 +31,13 @@ from ..operators.profile import assert_nonempty, expect_nonempty, table_counts
 from ..sources.layers import write_layer, write_manifest
 from ..operators.running import require_order
 from ..session import remove_path, scratch_path
-from ..sources.raw import parse_raw
-from .canon import KEYWORD_MIN_COUNT, canonical_entries, canonical_from_entries, canonicalize
+from ..sources.raw import judge_raw, parse_raw, quarantine
+from .canon import (KEYWORD_MIN_COUNT, canonical_entries, canonical_from_entries, canonicalize,
+                    quarantined)
 from .spec import GraphSpec, package_registry_spec
 
+QUARANTINE = "_quarantine"     # the folder of left-out records in the canonical layer
+
 
 @dataclass
 class Graph:
@@ -48,6 +51,7 @@ class Graph:
     spec: GraphSpec
     cached: tuple[DataFrame, ...] = ()   # persisted inputs to release (persist mode)
     layer_root: str | None = None        # where the layers were written (write mode)
+    quarantine: DataFrame | None = None  # (ord, name, reason, latest) left out (on_malformed='drop')
 
     def final_tables(self, suffix: str = "") -> dict[str, DataFrame]:
         out = {f"node_{n}{suffix}": df for n, df in self.nodes.items()}
@@ -203,6 +207,10 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
 
     validate: 'raise' stops on an empty canonical table or on any link end
     missing from its node table; 'report' only returns the check table.
+
+    on_malformed: 'fail' stops on a record that violates the contract; 'drop'
+    leaves it out of the graph and writes it with its reasons to
+    ``canon/_quarantine`` (``Graph.quarantine``); 'keep' reads what it can.
     """
     spec = spec or package_registry_spec()
     if materialize not in ("write", "persist", None):
@@ -216,17 +224,22 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
         layer_root = scratch_path(some.sparkSession, "graph")
 
     cached: list[DataFrame] = []
+    left_out = None
     if canon is None:
         require_order(raw, ["ord"])
-        parsed = parse_raw(raw, on_malformed)
+        split = on_malformed == "drop" and materialize == "write"
+        # one decode gives the canonical entries and the records left out
+        parsed = judge_raw(raw) if split else parse_raw(raw, on_malformed)
         if materialize == "write":
             # One decode: every kind of entries per record, written once; each
             # canonical table reads its column (pruned) and explodes it.
             entries_path = f"{layer_root}/canon/_entries"
             canonical_entries(parsed).write.mode("overwrite").parquet(entries_path)
             entries = parsed.sparkSession.read.parquet(entries_path)
-            canon = write_layer(canonical_from_entries(entries, keyword_threshold, keyword_buckets,
-                                                       deferred=True), f"{layer_root}/canon")
+            tables = canonical_from_entries(entries, keyword_threshold, keyword_buckets, deferred=True)
+            canon = write_layer({**tables, **({QUARANTINE: quarantined(entries)} if split else {})},
+                                f"{layer_root}/canon")
+            left_out = canon.pop(QUARANTINE, None)
             remove_path(parsed.sparkSession, entries_path)      # its readers are written
         elif materialize == "persist":
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -234,6 +247,8 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
             cached.append(parsed)
         else:
             canon = canonicalize(parsed, keyword_threshold, keyword_buckets)
+        if on_malformed == "drop" and left_out is None:
+            left_out = quarantine(raw)
     if validate == "raise":
         assert_nonempty(expect_nonempty(canon))
     sub_nodes, sub_links = extract_subgraph(canon, spec)
@@ -251,6 +266,7 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
     nodes, links = group_graph(sub_nodes, sub_links, spec, overrides)
     g = Graph(canon, sub_nodes, sub_links, check, nodes, links, spec)
     g.cached = tuple(cached)
+    g.quarantine = left_out
     if materialize == "write":
         names = g.final_tables("_final")
         final = write_layer(names, f"{layer_root}/graph")

@@ -3,7 +3,7 @@ the published catalog."""
 
 from .fixtures import Fixtures
 from .layers import publish, read_graph, write_layer, write_manifest
-from .raw import RAW_SCHEMA, parse_raw, raw_snapshot, scan_raw
+from .raw import RAW_SCHEMA, judge_raw, parse_raw, quarantine, raw_snapshot, scan_raw
 
-__all__ = ["Fixtures", "publish", "read_graph", "write_layer", "write_manifest", "RAW_SCHEMA", "parse_raw", "raw_snapshot",
-           "scan_raw"]
+__all__ = ["Fixtures", "publish", "read_graph", "write_layer", "write_manifest", "RAW_SCHEMA", "judge_raw",
+           "parse_raw", "quarantine", "raw_snapshot", "scan_raw"]

@@ -119,6 +119,32 @@ SELECT concat(CASE WHEN o_custkey % 61 = 5 THEN 'gone-' ELSE 'pkg-' END, o_custk
 FROM {orders}
 """
 
+#: Records of every kind of contract violation, next to good ones, from the snapshot ``{raw}``.
+DAMAGED = """
+SELECT ord, name, CASE ord % 29
+  WHEN 1 THEN NULL
+  WHEN 2 THEN substr(latest, 1, length(latest) - 1)
+  WHEN 3 THEN replace(latest, '"info":', '"inf":')
+  WHEN 4 THEN replace(latest, '"version":', '"versio":')
+  WHEN 5 THEN replace(latest, '"license":', '"license":["a"],"licence":')
+  WHEN 6 THEN replace(latest, '"requires":', '"requires":"x","required":')
+  WHEN 7 THEN replace(latest, '"home_page":', '"home_page":5,"home":')
+  WHEN 8 THEN replace(latest, '"author_email":', '"author_email":["a@x"],"email":')
+  WHEN 9 THEN replace(latest, '"requirement":', '"requirements":')
+  WHEN 10 THEN replace(latest, '"releases":["', '"releases":[1,"')
+  WHEN 11 THEN replace(latest, '"num_releases":', '"num_releases":"many","n":')
+  WHEN 12 THEN replace(latest, '"project_urls":{{"Source":', '"project_urls":{{"Home":7,"Source":')
+  WHEN 13 THEN '[1]'
+  WHEN 14 THEN replace(latest, '"requires":', '"required":')
+  WHEN 15 THEN replace(latest, '"keywords":', '"keywords":["a"],"words":')
+  WHEN 16 THEN replace(latest, '"author":', '"author":3,"writer":')
+  WHEN 17 THEN replace(latest, '"requires":{{', '"requires":{{"extra":"text",')
+  WHEN 18 THEN replace(replace(latest, '"info":', '"info":null,"inf":'), '"num_info_dependencies":', '"n":')
+  WHEN 19 THEN replace(latest, '"releases":', '"released":')
+  ELSE latest END AS latest
+FROM {raw}
+"""
+
 DEPENDS = {
     "raw_fields": ("part",),
     "raw_requires": ("lineitem",),
@@ -158,6 +184,10 @@ class Fixtures:
         from .raw import raw_snapshot
         return raw_snapshot(self.table("raw_fields"), self.table("raw_requires"))
 
+    def raw_damaged(self) -> DataFrame:
+        """The raw snapshot with contract violations of every kind."""
+        return self.spark.sql(DAMAGED, raw=self.raw())
+
     def raw(self) -> DataFrame:
         """The raw snapshot as the pipeline meets it: a parquet input file.
 

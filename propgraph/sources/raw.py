@@ -1,9 +1,14 @@
 """The raw snapshot: one row per package, ``latest`` = the registry's JSON text.
 
-The JSON is decoded once with an explicit schema (no inference pass). Two
-fields are read as VARIANT because their JSON type decides the meaning: a
-``keywords`` list, unlike a keywords text, yields no keywords, and a
-``project_urls`` that is not an object yields no URLs.
+The JSON is decoded once with an explicit schema (no inference pass) whose
+leaves are VARIANT, so a value keeps its JSON type and an absent key differs
+from a null. The record contract (``CONTRACT``) is checked on them: which keys a
+record must have and of which type. Each violation is a reason code
+(``info.license:not text``); the typed record is made only from what passed.
+
+Two fields may hold anything by the registry's rules: a ``keywords`` or
+``*_email`` value that is no text, and a ``project_urls`` that is no object,
+yield no rows.
 """
 
 from __future__ import annotations
@@ -11,12 +16,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# --- fixed values: the record contract -----------------------------------------
+TEXTS = ("name", "package_url", "requires_python", "version", "license", "home_page", "docs_url")
+ANYTHING = ("keywords", "project_urls", "author", "author_email", "maintainer", "maintainer_email")
+COUNTS = ("num_releases", "num_info_dependencies")
+PERSONS = ("author", "maintainer")
+# ---------------------------------------------------------------------------------
+
 RAW_SCHEMA = (
-    "num_releases double, num_info_dependencies double, "
-    "info struct<name string, package_url string, requires_python string, version string, "
-    "license string, home_page string, docs_url string, keywords variant, author string, "
-    "author_email string, maintainer string, maintainer_email string, project_urls variant>, "
-    "requires map<string, struct<releases array<string>, requirement string>>, _corrupt string"
+    ", ".join(f"{c} variant" for c in COUNTS)
+    + ", info struct<" + ", ".join(f"{c} variant" for c in TEXTS + ANYTHING) + ">"
+    + ", requires map<string, variant>, _corrupt string"
 )
 
 
@@ -29,42 +39,141 @@ def scan_raw(spark: SparkSession, path: str, ord_col: str | None = "ord") -> Dat
     return df.select(F.col(f"`{ord_col or 'name'}`").alias("ord"), "name", "latest")
 
 
-def malformed(latest: Column, j: Column) -> Column:
-    """Whether a record is malformed: no text, no decodable ``info``, a field of
-    another JSON type than its meaning allows (a text count, a ``requires`` that
-    is no object, an entry that is neither NULL nor an object with a
-    ``releases`` list), or a key given twice in ``requires`` or
-    ``project_urls``."""
+def _kind(v: Column) -> Column:
+    """The JSON type of a value; NULL when the key is absent."""
+    return F.schema_of_variant(v)
+
+
+def _is_text(v: Column) -> Column:
+    return F.coalesce(_kind(v) == "STRING", F.lit(False))
+
+
+def _text(v: Column) -> Column:
+    """The text of a JSON string; NULL for any other JSON value."""
+    return F.when(_is_text(v), F.try_variant_get(v, "$", "string"))
+
+
+def _wrong(v: Column, *kinds: str) -> Column:
+    """Present, not null and of none of the JSON types ``kinds`` (or prefixes of them)."""
+    fine = _kind(v) == "VOID"
+    for k in kinds:
+        fine = fine | _kind(v).startswith(k)
+    return v.isNotNull() & ~fine
+
+
+def _entry(e: Column, key: str) -> Column:
+    return F.try_variant_get(e, f"$.{key}", "variant")
+
+
+def _entry_values(j: Column, test) -> Column:
+    """Whether some entry of ``requires`` that is an object fails ``test``."""
+    return F.coalesce(F.exists(F.map_values(j["requires"]),
+                               lambda e: _kind(e).startswith("OBJECT") & test(e)), F.lit(False))
+
+
+def _unread(latest: Column, j: Column) -> list[tuple[str, Column]]:
+    """Why a text could not be read as a record. Only such texts are parsed again."""
+    whole = F.try_parse_json(latest)
+    part = lambda path: F.schema_of_variant(F.try_variant_get(whole, path, "variant"))
+    unread = latest.isNotNull() & (j["_corrupt"].isNotNull() | j.isNull())
+    valid = F.get_json_object(latest, "$").isNotNull()
+    twice = unread & whole.isNull() & valid
+    is_object = F.schema_of_variant(whole).startswith("OBJECT")
+    return [("latest:absent", latest.isNull()),
+            ("latest:not json", unread & whole.isNull() & ~valid),
+            ("latest:repeated key", twice),
+            ("latest:not object", unread & ~is_object),
+            ("info:not object", unread & is_object & (part("$.info") != "VOID") & ~part("$.info").startswith("OBJECT")),
+            ("requires:not object", unread & is_object & (part("$.requires") != "VOID")
+             & ~part("$.requires").startswith("OBJECT"))]
+
+
+def contract(latest: Column, j: Column) -> list[tuple[str, Column]]:
+    """(reason code, whether a record violates it), in order."""
+    info = j["info"]
+    read = latest.isNotNull() & j.isNotNull() & j["_corrupt"].isNull()
+    out = _unread(latest, j)
+    out += [(f"{c}:absent", read & j[c].isNull()) for c in COUNTS]
+    out += [(f"{c}:not number", _wrong(j[c], "BIGINT", "DECIMAL", "DOUBLE", "FLOAT")) for c in COUNTS]
+    # a record whose info is JSON null has no keys either
+    out.append(("info:absent", read & info.isNull()))
+    out += [(f"info.{c}:absent", read & info.isNotNull() & info[c].isNull()) for c in TEXTS + ANYTHING]
+    out += [(f"info.{c}:not text", _wrong(info[c], "STRING")) for c in TEXTS]
+    out += [(f"info.{c}:not text", _is_text(info[f"{c}_email"]) & _wrong(info[c], "STRING")) for c in PERSONS]
+    urls = F.try_variant_get(info["project_urls"], "$", "map<string,variant>")
+    out.append(("info.project_urls:not text", F.coalesce(
+        _kind(info["project_urls"]).startswith("OBJECT") & F.exists(F.map_values(urls), lambda u: _wrong(u, "STRING")),
+        F.lit(False))))
     keys = F.map_keys(j["requires"])
-    repeated = F.size(keys) != F.size(F.array_distinct(keys))
-    no_list = F.exists(F.map_values(j["requires"]), lambda v: v.isNotNull() & v["releases"].isNull())
-    return (latest.isNull() | j["info"].isNull() | j["_corrupt"].isNotNull()
-            | F.coalesce(repeated | no_list, F.lit(False)))
+    out += [("requires:absent", read & j["requires"].isNull()
+             & ~F.array_contains(F.json_object_keys(latest), "requires")),
+            ("requires:repeated key", F.coalesce(F.size(keys) != F.size(F.array_distinct(keys)), F.lit(False))),
+            ("requires.entry:not object", F.coalesce(F.exists(F.map_values(j["requires"]),
+                                                              lambda e: _wrong(e, "OBJECT")), F.lit(False)))]
+    out += [(f"requires.{c}:absent", _entry_values(j, lambda e, c=c: _entry(e, c).isNull()))
+            for c in ("releases", "requirement")]
+    out += [("requires.releases:not texts", _entry_values(j, lambda e: _entry(e, "releases").isNotNull()
+                                                          & ~_kind(_entry(e, "releases")).isin("ARRAY<STRING>", "ARRAY<VOID>"))),
+            ("requires.requirement:not text", _entry_values(j, lambda e: _wrong(_entry(e, "requirement"), "STRING")))]
+    return [(code, F.coalesce(bad, F.lit(False))) for code, bad in out]
+
+
+def _typed(j: Column) -> Column:
+    """The record with its types: values of another JSON type are NULL."""
+    info = j["info"]
+    number = lambda c: F.try_variant_get(j[c], "$", "double").alias(c)
+    urls = F.try_variant_get(info["project_urls"], "$", "map<string,variant>")
+    urls = F.when(_kind(info["project_urls"]).startswith("OBJECT"), F.transform_values(urls, lambda _, u: _text(u)))
+    texts = [c for c in TEXTS + ANYTHING if c != "project_urls"]
+    # not a map: a key given twice would stop the job here
+    entries = F.transform(F.map_entries(j["requires"]), lambda e: F.struct(
+        e["key"].alias("key"), F.when(_kind(e["value"]).startswith("OBJECT"), F.struct(
+            F.try_variant_get(e["value"], "$.releases", "array<string>").alias("releases"),
+            _text(_entry(e["value"], "requirement")).alias("requirement"))).alias("value")))
+    return F.struct(*[number(c) for c in COUNTS],
+                    F.struct(*[_text(info[c]).alias(c) for c in texts], urls.alias("project_urls")).alias("info"),
+                    entries.alias("requires"))
+
+
+def judge_raw(raw: DataFrame) -> DataFrame:
+    """(ord, name, latest, reasons, j): the reason codes of every record (an empty
+    list for a good one) and what could be read of it."""
+    read = F.from_json(F.col("latest"), RAW_SCHEMA,
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    df = raw.select("ord", "name", "latest", read.alias("_j"))
+    codes = F.array(*[F.when(bad, F.lit(code)) for code, bad in contract(F.col("latest"), F.col("_j"))])
+    return df.select("ord", "name", "latest", F.array_compact(codes).alias("reasons"), _typed(F.col("_j")).alias("j"))
 
 
 def parse_raw(raw: DataFrame, on_malformed: str = "fail") -> DataFrame:
-    """(ord, name, j) with ``j`` the decoded record.
+    """(ord, name, j) with ``j`` the typed record.
 
-    A ``malformed`` record stops the job (``on_malformed='fail'``), is dropped
-    ('drop') or kept ('keep') with what could be read: parts of a wrong type are
-    NULL, the last of repeated ``requires`` entries counts, and
-    ``project_urls`` with a repeated key gives none.
+    A record that violates the contract stops the job (``on_malformed='fail'``,
+    with its reasons), is dropped ('drop'; ``quarantine`` has those) or kept ('keep')
+    with what could be read: values of a wrong type are NULL, the last of repeated
+    ``requires`` entries counts, and ``project_urls`` with a repeated key gives none.
     """
-    j = F.from_json(F.col("latest"), RAW_SCHEMA,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    df = raw.select("ord", "name", "latest", j.alias("j"))
-    bad = malformed(F.col("latest"), F.col("j"))
+    df = judge_raw(raw)
+    bad = F.size("reasons") > 0
     if on_malformed == "fail":
         # Folded into `name`, which every canonical table reads, so the check
         # rides on the same pass and the JSON is decoded once.
-        name = F.when(bad, F.raise_error(F.concat(F.lit("malformed record: "),
-                                                  F.coalesce(F.col("name"), F.lit("NULL")))))
+        name = F.when(bad, F.raise_error(F.concat(
+            F.lit("malformed record: "), F.coalesce(F.col("name"), F.lit("NULL")), F.lit(" ("),
+            F.array_join("reasons", ", "), F.lit(")"))))
         df = df.withColumn("name", name.otherwise(F.col("name")))
     elif on_malformed == "drop":
         df = df.where(~bad)
     elif on_malformed != "keep":
         raise ValueError(on_malformed)
-    return df.drop("latest")
+    return df.select("ord", "name", "j")
+
+
+def quarantine(raw: DataFrame) -> DataFrame:
+    """(ord, name, reason, latest) of the records that violate the contract;
+    ``reason`` joins their codes."""
+    bad = judge_raw(raw).where(F.size("reasons") > 0)
+    return bad.select("ord", "name", F.array_join("reasons", ", ").alias("reason"), "latest")
 
 
 def raw_snapshot(raw_fields: DataFrame, raw_requires: DataFrame) -> DataFrame:

@@ -12,8 +12,12 @@ from propgraph.plans import canon as C
 from propgraph.sources.raw import parse_raw
 
 
+TOP = {"num_releases": None, "num_info_dependencies": None, "requires": None}
+
+
 def _raw(spark, records):
-    rows = [(i, name, rec if isinstance(rec, str) or rec is None else json.dumps(rec))
+    """Records as JSON; those with ``info`` get the other keys of a full record."""
+    rows = [(i, name, rec if isinstance(rec, str) or rec is None else json.dumps({**TOP, **rec} if "info" in rec else rec))
             for i, (name, rec) in enumerate(records)]
     return spark.createDataFrame(rows, "ord long, name string, latest string")
 

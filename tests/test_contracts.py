@@ -19,42 +19,84 @@ from propgraph.plans import canon as C
 from propgraph.plans.graph import GraphView
 from propgraph.plans.spec import NodeSpec
 from propgraph.session import scratch_path
-from propgraph.sources import Fixtures, parse_raw, read_graph, scan_raw
+from propgraph.sources import Fixtures, parse_raw, quarantine, read_graph, scan_raw
 
 SF = "/root/testdata/sf0.001"
-INFO = {"name": "n", "home_page": "https://x.org"}
+KEYS = ("name", "package_url", "requires_python", "version", "license", "home_page", "docs_url", "keywords",
+        "project_urls", "author", "author_email", "maintainer", "maintainer_email")
+INFO = {**dict.fromkeys(KEYS), "name": "n", "home_page": "https://x.org"}
+TOP = {"num_releases": 1, "num_info_dependencies": None, "info": INFO, "requires": None}
 GOOD = {"releases": ["1.0"], "requirement": ">1"}
-URLS_TWICE = '{"info": {"name": "n", "project_urls": {"a": "u1", "a": "u2"}}}'
-NEEDS_TWICE = ('{"info": {"name": "n"}, "requires": {"r": {"releases": [], "requirement": "old"}, '
-               '"r": {"releases": [], "requirement": "new"}}}')
+
+
+def record(info=None, without=(), **top) -> str:
+    """A full record with other values, without some keys (``info.x`` or ``x``)."""
+    r = {**TOP, "info": {**INFO, **(info or {})}, **top}
+    for path in without:
+        del (r["info"] if "." in path else r)[path.split(".")[-1]]
+    return json.dumps(r)
+
+
+URLS_TWICE = record({"project_urls": {"a": "u1"}}).replace('"a": "u1"', '"a": "u1", "a": "u2"')
+NEEDS_TWICE = record(requires={"r": {"releases": [], "requirement": "old"}}).replace(
+    '"requires": {', '"requires": {"r": {"releases": [], "requirement": "first"}, ').replace('"old"', '"new"')
+# why: (record, its reason codes)
 BAD = {
-    "entry is text": json.dumps({"info": INFO, "requires": {"a": GOOD, "b": "oops"}}),
-    "entry is a list": json.dumps({"info": INFO, "requires": {"a": GOOD, "b": ["1.0"]}}),
-    "entry without releases": json.dumps({"info": INFO, "requires": {"a": GOOD, "b": {"requirement": ">1"}}}),
-    "releases is text": json.dumps({"info": INFO, "requires": {"b": {"releases": "1.0", "requirement": ">1"}}}),
-    "requires is a list": json.dumps({"info": INFO, "requires": ["a"]}),
-    "text count": json.dumps({"info": INFO, "num_releases": "abc"}),
-    "no text": None, "not json": "{", "no info": json.dumps({"num_releases": 1}),
-    "info is text": json.dumps({"info": "x"}), "repeated url key": URLS_TWICE, "repeated needs key": NEEDS_TWICE,
+    "entry is text": (record(requires={"a": GOOD, "b": "oops"}), "requires.entry:not object"),
+    "entry is a list": (record(requires={"a": GOOD, "b": ["1.0"]}), "requires.entry:not object"),
+    "entry without releases": (record(requires={"a": GOOD, "b": {"requirement": ">1"}}), "requires.releases:absent"),
+    "entry without requirement": (record(requires={"b": {"releases": []}}), "requires.requirement:absent"),
+    "releases is text": (record(requires={"b": {"releases": "1.0", "requirement": ">1"}}), "requires.releases:not texts"),
+    "releases of numbers": (record(requires={"b": {"releases": [1], "requirement": None}}), "requires.releases:not texts"),
+    "requirement is a list": (record(requires={"b": {"releases": [], "requirement": []}}), "requires.requirement:not text"),
+    "requires is a list": (record(requires=["a"]), "requires:not object"),
+    "text count": (record(num_releases="abc"), "num_releases:not number"),
+    "boolean count": (record(num_info_dependencies=True), "num_info_dependencies:not number"),
+    "no text": (None, "latest:absent"), "not json": ("{", "latest:not json"), "empty": ("", "latest:not json"),
+    "a list": ("[1]", "latest:not object"), "null": ("null", "latest:not object"),
+    "no info": (record(without=["info"]), "info:absent"), "null info": (json.dumps({**TOP, "info": None}), "info:absent"),
+    "info is text": (json.dumps({**TOP, "info": "x"}), "info:not object"),
+    "no count": (record(without=["num_releases"]), "num_releases:absent"),
+    "no requires": (record(without=["requires"]), "requires:absent"),
+    "no license": (record(without=["info.license"]), "info.license:absent"),
+    "no keywords, no author": (record(without=["info.keywords", "info.author"]), "info.keywords:absent, info.author:absent"),
+    "license is an object": (record({"license": {"a": 1}}), "info.license:not text"),
+    "license is a number": (record({"license": 3}), "info.license:not text"),
+    "home page is a number": (record({"home_page": 5}), "info.home_page:not text"),
+    "docs url is a list": (record({"docs_url": ["u"]}), "info.docs_url:not text"),
+    "a project url is an object": (record({"project_urls": {"a": {"b": 1}}}), "info.project_urls:not text"),
+    "author is a number": (record({"author": 5, "author_email": "a@x"}), "info.author:not text"),
+    "two faults": (record({"version": 1}, requires={"b": 1}), "info.version:not text, requires.entry:not object"),
+    "repeated url key": (URLS_TWICE, "latest:repeated key"), "repeated needs key": (NEEDS_TWICE, "requires:repeated key"),
 }
+FINE = [record(), record({"keywords": ["a"], "project_urls": ["u"]}), record({"project_urls": {}}), record(requires={}),
+        record(num_releases=2.5, requires={"a": GOOD, "b": None}), record({"author_email": ["a@x"], "author": 5}),
+        record({"project_urls": {"a": None, "b": "u"}}), record(more={"x": 1}), record({"maintainer_email": {"a": 1}}),
+        record(requires={"a": {"releases": [], "requirement": None, "more": 1}})]
 
 
 def _raw(spark, latest):
-    rows = [(0, "ok", json.dumps({"info": INFO, "requires": {"a": GOOD, "b": None}}))] + [
-        (i + 1, f"bad{i}", x) for i, x in enumerate(latest)]
+    rows = [(0, "ok", record(requires={"a": GOOD, "b": None}))] + [(i + 1, f"bad{i}", x) for i, x in enumerate(latest)]
     return spark.createDataFrame(rows, "ord long, name string, latest string")
 
 
 @pytest.mark.parametrize("why", list(BAD))
 def test_malformed_records_stop_the_job(spark, why):
-    raw = _raw(spark, [BAD[why]])
-    for table in (C.canon_package, C.canon_requirement, C.canon_url, C.canonical_counts):
+    raw = _raw(spark, [BAD[why][0]])
+    every = why in ("entry is text", "license is an object", "no requires", "repeated url key")
+    for table in (C.canon_package, *((C.canon_requirement, C.canon_url, C.canonical_counts) if every else ())):
         with pytest.raises(PySparkException, match="malformed record: bad0"):
             table(parse_raw(raw)).collect()
 
 
+def test_every_violation_has_its_reason(spark):
+    raw = _raw(spark, [r for r, _ in BAD.values()])
+    got = {r.name: (r.reason, r.latest) for r in quarantine(raw).collect()}
+    assert got == {f"bad{i}": (reason, text) for i, (text, reason) in enumerate(BAD.values())}
+
+
 def test_malformed_records_dropped_or_kept(spark):
-    raw = _raw(spark, list(BAD.values()))
+    raw = _raw(spark, [r for r, _ in BAD.values()])
     dropped = parse_raw(raw, on_malformed="drop")
     assert [r.pkg_name for r in C.canon_package(dropped).collect()] == ["ok"]
     assert {r.required_pkg_name for r in C.canon_requirement(dropped).collect()} == {"a", "b"}
@@ -68,16 +110,34 @@ def test_malformed_records_dropped_or_kept(spark):
 
 
 def test_good_records_are_not_malformed(spark):
-    rows = [json.dumps(r) for r in (
-        {"info": {}}, {"info": {"keywords": ["a"], "project_urls": ["u"]}}, {"info": {"project_urls": None}},
-        {"info": INFO, "requires": {}, "num_releases": 2.5}, {"info": INFO, "requires": {"a": GOOD, "b": None}},
-        {"info": INFO, "unknown": {"x": 1}})]
-    assert C.canon_package(parse_raw(_raw(spark, rows))).count() == 1 + len(rows)
+    parsed = parse_raw(_raw(spark, FINE))
+    assert C.canon_package(parsed).count() == 1 + len(FINE)
+    # values that are no text where any may stand: no rows, as no rows come from them by the rules
+    assert C.canon_email(parsed).count() == 0 and C.canon_keyword(parsed).count() == 0
+    assert {(r.url_type, r.url) for r in C.canon_url(parsed).where("url_type NOT IN ('home_page', 'docs_url')").collect()} \
+        == {("b", "u")}
+    assert quarantine(_raw(spark, FINE)).count() == 0
+
+
+def test_dropped_records_are_quarantined_by_the_build(spark, tmp_path):
+    raw = _raw(spark, [r for r, _ in BAD.values()] + FINE)
+    root = str(tmp_path / "layers")
+    g = build_graph(raw=raw, validate="report", on_malformed="drop", layer_root=root)
+    written = spark.read.parquet(f"{root}/canon/_quarantine")
+    assert sorted(written.collect(), key=lambda r: r.ord) == sorted(quarantine(raw).collect(), key=lambda r: r.ord)
+    assert written.count() + g.canon["latest_package"].count() == raw.count()
+    assert g.quarantine.count() == len(BAD) and g.canon["latest_package"].count() == 1 + len(FINE)
+    lazy = build_graph(raw=raw, validate="report", on_malformed="drop", materialize=None)
+    assert lazy.quarantine.count() == len(BAD)
+    assert sorted(table_digests(lazy.final_tables()).collect()) == sorted(table_digests(g.final_tables()).collect())
+    clean = build_graph(raw=_raw(spark, FINE), validate="report", on_malformed="drop", layer_root=str(tmp_path / "clean"))
+    assert clean.quarantine.count() == 0
+    assert build_graph(raw=_raw(spark, FINE), validate="report", materialize=None).quarantine is None
 
 
 def test_order_column(spark):
     path = scratch_path(spark, "order")
-    _raw(spark, [json.dumps({"info": INFO})]).write.parquet(path)
+    _raw(spark, [record()]).write.parquet(path)
     assert [r.ord for r in scan_raw(spark, path).orderBy("name").collect()] == [1, 0]
     assert [r.ord for r in scan_raw(spark, path, None).orderBy("name").collect()] == ["bad0", "ok"]
     with pytest.raises(ValueError, match="sequence"):
@@ -86,7 +146,7 @@ def test_order_column(spark):
         df = spark.createDataFrame(bad, "ord long, name string")
         with pytest.raises(ValueError, match="unique"):
             require_order(df, ["ord"])
-        raw = df.withColumn("latest", F.lit(json.dumps({"info": INFO})))
+        raw = df.withColumn("latest", F.lit(record()))
         with pytest.raises(ValueError, match="unique"):
             build_graph(raw=raw, validate="report")
     require_order(spark.createDataFrame([(1, 1), (1, 2)], "a int, b int"), ["a", "b"])
