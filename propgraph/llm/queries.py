@@ -54,7 +54,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = warc.round_trip(spark, table(spark, sf_dir, "pages")).where("record_type IS NOT NULL")
+    back = warc.round_trip(spark, table(spark, sf_dir, "pages"))
     page = lambda c: F.regexp_extract(c, "^urn:page:(.+)$", 1).try_cast("bigint")
     return back.select(page("page_uri").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                        page("refers_to_uri").alias("refers_to"))

@@ -11,22 +11,30 @@ local path or the URI of any store it knows.
 
 Reading. A file is streamed in blocks. A member (or, in an uncompressed file, a
 record) is accepted if it inflates with a right checksum, starts with a WARC
-version line, has its header fields once, is as long as Content-Length says and matches
-its block digest, and, for a response, its payload digest. After a failed
-check the reader looks for the next gzip magic or version line at which a valid
-record starts, goes on from there, and reports the bytes between as one
-quarantined gap. Memory is bounded by one record and one block.
+version line, has its header fields once (folded over lines or not), is as long as
+Content-Length says and matches its block digest, and, for a response, its payload
+digest. After a failed check the reader looks for the next gzip magic or version line
+at which a valid record starts, goes on from there, and reports the bytes between as
+one quarantined gap. A member may hold many records: those that pass are recovered,
+and if some fail, a gap names the member. Memory is bounded by one record (or
+member, inflated) and one block.
+
+Nothing is lost in silence: a record that no reader could take back (over ``MAX_RECORD``
+bytes, or a header over ``MAX_HEADER``) stops the writer; a file that gives back
+fewer records than the manifest says yields a gap; ``round_trip`` stops on any gap.
 
 Cases: null payload counts as empty; a null page_id ranks below any other and
-is written as an empty id; rows that repeat the winning page_id and payload
-are all responses; an empty table gives no files and no records; extra columns
-are not read; an empty or fully broken file gives only a gap.
+is written as an empty id; control characters of a URL are written as blanks; rows
+that repeat the winning page_id and payload are all responses; an empty table gives no
+files and no records; extra columns are not read; an empty or fully broken file gives
+only a gap.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import posixpath
 import re
 import uuid
@@ -46,10 +54,12 @@ FILE_BYTES = 32 << 20
 READ_BYTES = 256 << 10
 #: A record said to be longer than this counts as broken (its length field is).
 MAX_RECORD = 1 << 30
+MAX_HEADER = 16 << 20
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = b"WARC/"
 _VERSION_LINE = re.compile(rb"WARC/\d+\.\d+")
 _HEADER_LINE = re.compile(rb"([A-Za-z0-9_-]+):([^\x00-\x08\x0a-\x1f]*)")
+_FOLDED = re.compile(rb"\r\n[ \t]+")
 _REQUIRED = {"warc-type", "warc-record-id", "warc-date", "content-length"}
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -59,8 +69,15 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a full URI: without a scheme it lies on the cluster's default store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
-    fs, inner = pa.fs.FileSystem.from_uri(path if ":/" in path else "file://" + path)
+    uri = re.sub("^s3[an]:", "s3:", path if ":/" in path else "file://" + path)
+    fs, inner = pa.fs.FileSystem.from_uri(uri)
     return fs, inner
 
 
@@ -95,7 +112,7 @@ def build_record(page_id: object, url: str | None, payload: bytes, size: int, di
     """One WARC/1.1 record; a revisit keeps the HTTP header and no payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n"
     block = http.encode() + (b"" if revisit else payload)
-    target = "".join(" " if c in "\r\n" else c for c in (url or ""))
+    target = "".join(" " if c < " " else c for c in (url or ""))
     head = [("WARC-Type", "revisit" if revisit else "response"),
             ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"),
             ("WARC-Date", "1970-01-01T00:00:00Z"),
@@ -106,8 +123,10 @@ def build_record(page_id: object, url: str | None, payload: bytes, size: int, di
             ("Content-Length", str(len(block)))]
     if revisit:
         head += [("WARC-Profile", _REVISIT), ("WARC-Refers-To", page_uri(refers_to))]
-    lines = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n"
-    return lines.encode("utf-8", "surrogatepass") + block + b"\r\n\r\n"
+    lines = ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n").encode("utf-8", "surrogatepass")
+    if len(lines) > MAX_HEADER or len(lines) + len(block) > MAX_RECORD:
+        raise ValueError(f"page {page_id}: a header of {len(lines)} and a block of {len(block)} bytes could not be read back")
+    return lines + block + b"\r\n\r\n"
 
 
 class Broken(Exception):
@@ -129,10 +148,12 @@ def parse_record(buf: bytes, whole: bool) -> tuple[Record, int]:
         raise Broken("no version line")
     end = buf.find(b"\r\n\r\n")
     if end < 0:
-        if len(buf) > 1 << 16:
+        # a long header goes on only while its lines are header lines
+        if len(buf) > MAX_HEADER or len(buf) > 1 << 16 and not all(
+                _HEADER_LINE.fullmatch(x) for x in _FOLDED.sub(b" ", buf).split(b"\r\n")[1:-1]):
             raise Broken("header without end")
         raise missing("header cut off")
-    version, *lines = buf[:end].split(b"\r\n")
+    version, *lines = _FOLDED.sub(b" ", buf[:end]).split(b"\r\n")
     if not _VERSION_LINE.fullmatch(version):
         raise Broken("bad version line")
     headers: dict[str, str] = {}
@@ -170,8 +191,9 @@ def _check_digest(stated: str | None, data: bytes, what: str) -> None:
         raise Broken(f"{what} digest differs")
 
 
-def _member(buf: bytes, whole: bool) -> tuple[Record, int]:
-    """The gzip member at the start of ``buf`` as a record, and its length."""
+def _member(buf: bytes, whole: bool) -> tuple[list[Record], int, str]:
+    """The records of the gzip member at the start of ``buf``, its length, and why
+    records of it are missing ('' if none are)."""
     if not buf.startswith(_MAGIC[:len(buf)] if not whole else _MAGIC):
         raise Broken("no gzip member")
     inflate = zlib.decompressobj(31)
@@ -185,10 +207,21 @@ def _member(buf: bytes, whole: bool) -> tuple[Record, int]:
         if not data.startswith(_VERSION[:len(data)]):
             raise Broken("no version line")
         raise Broken("member cut off") if whole else _Short()
-    record, size = parse_record(data, True)
-    if size != len(data):
-        raise Broken("more than one record in a member")
-    return record, len(buf) - len(inflate.unused_data)
+    size = len(buf) - len(inflate.unused_data)
+    try:
+        record, end = parse_record(data, True)
+        if end == len(data):
+            return [record], size, ""
+    except Broken:
+        # one broken record is the member's fault; others may follow it
+        if data.find(_VERSION, 1) < 0:
+            raise
+    inside = list(salvage(io.BytesIO(data).read))
+    records = [x[1] for x in inside if isinstance(x, tuple)]
+    faults = [x.reason for x in inside if isinstance(x, Gap)]
+    if not records:
+        raise Broken(faults[0])
+    return records, size, faults[0] if faults else ""
 
 
 @dataclass
@@ -224,7 +257,11 @@ def salvage(read: Callable[[int], bytes], read_bytes: int = READ_BYTES) -> Itera
             break
         try:
             rest = buf[pos:]
-            record, size = (_member if rest[:1] == _MAGIC[:1] else parse_record)(rest, whole)
+            if rest[:1] == _MAGIC[:1]:
+                records, size, fault = _member(rest, whole)
+            else:
+                record, size = parse_record(rest, whole)
+                records, fault = [record], ""
         except _Short:
             more(ask)  # doubled, so a long record is parsed a logarithmic number of times
             ask *= 2
@@ -242,7 +279,10 @@ def salvage(read: Callable[[int], bytes], read_bytes: int = READ_BYTES) -> Itera
             gap.end = base + pos
             yield gap
             gap = None
-        yield base + pos, record
+        for record in records:
+            yield base + pos, record
+        if fault:
+            yield Gap(base + pos, base + pos + size, f"inside a member: {fault}")
         pos += size
     if gap is not None:
         gap.end = base + len(buf)
@@ -270,6 +310,7 @@ def plan_records(pages: DataFrame, min_bytes: int = 0, max_wins: bool = True) ->
 def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0,
                file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes one record per page below ``folder``; returns the manifest."""
+    folder = _qualified(pages.sparkSession, folder)
     payload = F.coalesce("html", F.lit("")).cast("binary")
     rows = (pages.select("page_id", "url", payload.alias("payload"))
             .withColumn("sha", F.sha2("payload", 256)))
@@ -319,30 +360,37 @@ RECORDS = ("path string, offset bigint, record_type string, page_uri string, tar
 
 
 def read_warc(files: DataFrame, with_payload: bool = True) -> DataFrame:
-    """Records and quarantined gaps of the files in column ``path``.
+    """Records and quarantined gaps of the files in column ``path`` (with ``n_records``,
+    as in a manifest: a file with another number of them gives a gap).
 
     One row per record (gap columns null) or per gap (record columns null).
     ``payload_bytes`` of a revisit is the length its HTTP header states.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path in b.column(0).to_pylist():
+            for path, expected in zip(*(c.to_pylist() for c in b.columns)):
                 fs, inner = _filesystem(path)
                 with fs.open_input_stream(inner, compression=None) as f:
-                    rows, held = [], 0
+                    rows, held, found, end = [], 0, 0, 0
                     for item in salvage(f.read):
-                        rows.append(_gap_row(path, item) if isinstance(item, Gap)
-                                    else _record_row(path, *item, with_payload))
+                        if isinstance(item, Gap):
+                            rows.append(_gap_row(path, item))
+                        else:
+                            rows.append(_record_row(path, *item, with_payload))
+                            found, end = found + 1, item[0]
                         held += 200 + len(rows[-1][8] or b"")
                         if held > 4 << 20:
                             yield _batch(rows)
                             rows, held = [], 0
+                    if expected is not None and found != expected:
+                        rows.append(_gap_row(path, Gap(end, end, f"{found} of {expected} records")))
                     if rows:
                         yield _batch(rows)
 
     # files are the unit of work: spread them, whatever layout the list had
     n = max(1, files.count())
-    return files.select("path").repartition(n).mapInArrow(run, RECORDS)
+    expected = F.col("n_records") if "n_records" in files.columns else F.lit(None)
+    return files.select("path", expected.cast("long").alias("n_records")).repartition(n).mapInArrow(run, RECORDS)
 
 
 _ARROW = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("record_type", pa.string()),
@@ -371,6 +419,13 @@ def _record_row(path: str, offset: int, r: Record, with_payload: bool) -> tuple:
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Writes ``pages`` as archives and reads them back, without payloads."""
+    """Writes ``pages`` as archives and reads them back, without payloads; stops if a
+    page was not written or a file gives a gap."""
     folder = folder or scratch_path(spark, "warc")
-    return read_warc(write_warc(pages, folder), with_payload=False)
+    manifest = write_warc(pages, folder)
+    written, given = manifest.agg(F.sum("n_records")).first()[0] or 0, pages.count()
+    if written != given:
+        raise RuntimeError(f"{written} of {given} pages were written")
+    lost = F.raise_error(F.concat(F.lit("gap in "), "path", F.lit(": "), "gap_reason"))
+    back = read_warc(manifest, with_payload=False)
+    return back.withColumn("record_type", F.when(F.col("gap_reason").isNotNull(), lost).otherwise(F.col("record_type")))

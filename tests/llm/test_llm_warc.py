@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.errors import PySparkException
 
 from propgraph.llm import warc
 
@@ -153,3 +154,82 @@ def test_read_reports_gaps(spark, tmp_path):
     assert sorted(k[0] for k in recs) == [0, 1, 3]
     gaps = sorted((x.path[-9:], x.gap_end - x.gap_begin) for x in rows if x.gap_begin is not None)
     assert sorted(g[1] for g in gaps) == [10, 30, 40]
+
+
+def gzipped(raw: bytes) -> bytes:
+    z = zlib.compressobj(1, zlib.DEFLATED, 31)
+    return z.compress(raw) + z.flush()
+
+
+def test_every_control_character_and_long_urls_come_back(spark, tmp_path):
+    rows = [(i, f"http://h/{chr(i)}/x{chr(i)}", f"<p>{i % 7}</p>") for i in range(0x21)]
+    rows += [(100, "http://h/" + "long" * 50_000, "<p>long</p>"), (101, "\x7f\x85\u2028", "x"), (102, "\r\n\r\nWARC/1.1\r\n", "y")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(2)
+    back = warc.round_trip(spark, df, str(tmp_path / "a")).collect()
+    assert sorted(int(r.page_uri[9:]) for r in back) == sorted(p for p, _, _ in rows)
+    urls = {int(r.page_uri[9:]): r.target_uri for r in back}
+    assert urls[11] == "http://h/ /x" and urls[100] == rows[33][1]
+    # the same records without compression: a header over 64 KiB is read as well
+    raw = b"".join(warc.build_record(p, u, h.encode(), len(h), digest(h.encode())) for p, u, h in rows)
+    for step in (1000, 1 << 18):
+        recs, gaps = salvaged(raw, step)
+        assert [n for _, n in recs] == [p for p, _, _ in rows] and not gaps
+
+
+def test_members_of_many_records():
+    parts = members(6, gz=False)
+    whole = gzipped(b"".join(parts[:3])) + gzipped(parts[3]) + gzipped(b"".join(parts[4:]))
+    for step in (64, 1 << 18):
+        recs, gaps = salvaged(whole, step)
+        assert [n for _, n in recs] == [0, 1, 2, 3, 4, 5] and not gaps
+        assert len({o for o, _ in recs}) == 3
+    hurt = bytearray(parts[1])
+    hurt[-8] ^= 0xFF
+    for bad in (bytes(hurt), parts[1][:50], b"junk"):
+        recs, gaps = salvaged(gzipped(parts[0] + bad + parts[2]) + gzipped(parts[3]))
+        assert [n for _, n in recs] == [0, 2, 3] and len(gaps) == 1 and "inside a member" in gaps[0].reason
+    recs, gaps = salvaged(gzipped(bytes(hurt)) + gzipped(parts[3]))
+    assert [n for _, n in recs] == [3] and len(gaps) == 1
+
+
+def test_folded_header_lines():
+    raw = members(2, gz=False)
+    folded = raw[0].replace(b"WARC-Target-URI: http://h/0", b"WARC-Target-URI: http://h/0\r\n \t?more\r\n\tand more")
+    items = list(warc.salvage(io.BytesIO(folded + gzipped(folded) + raw[1]).read))
+    assert [x.headers["warc-target-uri"] for _, x in items] == ["http://h/0 ?more and more"] * 2 + ["http://h/1"]
+
+
+def test_what_could_not_be_read_back_stops_the_writer(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "MAX_RECORD", 1000)
+    with pytest.raises(ValueError, match="could not be read back"):
+        warc.build_record(1, "u", b"x" * 2000, 2000, "d")
+    monkeypatch.setattr(warc, "MAX_HEADER", 500)
+    with pytest.raises(ValueError, match="could not be read back"):
+        warc.build_record(1, "u" * 600, b"x", 1, "d")
+
+
+def test_a_lost_record_is_an_error(spark, tmp_path):
+    df = spark.createDataFrame([(i, "u", f"<p>{i}</p>") for i in range(20)], "page_id bigint, url string, html string").coalesce(1)
+    manifest = warc.write_warc(df, str(tmp_path))
+    path = manifest.first().path.replace("file:", "")
+    data = open(path, "rb").read()
+    last = data.rfind(warc._MAGIC)
+    open(path, "wb").write(data[:last])            # the archive ends early, at a member's end
+    rows = warc.read_warc(manifest).collect()
+    assert [r.gap_reason for r in rows if r.gap_reason] == ["19 of 20 records"]
+    assert len([r for r in rows if r.record_type]) == 19
+
+
+def test_round_trip_stops_on_a_gap(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, "u", "x")], "page_id bigint, url string, html string")
+    write = warc.write_warc
+
+    def damaged(pages, folder, **kw):
+        manifest = write(pages, folder, **kw)
+        path = manifest.first().path.replace("file:", "")
+        open(path, "ab").write(b"rubbish")
+        return manifest
+
+    monkeypatch.setattr(warc, "write_warc", damaged)
+    with pytest.raises(PySparkException, match="gap in"):
+        warc.round_trip(spark, df, str(tmp_path)).collect()
