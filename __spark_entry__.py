@@ -30,7 +30,8 @@ from propgraph import build_graph, package_registry_spec
 from propgraph.plans.spec import has_email_select, with_group_select
 from propgraph.functions import key_id, not_both_blank, url_features
 from propgraph.operators import (distinct_on, edge_type_summary, extract_link, extract_node,
-                                 graph_catalog, population, table_digests)
+                                 graph_catalog, person_resolution, population, resolved_tables,
+                                 table_digests, with_resolved_persons)
 from propgraph.operators.checks import SIDES
 from propgraph.oracle import oracle_queries
 from propgraph.plans import canon as C
@@ -236,6 +237,18 @@ def q_group_override_link(spark, sf):
                     lambda t: t.withColumn("link_id", F.reverse("link_id")))
 
 
+def q_resolve_person(spark, sf):
+    """Which persons are the same one: (node_id, resolved_id)."""
+    return person_resolution(_view(spark, sf))
+
+
+def q_group_resolved(spark, sf):
+    """Digests of all final tables with the resolved persons swapped in."""
+    base = _view(spark, sf)
+    tables = resolved_tables(base, reliable_checkpoint(person_resolution(base)))
+    return table_digests(GraphView(base.canon, with_resolved_persons(base.spec), tables).final_tables())
+
+
 def q_group_has_email_coalesce(spark, sf):
     """has_email with the first non-NULL child link_id (the parity form keeps
     the author child's only)."""
@@ -323,6 +336,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "passthrough_links": q_passthrough_links,
         "group_override": q_group_override,
         "group_override_link": q_group_override_link,
+        "resolve_person": q_resolve_person,
+        "group_resolved": q_group_resolved,
         "build_graph": q_build_graph,
         "distinct_on": q_distinct_on,
         "key_id": q_key_id,

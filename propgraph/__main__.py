@@ -1,6 +1,7 @@
 """Command line: the pipeline's two entry points plus the catalog profile.
 
   spark-submit propgraph_cli.py build   --raw PATH --layers ROOT [--ord-col ord | --ord-by-name]
+                                   [--on-malformed fail|drop|keep] [--resolve-persons]
   spark-submit propgraph_cli.py canon   --canon FOLDER --layers ROOT
   spark-submit propgraph_cli.py publish --layers ROOT --database NAME [--location PATH]
   spark-submit propgraph_cli.py catalog --layers ROOT [--out PATH]
@@ -47,6 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--ord-by-name", action="store_true", help="order by name instead")
     b.add_argument("--validate", choices=("raise", "report"), default="raise")
     b.add_argument("--on-malformed", choices=("fail", "drop", "keep"), default="fail")
+    b.add_argument("--resolve-persons", action="store_true", help="make persons that are the same one node")
     n = sub.add_parser("canon", help="canonical tables -> subgraph and graph layers")
     n.add_argument("--canon", required=True, help="folder with the five latest_* tables")
     n.add_argument("--layers", required=True, help="root folder for the layers")
@@ -65,8 +67,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "build":
         source = scan_raw(spark, args.raw, None if args.ord_by_name else args.ord_col)
         g = build_graph(raw=source, spec=spec, layer_root=args.layers, validate=args.validate,
-                        on_malformed=args.on_malformed)
+                        on_malformed=args.on_malformed, resolve=args.resolve_persons)
         _show(g.check)
+        if g.quarantine is not None:
+            _show(g.quarantine.groupBy("reason").count().orderBy("reason"))
         _show(g.counts())
     elif args.cmd == "canon":
         canon = {t: spark.read.parquet(f"{args.canon}/{t}") for t in spec.inputs}

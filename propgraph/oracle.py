@@ -586,6 +586,47 @@ def oracle_queries() -> dict[str, str]:
     for key, table in (("group_override", "node_person"), ("group_override_link", "link_has_email")):
         swapped = [(t, cte + "_swapped" if t == table else cte) for t, cte in _final_tables("")]
         q[key] = o.sql(_digests(_with_cols(swapped)), [c for _, c in swapped])
+    # persons resolved by brute force: all pairs that share a key, then all that can be reached
+    o.ctes["person_named"] = ("""SELECT DISTINCT node_id, email,
+  trim(regexp_replace(lower(coalesce(name, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS name
+FROM (SELECT node_id, name, email FROM n_author UNION ALL SELECT node_id, name, email FROM n_maintainer) p""",
+                              ("n_author", "n_maintainer"))
+    o.ctes["person_key"] = ("""
+WITH uses AS (
+  SELECT DISTINCT node_id, name, address FROM (
+    SELECT node_id, name, trim(unnest(string_split(lower(coalesce(email, '')), ','))) AS address FROM person_named) u
+  WHERE contains(address, '@')),
+team AS (SELECT address, count(DISTINCT CASE WHEN name <> '' THEN name END) > 1 AS many FROM uses GROUP BY address)
+SELECT node_id, 'address|' || address || CASE WHEN many THEN '|' || name ELSE '' END AS key FROM uses JOIN team USING (address)
+UNION ALL
+SELECT DISTINCT p.node_id, 'package|' || l.from_id || '|' || p.name
+FROM person_named p JOIN (SELECT from_id, to_id FROM l_has_author UNION ALL SELECT from_id, to_id FROM l_has_maintainer) l
+  ON l.to_id = p.node_id WHERE p.name <> ''""", ("person_named", "l_has_author", "l_has_maintainer"))
+    o.ctes["person_resolved"] = ("""
+WITH RECURSIVE pair AS (SELECT DISTINCT a.node_id AS u, b.node_id AS v FROM person_key a JOIN person_key b USING (key)),
+reach(u, v) AS (SELECT node_id, node_id FROM person_named UNION SELECT r.u, p.v FROM reach r JOIN pair p ON r.v = p.u)
+SELECT u AS node_id, min(v) AS resolved_id FROM reach GROUP BY u""", ("person_named", "person_key"))
+    q["resolve_person"] = o.sql("SELECT * FROM person_resolved", ["person_resolved"])
+    for n in ("author", "maintainer"):
+        attrs = ", ".join(f"arg_min({c}, n.node_id) FILTER (WHERE {_nb(c)}) AS {c}" for c in NODE_COLS[n][1:])
+        o.ctes[f"n_{n}_one"] = (f"SELECT resolved_id AS node_id, {attrs} FROM n_{n} n JOIN person_resolved r "
+                                "ON n.node_id = r.node_id GROUP BY resolved_id", (f"n_{n}", "person_resolved"))
+    for n, side in (("has_author", "to_id"), ("has_maintainer", "to_id"),
+                    ("author_has_email", "from_id"), ("maintainer_has_email", "from_id")):
+        ends = ", ".join(f"coalesce(r.resolved_id, l.{c}) AS {c}" if c == side else f"l.{c}" for c in LINK_COLS[n])
+        o.ctes[f"l_{n}_moved"] = (f"SELECT {ends} FROM l_{n} l LEFT JOIN person_resolved r ON l.{side} = r.node_id",
+                                  (f"l_{n}", "person_resolved"))
+        o.ctes[f"l_{n}_one"] = (_dedup(f"l_{n}_moved", ["from_id", "to_id"], LINK_COLS[n]), (f"l_{n}_moved",))
+    ch, select, distinct = NODE_GROUPS["person"]
+    o.ctes["fn_person_one"] = (group_sql([f"n_{c}_one" for c in ch], [NODE_COLS[c] for c in ch], ["node_id"], select,
+                                         distinct), tuple(f"n_{c}_one" for c in ch))
+    ch, select, distinct = LINK_GROUPS["has_email"]
+    o.ctes["fl_has_email_one"] = (group_sql([f"l_{c}_one" for c in ch], [LINK_COLS[c] for c in ch],
+                                            ["from_id", "to_id"], select, distinct), tuple(f"l_{c}_one" for c in ch))
+    one = {"node_person": "fn_person_one", "link_has_email": "fl_has_email_one",
+           "link_has_author": "l_has_author_one", "link_has_maintainer": "l_has_maintainer_one"}
+    swapped = [(t, one.get(t, cte)) for t, cte in _final_tables("")]
+    q["group_resolved"] = o.sql(_digests(_with_cols(swapped)), [c for _, c in swapped])
     q["distinct_on"] = o.sql(
         "SELECT DISTINCT ON (pkg_name, url) * FROM latest_url ORDER BY pkg_name, url, "
         "url_type NULLS FIRST, domain NULLS FIRST, top_level_domain NULLS FIRST, path NULLS FIRST, "

@@ -28,9 +28,10 @@ from ..operators.checks import SIDES, assert_valid, check_graph
 from ..operators.extract import extract_link, extract_node
 from ..operators.group import group_links, group_nodes
 from ..operators.profile import assert_nonempty, expect_nonempty, table_counts
+from ..operators.resolve import person_resolution, resolved_tables, with_resolved_persons
 from ..sources.layers import write_layer, write_manifest
 from ..operators.running import require_order
-from ..session import remove_path, scratch_path
+from ..session import reliable_checkpoint, remove_path, scratch_path
 from ..sources.raw import judge_raw, parse_raw, quarantine
 from .canon import (KEYWORD_MIN_COUNT, canonical_entries, canonical_from_entries, canonicalize,
                     quarantined)
@@ -52,6 +53,7 @@ class Graph:
     cached: tuple[DataFrame, ...] = ()   # persisted inputs to release (persist mode)
     layer_root: str | None = None        # where the layers were written (write mode)
     quarantine: DataFrame | None = None  # (ord, name, reason, latest) left out (on_malformed='drop')
+    resolved: DataFrame | None = None    # (node_id, resolved_id) of the persons (resolve=True)
 
     def final_tables(self, suffix: str = "") -> dict[str, DataFrame]:
         out = {f"node_{n}{suffix}": df for n, df in self.nodes.items()}
@@ -199,7 +201,7 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
                 validate: str = "raise", keyword_threshold: int = KEYWORD_MIN_COUNT,
                 on_malformed: str = "fail", materialize: str | None = "write",
                 overrides: dict[str, DataFrame] | None = None,
-                keyword_buckets: int | None = None) -> Graph:
+                keyword_buckets: int | None = None, resolve: bool = False) -> Graph:
     """Build the property graph from a raw snapshot or from canonical tables.
 
     ``raw.ord`` must be unique and not NULL. A run on a ``layer_root`` that
@@ -211,6 +213,9 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
     on_malformed: 'fail' stops on a record that violates the contract; 'drop'
     leaves it out of the graph and writes it with its reasons to
     ``canon/_quarantine`` (``Graph.quarantine``); 'keep' reads what it can.
+
+    resolve: persons that are the same one (``operators.resolve``) become one node
+    before grouping; ``resolved/person`` and ``Graph.resolved`` say which.
     """
     spec = spec or package_registry_spec()
     if materialize not in ("write", "persist", None):
@@ -263,10 +268,17 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
     check = check_graph(sub_nodes, sub_links, spec.subgraphs)
     if validate == "raise":
         assert_valid(check)
+    resolved = None
+    if resolve:
+        view = SubgraphView(sub_nodes, sub_links, spec)
+        resolved = (write_layer({"person": person_resolution(view)}, f"{layer_root}/resolved")["person"]
+                    if materialize == "write" else reliable_checkpoint(person_resolution(view)))
+        overrides = {**resolved_tables(view, resolved), **(overrides or {})}
+        spec = with_resolved_persons(spec)
     nodes, links = group_graph(sub_nodes, sub_links, spec, overrides)
     g = Graph(canon, sub_nodes, sub_links, check, nodes, links, spec)
     g.cached = tuple(cached)
-    g.quarantine = left_out
+    g.quarantine, g.resolved = left_out, resolved
     if materialize == "write":
         names = g.final_tables("_final")
         final = write_layer(names, f"{layer_root}/graph")
