@@ -5,6 +5,10 @@
   spark-submit propgraph_cli.py canon   --canon FOLDER --layers ROOT
   spark-submit propgraph_cli.py publish --layers ROOT --database NAME [--location PATH]
   spark-submit propgraph_cli.py catalog --layers ROOT [--out PATH]
+  spark-submit propgraph_cli.py drop    --layers ROOT [--keep N]
+
+A build writes a new version below ROOT and commits it when it reads back as
+written (``--in-place`` overwrites instead); publish and catalog read the current one.
 
 (or ``python -m propgraph ...`` for a local session). The session comes from
 the launcher (master, ``spark.checkpoint.dir``, resources); nothing is
@@ -17,10 +21,10 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import edge_type_summary, graph_catalog
+from .operators import edge_type_summary, written_catalog, graph_catalog
 from .plans.graph import build_graph
 from .plans.spec import package_registry_spec
-from .sources import publish, read_graph, scan_raw
+from .sources import current_version, drop_versions, publish, read_graph, read_metrics, scan_raw
 
 
 def _split(final):
@@ -53,6 +57,12 @@ def main(argv: list[str] | None = None) -> None:
     n.add_argument("--canon", required=True, help="folder with the five latest_* tables")
     n.add_argument("--layers", required=True, help="root folder for the layers")
     n.add_argument("--validate", choices=("raise", "report"), default="raise")
+    for cmd in (b, n):
+        cmd.add_argument("--in-place", action="store_true",
+                         help="overwrite the layers instead of committing a new version below the root")
+    d = sub.add_parser("drop", help="remove all but the last versions")
+    d.add_argument("--layers", required=True)
+    d.add_argument("--keep", type=int, default=2)
     p = sub.add_parser("publish", help="save the final tables of a graph layer in a catalog")
     p.add_argument("--layers", required=True)
     p.add_argument("--database", default="graph")
@@ -62,27 +72,35 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--out", default=None, help="write the profile here (parquet) instead of showing it")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"propgraph-{args.cmd}").getOrCreate()
+    spark = (SparkSession.builder.appName(f"propgraph-{args.cmd}")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
     spec = package_registry_spec()
     if args.cmd == "build":
         source = scan_raw(spark, args.raw, None if args.ord_by_name else args.ord_col)
         g = build_graph(raw=source, spec=spec, layer_root=args.layers, validate=args.validate,
-                        on_malformed=args.on_malformed, resolve=args.resolve_persons)
+                        on_malformed=args.on_malformed, resolve=args.resolve_persons,
+                        versioned=not args.in_place)
         _show(g.check)
         if g.quarantine is not None:
             _show(g.quarantine.groupBy("reason").count().orderBy("reason"))
         _show(g.counts())
     elif args.cmd == "canon":
         canon = {t: spark.read.parquet(f"{args.canon}/{t}") for t in spec.inputs}
-        g = build_graph(canon=canon, spec=spec, layer_root=args.layers, validate=args.validate)
+        g = build_graph(canon=canon, spec=spec, layer_root=args.layers, validate=args.validate,
+                        versioned=not args.in_place)
         _show(g.check)
         _show(g.counts())
+    elif args.cmd == "drop":
+        print(f"removed {len(drop_versions(spark, args.layers, args.keep))} versions")
     elif args.cmd == "publish":
-        published = publish(read_graph(spark, f"{args.layers}/graph"), args.database, args.location)
+        published = publish(read_graph(spark, f"{current_version(spark, args.layers)}/graph"), args.database, args.location)
         print(f"published {len(published)} tables to {args.database}")
     else:
-        nodes, links = _split(read_graph(spark, f"{args.layers}/graph"))
-        profile = graph_catalog(nodes, links, spec.triplets())
+        layer = f"{current_version(spark, args.layers)}/graph"
+        nodes, links = _split(read_graph(spark, layer))
+        metrics = read_metrics(spark, layer)     # taken while writing: no data file is read
+        profile = (written_catalog(nodes, links, spec.triplets(), metrics) if metrics
+                   else graph_catalog(nodes, links, spec.triplets()))
         if args.out:
             profile.write.mode("overwrite").parquet(args.out)
         else:

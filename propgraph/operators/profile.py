@@ -26,6 +26,17 @@ def _row_digest(cols: list[str]) -> Column:
         F.coalesce(F.col(c).cast("string"), F.lit("<null>")), F.lit("\x1f"))]))
 
 
+def column_metrics(df: DataFrame) -> list[Column]:
+    """Aggregates that describe a table: ``n_rows``, the order-free ``digest_sum`` and
+    ``digest_xor`` of ``table_digests``, and ``n_values.<column>``, the values that are
+    not NULL. They can be observed while the table is written."""
+    h = _row_digest(sorted(df.columns))
+    return [F.count(F.lit(1)).alias("n_rows"),
+            F.sum(F.conv(F.substring(h, 1, 8), 16, 10).cast("long")).alias("digest_sum"),
+            F.bit_xor(F.conv(F.substring(h, 9, 15), 16, 10).cast("long")).alias("digest_xor"),
+            *[F.count(F.col(c)).alias(f"n_values.{c}") for c in df.columns]]
+
+
 def table_digests(tables: dict[str, DataFrame], label: str = "table") -> DataFrame:
     """(label, n_rows, digest_sum, digest_xor) per table: an order-free digest
     of all rows and columns, from one partial aggregate each. The sum is over
@@ -54,13 +65,21 @@ def assert_nonempty(report: DataFrame) -> None:
 
 def edge_type_summary(links: dict[str, DataFrame],
                       triplets: dict[str, tuple[str, str]]) -> DataFrame:
-    """Per final link type: source and target node type, rows, distinct ends."""
+    """Per final link type: source and target node type, rows, distinct ends.
+
+    Every end is counted once per (link, side, id), combined map-side, and the
+    counts are summed per (link, side): no row is tripled as two distinct counts in
+    one aggregate would do.
+    """
     ends = reduce(DataFrame.unionByName, [
         df.select(F.lit(n).alias("link"), "from_id", "to_id") for n, df in links.items()])
-    counts = ends.groupBy("link").agg(
-        F.count(F.lit(1)).alias("n_links"),
-        F.count_distinct("from_id").alias("n_sources"),
-        F.count_distinct("to_id").alias("n_targets"))
+    sides = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("id")) for s in ("from_id", "to_id")]))
+    each = ends.select("link", sides.alias("e")).groupBy("link", "e.side", "e.id").agg(F.count(F.lit(1)).alias("n"))
+    source = F.col("side") == "from_id"
+    counts = each.groupBy("link").agg(
+        F.sum(F.when(source, F.col("n"))).alias("n_links"),
+        F.count(F.when(source, F.col("id"))).alias("n_sources"),
+        F.count(F.when(~source, F.col("id"))).alias("n_targets"))
     labels = ends.sparkSession.createDataFrame(
         [(l, s, t) for l, (s, t) in triplets.items() if l in links],
         "link string, source string, target string")
@@ -99,6 +118,22 @@ def _table_profile(df: DataFrame, kind: str, label: str, table: str,
                        (F.col("_n") - F.col("e.n_values")).alias("n_nulls")))
 
 
+def written_catalog(nodes: dict[str, DataFrame], links: dict[str, DataFrame], triplets: dict[str, tuple[str, str]],
+                    metrics: dict[str, dict[str, int]]) -> DataFrame:
+    """``graph_catalog`` of written tables from the metrics taken while they were
+    written (``sources.read_metrics``): no data file is read."""
+    rows = []
+    for kind, tables in (("node", nodes), ("link", links)):
+        for n, df in tables.items():
+            ends = triplets[n] if kind == "link" else (None, None)
+            m = metrics[f"{kind}_{n}"]
+            rows += [(kind, n, f"{kind}_{n}", *ends, c, graph_type(df.schema[c].dataType), c not in ID_COLUMNS[kind], i,
+                      m["n_rows"], m["n_rows"] - m[f"n_values.{c}"]) for i, c in enumerate(df.columns)]
+    spark = next(iter({**nodes, **links}.values())).sparkSession
+    return spark.createDataFrame(rows, "kind string, label string, table string, from string, to string, column string, "
+                                       "type string, attribute boolean, position int, n_rows bigint, n_nulls bigint")
+
+
 def graph_catalog(nodes: dict[str, DataFrame], links: dict[str, DataFrame],
                   triplets: dict[str, tuple[str, str]]) -> DataFrame:
     """Every column of every published table: type, whether it is an attribute

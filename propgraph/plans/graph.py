@@ -29,7 +29,7 @@ from ..operators.extract import extract_link, extract_node
 from ..operators.group import group_links, group_nodes
 from ..operators.profile import assert_nonempty, expect_nonempty, table_counts
 from ..operators.resolve import person_resolution, resolved_tables, with_resolved_persons
-from ..sources.layers import write_layer, write_manifest
+from ..sources.layers import commit_version, differing, new_version, write_layer, write_manifest
 from ..operators.running import require_order
 from ..session import reliable_checkpoint, remove_path, scratch_path
 from ..sources.raw import judge_raw, parse_raw, quarantine
@@ -201,11 +201,14 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
                 validate: str = "raise", keyword_threshold: int = KEYWORD_MIN_COUNT,
                 on_malformed: str = "fail", materialize: str | None = "write",
                 overrides: dict[str, DataFrame] | None = None,
-                keyword_buckets: int | None = None, resolve: bool = False) -> Graph:
+                keyword_buckets: int | None = None, resolve: bool = False,
+                versioned: bool = False) -> Graph:
     """Build the property graph from a raw snapshot or from canonical tables.
 
     ``raw.ord`` must be unique and not NULL. A run on a ``layer_root`` that
-    already holds layers overwrites them.
+    already holds layers overwrites them, or, ``versioned``, writes a version of its
+    own below it, reads the final tables back, and makes the version current only
+    if they hold what was written; until then readers keep the last one.
 
     validate: 'raise' stops on an empty canonical table or on any link end
     missing from its node table; 'report' only returns the check table.
@@ -227,6 +230,11 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
         raise ValueError("give raw or canon")
     if materialize == "write" and layer_root is None:
         layer_root = scratch_path(some.sparkSession, "graph")
+    if versioned and materialize != "write":
+        raise ValueError("versions are written layers: materialize='write'")
+    root = layer_root
+    if versioned:
+        version, layer_root = new_version(root)
 
     cached: list[DataFrame] = []
     left_out = None
@@ -281,10 +289,16 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
     g.quarantine, g.resolved = left_out, resolved
     if materialize == "write":
         names = g.final_tables("_final")
-        final = write_layer(names, f"{layer_root}/graph")
+        metrics: dict[str, dict] = {}
+        final = write_layer(names, f"{layer_root}/graph", metrics=metrics)
         g.nodes = {n: final[f"node_{n}_final"] for n in nodes}
         g.links = {n: final[f"link_{n}_final"] for n in links}
         write_manifest(some.sparkSession, {n.removesuffix("_final"): n for n in names},
-                       f"{layer_root}/graph")
+                       f"{layer_root}/graph", metrics)
         g.layer_root = layer_root
+        if versioned:
+            wrong = differing(some.sparkSession, f"{layer_root}/graph")
+            if wrong:
+                raise RuntimeError(f"tables that do not read back as written: {wrong}")
+            commit_version(some.sparkSession, root, version)
     return g
