@@ -1,5 +1,6 @@
 """Training-data operators: sharding, deduplication, scans, WARC, toxicity,
-SentencePiece and benchmark decontamination.
+SentencePiece, benchmark decontamination, conversation repair, source
+divergence and personal data.
 
 Nothing outside this package imports it (``__spark_entry__`` adds its queries
 only when the package is there). Each module holds one operator; ``queries``
