@@ -4,12 +4,13 @@ benchmark decontamination, SentencePiece encoding.
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each stage's result as Parquet in the shared folder and hands it, read again,
 to the next. Stages keep the columns of ``documents`` (extra ones too); the
-last one adds the token columns. A stage judges everything its predecessor
-kept.
+last one adds the token columns and the decoded text. A stage judges everything
+its predecessor kept.
 
-Cases: rows of repeated doc_ids are judged by their own texts where a stage
-works per text; the near-duplicate stage keeps one row of a group. Null texts
-and empty tables pass through.
+Cases: rows of repeated doc_ids are judged by their own texts; the
+near-duplicate stage keeps one row of a group, also of rows that share an id, are
+equal throughout, or have none. Null texts and empty tables pass through. A column
+of ``documents`` named like a token column comes back with underscores in front.
 """
 
 from __future__ import annotations
@@ -18,9 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.llm import decontaminate, line_dedup, piece, simhash, toxicity
+from propgraph.llm.common import checkpointed
 from propgraph.llm.queries import table, tokenizer_path
 from propgraph.session import scratch_path
 
+TOKENS = ("n_tokens", "ids", "begins", "ends", "decoded")
+
 
 def _packed(docs: DataFrame) -> DataFrame:
     """(doc_id, text, _rest): other columns as one, so no name can clash."""
@@ -51,11 +55,23 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of every near-duplicate component."""
-    found = simhash.near_duplicates(docs, words=4, radius=4)
-    leaders = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-               .select(F.col("doc_id").alias("_leader")).distinct())
-    return docs.join(leaders, docs["doc_id"].eqNullSafe(leaders["_leader"]), "left_semi")
+    """Keeps one row of every near-duplicate component: the smallest doc_id's (null
+    last), of that id's rows the one whose text has the smallest SHA-256 (null first).
+
+    Rows, not ids, are compared: a row's key is its id and digests of the text and the
+    other columns. Only rows that are equal throughout share a key; where kept ones do,
+    one more shuffle, which starts with map-side aggregation, leaves one of each.
+    """
+    packed = _packed(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.sha2("text", 256).alias("text"),
+                   F.xxhash64(F.to_json("_rest")).alias("rest"))
+    rows = packed.withColumn("_key", key)
+    found = simhash.near_duplicates(rows.select(F.col("_key").alias("doc_id"), "text"), words=4, radius=4)
+    leaders = checkpointed(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_key"))
+                           .agg(F.count(F.lit(1)).alias("_copies")))
+    if not leaders.where("_copies > 1").isEmpty():
+        rows = rows.dropDuplicates(["_key"])
+    return _unpacked(rows.join(leaders, "_key", "left_semi"), docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,8 +82,18 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and the byte span of every piece."""
-    return piece.encode_documents(docs, tokenizer_path(), want=("n_tokens", "ids", "begins", "ends"))
+    """Adds token ids, the byte span of every piece and the text decoded from the ids."""
+    packed = _packed(docs).withColumn("_text", F.col("text"))
+    coded = piece.encode_documents(packed, tokenizer_path(), TOKENS, keep=("doc_id", "_text", "_rest"))
+    names, taken = [], {*docs.columns, *TOKENS}
+    for c in docs.columns:
+        name = c
+        while c in TOKENS and name in taken:
+            name = f"_{name}"
+        taken.add(name)
+        names.append(name)
+    source = {"doc_id": F.col("doc_id"), "text": F.col("_text")}
+    return coded.select(*[source.get(c, F.col(f"_rest.`{c}`")).alias(n) for c, n in zip(docs.columns, names)], *TOKENS)
 
 
 STAGES = [

@@ -42,12 +42,35 @@ def test_stages_against_brute_force(spark):
         assert got == sorted((d, t or "") for d, t in rows), name
     assert len(want[-1]) <= len(want[2]) <= len(want[1]) == len(want[0]) < docs.count()
     lib = sentencepiece.SentencePieceProcessor(model_file=Q.tokenizer_path())
-    last = {r.doc_id: r.ids for r in P.STAGES[4][1](spark, now, SF).collect()}
-    assert last == {d: lib.encode(t or "", add_bos=True, add_eos=True) for d, t in want[-1]}
-    ran = {r.doc_id: r.ids for r in P.run(spark, SF).collect()}
+    coded = P.STAGES[4][1](spark, now, SF)
+    assert coded.columns == [*docs.columns, *P.TOKENS]
+    last = {r.doc_id: (r.text or "", r.ids, r.decoded) for r in coded.collect()}
+    ids = {d: lib.encode(t or "", add_bos=True, add_eos=True) for d, t in want[-1]}
+    assert last == {d: (t or "", ids[d], lib.decode(ids[d])) for d, t in want[-1]}
+    ran = {r.doc_id: (r.text or "", r.ids, r.decoded) for r in P.run(spark, SF).collect()}
     assert ran == last
 
 
+def test_near_duplicates_keep_one_row_of_a_group(spark):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(30)) for w in "abcd")
+    given = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (3, b, "x"), (5, a, "x"), (5, c, "x"), (5, b, "x"),
+             (None, a, "x"), (None, d, "x"), (None, d, "x"), (7, None, "x"), (8, "", "x"), (9, None, "x")]
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string")
+    got = [tuple(r) for r in P.simhash_stage(spark, docs, SF).collect()]
+    assert sorted([r[:2] for r in got], key=str) == sorted([(1, a), (3, b), (5, c), (None, d), (7, None)], key=str)
+    alone = docs.where("doc_id = 5")
+    assert {r.text for r in P.simhash_stage(spark, alone, SF).collect()} == {a, b, c}
+
+
+def test_columns_named_like_tokens_are_kept(spark):
+    docs = spark.createDataFrame([(1, "one two", "x", "y"), (2, None, "x", "y")],
+                                 "doc_id long, text string, ids string, _ids string")
+    out = P.sentencepiece_stage(spark, docs, SF)
+    assert out.columns == ["doc_id", "text", "__ids", "_ids", *P.TOKENS]
+    assert sorted((r.doc_id, r.text, r["__ids"], r["_ids"], r.decoded) for r in out.collect()) == [
+        (1, "one two", "x", "y", "one two"), (2, None, "x", "y", "")]
+
+
 def test_stages_take_extra_clashing_columns_nulls_and_no_rows(spark):
     names = ["score", "items", "n_words", "n_lines", "_row", "fp", "contaminated", "a.b"]
     docs = Q.table(spark, SF, "documents").limit(40).withColumns({c: F.lit("x") for c in names})
