@@ -6,8 +6,8 @@ that carries it, keep it on every later row.
 ``drop_first_occurrences``: drop the first ``k`` rows of every key (running
 count within the key, in order, must exceed ``k``).
 
-Neither window-partitions by the value: one value may hold a third of all rows,
-and a window over it would put them in one task.
+Neither window-partitions all rows by the value: one value may hold a third of
+them, and a window over it would put them in one task.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ from ..session import reliable_checkpoint
 #: Rows one bucket of ``drop_first_occurrences`` aims at.
 BUCKET_ROWS = 1_000_000
 
+#: Sets of input partitions ``kth_occurrence`` ranks apart.
+SHARES = 64
+
 
 def require_order(df: DataFrame, order: Sequence[str]) -> None:
     """Raise unless the ``order`` columns are never NULL and unique over the rows
@@ -51,14 +54,41 @@ def null_first_occurrence(df: DataFrame, col: str, ord_col: str) -> DataFrame:
         if c == col else F.col(c) for c in df.columns])
 
 
+def kth_occurrence(df: DataFrame, key: str, order: Sequence[str], k: int) -> DataFrame:
+    """(key, at) per key of at least ``k`` rows: ``at``, the ``order`` tuple of its k-th row.
+
+    Bounded selection: a row can only be among the first ``k`` of its key if it is among
+    the first ``k`` of its key within its input partition, and within any set of input
+    partitions. Spark limits the groups of a ranking window before the shuffle, so at most
+    ``k`` rows a key leave an input partition; ``SHARES`` sets of partitions are ranked
+    apart, so a hot key's candidates meet in that many tasks, and a second ranking over
+    at most ``SHARES * k`` rows a key finds the k-th. Which partition a row lies in does
+    not change the result.
+    """
+    order = list(order)
+    first = df.select(F.col(key).alias("_key"), *order).withColumn("_share", F.spark_partition_id() % SHARES)
+    for part in (["_key", "_share"], ["_key"]):
+        rank = F.row_number().over(Window.partitionBy(*part).orderBy(*order))
+        first = first.withColumn("_rank", rank).where(F.col("_rank") <= k)
+    return first.where(F.col("_rank") == k).select(F.col("_key").alias(key), F.struct(*order).alias("at"))
+
+
 def drop_first_occurrences(df: DataFrame, key: str, order: Sequence[str], k: int,
                            n_buckets: int | None = None) -> DataFrame:
     """Keep a row only when its running count within ``key`` exceeds ``k``.
 
-    ``order`` must be unique per row and not NULL (``require_order``). Without
-    ``n_buckets`` there is one bucket per ``BUCKET_ROWS`` rows, and one per
-    shuffle partition at least, so a bucket fits a task at any size; ``df`` is
-    then checkpointed first. Exact and skew-proof:
+    ``order`` must be unique per row and not NULL (``require_order``). NULL is a key
+    like any other.
+
+    Without ``n_buckets`` the k-th row of every key is selected (``kth_occurrence``) and a
+    join on the key keeps the rows after it: no row is checkpointed or sorted, a key is
+    in the smaller side once, so adaptive execution broadcasts that side or splits a hot
+    key's rows. ``df`` is read twice, so it had better be on disk.
+
+    With ``n_buckets``, or where ``k`` is over the limit up to which Spark limits the
+    groups of a window before the shuffle (``spark.sql.optimizer.windowGroupLimitThreshold``),
+    rows go to ranges instead; without a given number, one per ``BUCKET_ROWS`` rows and
+    one per shuffle partition at least. Exact and skew-proof too:
 
     1. range-partition rows on ``order`` into buckets and tag each row with its
        bucket; checkpoint the tagged rows, so a recomputed task cannot move a
@@ -74,6 +104,10 @@ def drop_first_occurrences(df: DataFrame, key: str, order: Sequence[str], k: int
         return df                                   # every running count exceeds k
     order = list(order)
     spark = df.sparkSession
+    if n_buckets is None and k <= int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        kth = kth_occurrence(df, key, order, k).select(F.col(key).alias("_dkey"), F.col("at").alias("_dat"))
+        return (df.join(kth, df[key].eqNullSafe(kth["_dkey"]) & (F.struct(*[df[c] for c in order]) > kth["_dat"]))
+                .select(*[df[c] for c in df.columns]))
     if n_buckets is None:
         df = reliable_checkpoint(df)        # counted, sampled and shuffled: computed once
         n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")),

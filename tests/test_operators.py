@@ -8,7 +8,7 @@ from collections import Counter
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from propgraph.operators import (check_graph, distinct_on, drop_first_occurrences,
+from propgraph.operators import (check_graph, distinct_on, drop_first_occurrences, kth_occurrence,
                                  merge_children, null_first_occurrence, population)
 
 
@@ -44,7 +44,7 @@ def test_drop_first_occurrences_equals_running_count(spark):
         counts[r[3]] += 1
         if counts[r[3]] > 25:
             want.append(r)
-    for buckets in (1, 4, 13):
+    for buckets in (None, 1, 4, 13):
         got = drop_first_occurrences(df.repartition(5), "keyword", ["ord", "pos"], 25, buckets)
         assert sorted(map(tuple, got.collect())) == sorted(want), buckets
 
@@ -54,8 +54,30 @@ def test_drop_first_occurrences_matches_window(spark):
                                "ord long, pos int, pkg_name string, keyword string")
     w = Window.partitionBy("keyword").orderBy("ord", "pos")
     brute = df.withColumn("rn", F.row_number().over(w)).where("rn > 10").drop("rn")
-    got = drop_first_occurrences(df, "keyword", ["ord", "pos"], 10, 6)
-    assert sorted(got.collect()) == sorted(brute.collect())
+    for buckets in (6, None):
+        got = drop_first_occurrences(df, "keyword", ["ord", "pos"], 10, buckets)
+        assert sorted(got.collect()) == sorted(brute.collect())
+
+
+def test_kth_occurrence_limits_groups_before_the_shuffle(spark, tmp_path):
+    rows = _skewed_tokens(1200, 3)
+    spark.createDataFrame(rows, "ord long, pos int, pkg_name string, keyword string").write.parquet(str(tmp_path / "t"))
+    tokens = spark.read.parquet(str(tmp_path / "t"))
+    kth = kth_occurrence(tokens, "keyword", ["ord", "pos"], 10)
+    want = {}
+    for r in sorted(rows):
+        want.setdefault(r[3], []).append((r[0], r[1]))
+    assert {r.keyword: tuple(r.at) for r in kth.collect()} == {k: v[9] for k, v in want.items() if len(v) > 9}
+    plan = drop_first_occurrences(tokens, "keyword", ["ord", "pos"], 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4 and "Scan ExistingRDD" not in plan
+    # more than the limit of such windows: by ranges, with the same rows
+    limit = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(limit, "5")
+    try:
+        got = drop_first_occurrences(tokens, "keyword", ["ord", "pos"], 10).collect()
+    finally:
+        spark.conf.unset(limit)
+    assert sorted(got) == sorted(drop_first_occurrences(tokens, "keyword", ["ord", "pos"], 10).collect())
 
 
 def test_null_first_occurrence_with_hot_value(spark):

@@ -19,7 +19,8 @@ KEYS = st.sampled_from(["hot", "hot", "hot", "a", "b", None])
 
 @SETTINGS
 @given(rows=st.lists(st.tuples(KEYS, st.integers(0, 3)), min_size=1, max_size=120),
-       k=st.integers(0, 6), buckets=st.integers(1, 9), parts=st.integers(1, 5))
+       k=st.integers(0, 6), buckets=st.none() | st.integers(1, 9), parts=st.integers(1, 5))
+@example(rows=[(None, 0), (None, 0)], k=1, buckets=None, parts=1)
 @example(rows=[(None, 0)], k=0, buckets=1, parts=1)      # a NULL key is a key
 def test_drop_first_occurrences_model(spark, rows, k, buckets, parts):
     data = [(i, j, f"p{i}", key) for i, (key, j) in enumerate(rows)]

@@ -31,5 +31,11 @@ spark.sparkContext.setJobGroup("bucketed", "bucketed")
 t = time.time()
 drop_first_occurrences(df, "keyword", ["ord", "pos"], 300, 16).write.format("noop").mode("overwrite").save()
 print("bucketed sec", round(time.time() - t, 2))
+tokens = ev.rstrip("/") + "-tokens"
+df.write.parquet(tokens)
+spark.sparkContext.setJobGroup("selected", "selected")
+t = time.time()
+drop_first_occurrences(spark.read.parquet(tokens), "keyword", ["ord", "pos"], 300).write.format("noop").mode("overwrite").save()
+print("selected sec", round(time.time() - t, 2))
 spark.stop()
 subprocess.run([sys.executable, str(Path(__file__).with_name("eventlog_summary.py")), ev], check=True)
