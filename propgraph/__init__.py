@@ -7,7 +7,8 @@ Stages (each a DataFrame plan):
 
 from .plans.graph import (Graph, GraphView, SubgraphView, build_graph, extract_subgraph,
                           group_graph)
+from .plans.incremental import update_graph
 from .plans.spec import GraphSpec, GroupSpec, LinkSpec, NodeSpec, package_registry_spec
 
-__all__ = ["Graph", "GraphView", "SubgraphView", "build_graph", "extract_subgraph", "group_graph", "GraphSpec",
+__all__ = ["Graph", "GraphView", "SubgraphView", "build_graph", "extract_subgraph", "group_graph", "update_graph", "GraphSpec",
            "GroupSpec", "LinkSpec", "NodeSpec", "package_registry_spec"]

@@ -1,7 +1,8 @@
 """Command line: the pipeline's two entry points plus the catalog profile.
 
   spark-submit propgraph_cli.py build   --raw PATH --layers ROOT [--ord-col ord | --ord-by-name]
-                                   [--on-malformed fail|drop|keep] [--resolve-persons]
+                                   [--on-malformed fail|drop|keep] [--resolve-persons] [--keep-records]
+  spark-submit propgraph_cli.py update  --raw PATH --layers ROOT   (after build --keep-records)
   spark-submit propgraph_cli.py canon   --canon FOLDER --layers ROOT
   spark-submit propgraph_cli.py publish --layers ROOT --database NAME [--location PATH]
   spark-submit propgraph_cli.py catalog --layers ROOT [--out PATH]
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators import edge_type_summary, written_catalog, graph_catalog
 from .plans.graph import build_graph
+from .plans.incremental import update_graph
 from .plans.spec import package_registry_spec
 from .sources import current_version, drop_versions, publish, read_graph, read_metrics, scan_raw
 
@@ -46,12 +48,15 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="propgraph")
     sub = ap.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("build", help="raw snapshot -> canonical, subgraph and graph layers")
-    b.add_argument("--raw", required=True, help="parquet with name, latest (and ord)")
-    b.add_argument("--layers", required=True, help="root folder for the three layers")
-    b.add_argument("--ord-col", default="ord", help="input order column, unique and not NULL")
-    b.add_argument("--ord-by-name", action="store_true", help="order by name instead")
-    b.add_argument("--validate", choices=("raise", "report"), default="raise")
-    b.add_argument("--on-malformed", choices=("fail", "drop", "keep"), default="fail")
+    u = sub.add_parser("update", help="the next version from the last one and a new raw snapshot")
+    for cmd in (b, u):
+        cmd.add_argument("--raw", required=True, help="parquet with name, latest (and ord)")
+        cmd.add_argument("--layers", required=True, help="root folder for the three layers")
+        cmd.add_argument("--ord-col", default="ord", help="input order column, unique and not NULL")
+        cmd.add_argument("--ord-by-name", action="store_true", help="order by name instead")
+        cmd.add_argument("--validate", choices=("raise", "report"), default="raise")
+        cmd.add_argument("--on-malformed", choices=("fail", "drop", "keep"), default="fail")
+    b.add_argument("--keep-records", action="store_true", help="leave the decoded records beside the layers, for update")
     b.add_argument("--resolve-persons", action="store_true", help="make persons that are the same one node")
     n = sub.add_parser("canon", help="canonical tables -> subgraph and graph layers")
     n.add_argument("--canon", required=True, help="folder with the five latest_* tables")
@@ -79,11 +84,16 @@ def main(argv: list[str] | None = None) -> None:
         source = scan_raw(spark, args.raw, None if args.ord_by_name else args.ord_col)
         g = build_graph(raw=source, spec=spec, layer_root=args.layers, validate=args.validate,
                         on_malformed=args.on_malformed, resolve=args.resolve_persons,
-                        versioned=not args.in_place)
+                        versioned=not args.in_place, keep_records=args.keep_records)
         _show(g.check)
         if g.quarantine is not None:
             _show(g.quarantine.groupBy("reason").count().orderBy("reason"))
         _show(g.counts())
+    elif args.cmd == "update":
+        source = scan_raw(spark, args.raw, None if args.ord_by_name else args.ord_col)
+        g = update_graph(source, args.layers, spec, validate=args.validate, on_malformed=args.on_malformed)
+        _show(g.check)
+        _show(g.counts())
     elif args.cmd == "canon":
         canon = {t: spark.read.parquet(f"{args.canon}/{t}") for t in spec.inputs}
         g = build_graph(canon=canon, spec=spec, layer_root=args.layers, validate=args.validate,

@@ -269,21 +269,21 @@ ROW_KINDS = {"package": _package_entries, "requirement": _requirement_entries,
              "url": _url_entries, "person": _person_entries, "keyword": _keyword_entries}
 
 
-def canonical_entries(parsed: DataFrame) -> DataFrame:
+def canonical_entries(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per record with every kind of canonical entries as an array
     column (``package``, ``requirement``, ``url``, ``person``, ``keyword``).
 
     Written once, it gives every canonical table from a single decode of the
     JSON with nothing cached; a table reads only its column (nested column
     pruning) and explodes it. Of ``judge_raw`` rows, those with reasons get no
-    entries but a ``quarantine`` row, from the same decode.
+    entries but a ``quarantine`` row, from the same decode. Columns ``keep`` go first.
     """
     kinds = {k: f() for k, f in ROW_KINDS.items()}
     if "reasons" not in parsed.columns:
-        return parsed.select(*[c.alias(k) for k, c in kinds.items()])
+        return parsed.select(*keep, *[c.alias(k) for k, c in kinds.items()])
     good = F.size("reasons") == 0
     fault = F.struct("ord", "name", F.array_join("reasons", ", ").alias("reason"), "latest")
-    return parsed.select(*[F.when(good, c).alias(k) for k, c in kinds.items()],
+    return parsed.select(*keep, *[F.when(good, c).alias(k) for k, c in kinds.items()],
                          F.when(~good, fault).alias("quarantine"))
 
 
@@ -292,6 +292,13 @@ def quarantined(entries: DataFrame) -> DataFrame:
     return entries.where(F.col("quarantine").isNotNull()).select("quarantine.*")
 
 
+def entry_rows(entries: DataFrame, kind: str) -> DataFrame:
+    """The rows of one kind of written entries, with their order columns; keywords
+    cleaned, other kinds as read."""
+    rows = entries.select(F.explode(kind).alias("e")).select("e.*")
+    return _finish_keyword(rows) if kind == "keyword" else rows
+
+
 def canonical_from_entries(entries: DataFrame, keyword_threshold: int = KEYWORD_MIN_COUNT,
                            keyword_buckets: int | None = None, deferred: bool = False) -> dict:
     """The five canonical tables from written ``canonical_entries``, finished

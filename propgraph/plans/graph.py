@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.checks import SIDES, assert_valid, check_graph
 from ..operators.extract import extract_link, extract_node
@@ -38,6 +39,7 @@ from .canon import (KEYWORD_MIN_COUNT, canonical_entries, canonical_from_entries
 from .spec import GraphSpec, package_registry_spec
 
 QUARANTINE = "_quarantine"     # the folder of left-out records in the canonical layer
+RECORDS = "records"            # the folder of the kept records' entries, beside the layers
 
 
 @dataclass
@@ -196,13 +198,19 @@ class SubgraphView(GraphView):
         self._memo.update(self._given)
 
 
+def with_digest(raw: DataFrame, stamp: str | None = None) -> DataFrame:
+    """``raw`` with ``digest``: column ``stamp`` as text, or the SHA-256 of the JSON text."""
+    digest = F.sha2("latest", 256) if stamp is None else F.col(f"`{stamp}`").cast("string")
+    return raw.select("ord", "name", "latest", digest.alias("digest"))
+
+
 def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None = None,
                 spec: GraphSpec | None = None, layer_root: str | None = None,
                 validate: str = "raise", keyword_threshold: int = KEYWORD_MIN_COUNT,
                 on_malformed: str = "fail", materialize: str | None = "write",
                 overrides: dict[str, DataFrame] | None = None,
                 keyword_buckets: int | None = None, resolve: bool = False,
-                versioned: bool = False) -> Graph:
+                versioned: bool = False, keep_records: bool = False, stamp: str | None = None) -> Graph:
     """Build the property graph from a raw snapshot or from canonical tables.
 
     ``raw.ord`` must be unique and not NULL. A run on a ``layer_root`` that
@@ -219,6 +227,9 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
 
     resolve: persons that are the same one (``operators.resolve``) become one node
     before grouping; ``resolved/person`` and ``Graph.resolved`` say which.
+
+    keep_records: a versioned build from ``raw`` leaves the records' entries and digests
+    (or ``stamp``, a column of ``raw``) beside the layers, for ``update_graph``.
     """
     spec = spec or package_registry_spec()
     if materialize not in ("write", "persist", None):
@@ -232,6 +243,8 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
         layer_root = scratch_path(some.sparkSession, "graph")
     if versioned and materialize != "write":
         raise ValueError("versions are written layers: materialize='write'")
+    if keep_records and (not versioned or raw is None or resolve or overrides):
+        raise ValueError("records are kept by versioned builds from raw, without overrides or resolved persons")
     root = layer_root
     if versioned:
         version, layer_root = new_version(root)
@@ -242,18 +255,26 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
         require_order(raw, ["ord"])
         split = on_malformed == "drop" and materialize == "write"
         # one decode gives the canonical entries and the records left out
-        parsed = judge_raw(raw) if split else parse_raw(raw, on_malformed)
+        given = with_digest(raw, stamp) if keep_records else raw
+        parsed = judge_raw(given) if split else parse_raw(given, on_malformed)
         if materialize == "write":
             # One decode: every kind of entries per record, written once; each
             # canonical table reads its column (pruned) and explodes it.
-            entries_path = f"{layer_root}/canon/_entries"
-            canonical_entries(parsed).write.mode("overwrite").parquet(entries_path)
+            entries_path = f"{layer_root}/{RECORDS}/entries" if keep_records else f"{layer_root}/canon/_entries"
+            keep = ("ord", "name", "digest") if keep_records else ()
+            canonical_entries(parsed, keep).write.mode("overwrite").parquet(entries_path)
             entries = parsed.sparkSession.read.parquet(entries_path)
             tables = canonical_from_entries(entries, keyword_threshold, keyword_buckets, deferred=True)
             canon = write_layer({**tables, **({QUARANTINE: quarantined(entries)} if split else {})},
                                 f"{layer_root}/canon")
             left_out = canon.pop(QUARANTINE, None)
-            remove_path(parsed.sparkSession, entries_path)      # its readers are written
+            if keep_records:
+                parsed.sparkSession.createDataFrame(
+                    [(on_malformed, keyword_threshold, stamp or "")],
+                    "on_malformed string, keyword_threshold int, stamp string").coalesce(1).write.parquet(
+                        f"{layer_root}/{RECORDS}/settings")
+            else:
+                remove_path(parsed.sparkSession, entries_path)      # its readers are written
         elif materialize == "persist":
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
             canon = _persist(canonicalize(parsed, keyword_threshold, keyword_buckets), materialize)

@@ -137,16 +137,18 @@ def _typed(j: Column) -> Column:
 
 def judge_raw(raw: DataFrame) -> DataFrame:
     """(ord, name, latest, reasons, j): the reason codes of every record (an empty
-    list for a good one) and what could be read of it."""
+    list for a good one) and what could be read of it; ``digest``, if ``raw`` has one,
+    follows ``latest``."""
     read = F.from_json(F.col("latest"), RAW_SCHEMA,
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    df = raw.select("ord", "name", "latest", read.alias("_j"))
+    given = ["ord", "name", "latest", *(["digest"] if "digest" in raw.columns else [])]
+    df = raw.select(*given, read.alias("_j"))
     codes = F.array(*[F.when(bad, F.lit(code)) for code, bad in contract(F.col("latest"), F.col("_j"))])
-    return df.select("ord", "name", "latest", F.array_compact(codes).alias("reasons"), _typed(F.col("_j")).alias("j"))
+    return df.select(*given, F.array_compact(codes).alias("reasons"), _typed(F.col("_j")).alias("j"))
 
 
 def parse_raw(raw: DataFrame, on_malformed: str = "fail") -> DataFrame:
-    """(ord, name, j) with ``j`` the typed record.
+    """(ord, name, j) with ``j`` the typed record, and ``raw``'s ``digest`` if it has one.
 
     A record that violates the contract stops the job (``on_malformed='fail'``,
     with its reasons), is dropped ('drop'; ``quarantine`` has those) or kept ('keep')
@@ -166,7 +168,7 @@ def parse_raw(raw: DataFrame, on_malformed: str = "fail") -> DataFrame:
         df = df.where(~bad)
     elif on_malformed != "keep":
         raise ValueError(on_malformed)
-    return df.select("ord", "name", "j")
+    return df.drop("latest", "reasons")
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
