@@ -26,7 +26,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph import build_graph, package_registry_spec
+from propgraph import build_graph, package_registry_spec, update_graph
 from propgraph.plans.spec import has_email_select, with_group_select
 from propgraph.functions import key_id, not_both_blank, url_features
 from propgraph.operators import (distinct_on, edge_type_summary, extract_link, extract_node,
@@ -267,6 +267,20 @@ def q_build_graph(spark, sf):
     return table_digests(read_graph(spark, f"{root}/graph"))
 
 
+def q_update_graph(spark, sf):
+    """The final tables after an update from an earlier snapshot, in which a tenth of the
+    records was not there yet, a tenth had another license and keywords, and a tenth came
+    twice under other names: the whole snapshot's graph."""
+    root, raw = scratch_path(spark, "update"), _fx(spark, sf).raw()
+    tenth = lambda i: F.pmod(F.col("ord"), F.lit(10)) == i
+    text = F.regexp_replace(F.regexp_replace("latest", '"license":"', '"license":"Old '), '"keywords":"', '"keywords":"old,')
+    earlier = (raw.where(~tenth(0)).withColumn("latest", F.when(tenth(1), text).otherwise(F.col("latest")))
+               .unionByName(raw.where(tenth(2)).withColumns({"ord": -F.col("ord") - 1, "name": F.concat("name", F.lit("-old"))})))
+    build_graph(raw=earlier, validate="report", layer_root=root, versioned=True, keep_records=True)
+    update_graph(raw, root, validate="report")
+    return table_digests(read_graph(spark, f"{root}/graph"))
+
+
 # ----------------------------------------------------------------- shared pieces
 def q_distinct_on(spark, sf):
     return distinct_on(_fx(spark, sf).table("latest_url"), ["pkg_name", "url"])
@@ -342,6 +356,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "resolve_person": q_resolve_person,
         "group_resolved": q_group_resolved,
         "build_graph": q_build_graph,
+        "update_graph": q_update_graph,
         "distinct_on": q_distinct_on,
         "key_id": q_key_id,
         "not_both_blank": q_not_both_blank,

@@ -649,6 +649,7 @@ SELECT u AS node_id, min(v) AS resolved_id FROM reach GROUP BY u""", ("person_na
         [f"fl_{l}" for l in FINAL_LINKS])
     q["graph_catalog"] = catalog_sql(o)
     q["build_graph"] = o.sql(_digests(_with_cols(_final_tables("r"))), [t for _, t in _final_tables("r")])
+    q["update_graph"] = q["build_graph"]       # an update gives what a full build gives
     layers = {"canon": [(n, c, CANON_COLS[n]) for n, c in canon_raw],
               "subgraph": [(n, f"rn_{n}", NODE_COLS[n]) for n in NODES] + [(n, f"rl_{n}", LINK_COLS[n]) for n in LINKS],
               "graph": [(f"{t}_final", c, FINAL_COLS[t]) for t, c in _final_tables("r")]}
