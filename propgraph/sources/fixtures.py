@@ -192,9 +192,10 @@ class Fixtures:
         """The raw snapshot as the pipeline meets it: a parquet input file.
 
         Synthesized once per Spark application and scale, written under the
-        shared checkpoint folder in ``ord`` order as one file per core (as a
-        registry dump comes in many files; a single file would make the
-        decode one task), then read with ``scan_raw``.
+        shared checkpoint folder as one file per core (as a registry dump comes
+        in many files; a single file would make the decode one task), then read
+        with ``scan_raw``. Records are spread by a hash of ``ord``: ranges would
+        be sampled first, which makes the whole snapshot twice.
         """
         from ..session import path_exists, scratch_path
         from .raw import scan_raw
@@ -203,7 +204,7 @@ class Fixtures:
         if path is None or not path_exists(self.spark, path):
             path = scratch_path(self.spark, "raw", "latest")
             n = self.spark.sparkContext.defaultParallelism
-            (self.raw_snapshot().repartitionByRange(n, "ord")
+            (self.raw_snapshot().repartition(n, "ord")
                  .write.mode("overwrite").parquet(path))
             _RAW_FILES[key] = path
         return scan_raw(self.spark, path)

@@ -249,3 +249,37 @@ def test_fixture_keys_grow_with_the_tables(spark):
     for key in ("node_email", "node_email_domain", "node_author", "node_url"):
         small, large = (E.queries()[key](spark, f"/root/testdata/{sf}").count() for sf in ("sf0.001", "sf0.01"))
         assert large > 3 * small, (key, small, large)
+
+
+@pytest.mark.parametrize("of", [quarantine, lambda raw: parse_raw(raw, "drop")])
+def test_json_is_decoded_once_below_a_filter(spark, of):
+    raw = spark.createDataFrame([(1, "p", record())], "ord long, name string, latest string")
+    assert _plan(of(raw)).count("from_json(") == 1
+
+
+def test_contract_is_compiled_and_parses_no_read_text_again(spark):
+    raw = spark.createDataFrame([(1, "p", record())], "ord long, name string, latest string")
+    plan = _plan(parse_raw(raw, "keep"))
+    assert "filter(array(" not in plan           # a lambda around the codes has them interpreted
+    assert "get_json_object(latest" not in plan and "parseJson(latest" not in plan
+
+
+@pytest.mark.parametrize("entry", [
+    None, {"releases": [], "requirement": "r"}, {"releases": ["1"], "requirement": None},
+    {"releases": [None], "requirement": "r", "more": 1}, {"releases: ARRAY<STRING>, requirement": "r"}, {"releases": "1", "requirement": "r"},
+    {"releases": ["1", 2], "requirement": "r"}, {"releases": ["1"], "requirement": 3}, {}, "text", 5, ["1"]])
+def test_entries_that_are_not_plain_are_looked_into(spark, entry):
+    from propgraph.sources.raw import judge_raw
+    latest = record(requires={"a": {"releases": ["1"], "requirement": "r"}, "b": entry})
+    raw = spark.createDataFrame([(1, "p", latest)], "ord long, name string, latest string")
+    want = []
+    if entry is not None and not isinstance(entry, dict):
+        want = ["requires.entry:not object"]
+    elif isinstance(entry, dict):
+        want = [f"requires.{c}:absent" for c in ("releases", "requirement") if c not in entry]
+        releases = entry.get("releases", [])
+        if not isinstance(releases, list) or not (all(isinstance(r, str) for r in releases) or all(r is None for r in releases)):
+            want.append("requires.releases:not texts")
+        if not isinstance(entry.get("requirement"), (str, type(None))):
+            want.append("requires.requirement:not text")
+    assert judge_raw(raw).first().reasons == want
