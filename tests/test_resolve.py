@@ -154,3 +154,21 @@ def test_build_writes_the_resolution(spark, tmp_path):
     said = spark.read.parquet(f"{tmp_path}/resolved/person")
     assert said.count() == g.resolved.count() > g.nodes["person"].count()
     assert g.nodes["person"].select(F.col("node_id")).exceptAll(said.select("resolved_id").distinct()).count() == 0
+
+
+def test_persons_are_read_once(spark):
+    """The person tables feed the evidence and the result; they are extracted once."""
+    from pyspark.sql import functions as F
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        read.add(1)
+        return x
+
+    rows = [("a", "Ann", "a@x"), ("b", "Ann", "b@x"), ("c", "Bo", "a@x")]
+    persons = spark.createDataFrame(rows, "node_id string, name string, email string").withColumn("node_id", seen("node_id"))
+    packages = spark.createDataFrame([("p", "a"), ("p", "b")], "package_id string, node_id string")
+    got = {r.node_id: r.resolved_id for r in resolve_persons(persons, packages).collect()}
+    assert got == {"a": "a", "b": "a", "c": "c"}
+    assert read.value == len(rows)
