@@ -30,13 +30,14 @@ from ..operators.extract import extract_link, extract_node
 from ..operators.group import group_links, group_nodes
 from ..operators.profile import assert_nonempty, expect_nonempty, table_counts
 from ..operators.resolve import person_resolution, resolved_tables, with_resolved_persons
-from ..sources.layers import commit_version, differing, new_version, write_layer, write_manifest
+from ..sources.layers import (commit_version, differing, new_version, write_layer, write_manifest,
+                              write_table)
 from ..operators.running import require_order
 from ..session import reliable_checkpoint, remove_path, scratch_path
 from ..sources.raw import judge_raw, parse_raw, quarantine
 from .canon import (KEYWORD_MIN_COUNT, canonical_entries, canonical_from_entries, canonicalize,
                     quarantined)
-from .spec import GraphSpec, package_registry_spec
+from .spec import GraphSpec, GroupSpec, package_registry_spec
 
 QUARANTINE = "_quarantine"     # the folder of left-out records in the canonical layer
 RECORDS = "records"            # the folder of the kept records' entries, beside the layers
@@ -137,16 +138,20 @@ class GraphView:
         return (len(s.src_key) == 1 and len(s.dst_key) == 1 and s.src_key != s.dst_key
                 and set(s.keys) == set(s.src_key + s.dst_key))
 
+    def passes(self, kind: str, g: GroupSpec) -> bool:
+        """Whether a group is its child as it is."""
+        return g.select is None and self._ids_unique(kind, g.children[0])
+
     def node(self, group: str) -> DataFrame:
         g = self.spec.all_node_groups()[group]
-        if g.select is None and self._ids_unique("node", g.children[0]):
+        if self.passes("node", g):
             return self.sub_node(g.children[0])      # pass-through, no shuffle needed
         return self._get("node", group, lambda: group_nodes(
             [self._child("node", c) for c in g.children], g.select, g.distinct))
 
     def link(self, group: str) -> DataFrame:
         g = self.spec.all_link_groups()[group]
-        if g.select is None and self._ids_unique("link", g.children[0]):
+        if self.passes("link", g):
             return self.sub_link(g.children[0])
         return self._get("link", group, lambda: group_links(
             [self._child("link", c) for c in g.children], g.select, g.distinct))
@@ -262,7 +267,7 @@ def build_graph(raw: DataFrame | None = None, canon: dict[str, DataFrame] | None
             # canonical table reads its column (pruned) and explodes it.
             entries_path = f"{layer_root}/{RECORDS}/entries" if keep_records else f"{layer_root}/canon/_entries"
             keep = ("ord", "name", "digest") if keep_records else ()
-            canonical_entries(parsed, keep).write.mode("overwrite").parquet(entries_path)
+            write_table(canonical_entries(parsed, keep), entries_path, "overwrite")
             entries = parsed.sparkSession.read.parquet(entries_path)
             tables = canonical_from_entries(entries, keyword_threshold, keyword_buckets, deferred=True)
             canon = write_layer({**tables, **({QUARANTINE: quarantined(entries)} if split else {})},

@@ -15,13 +15,15 @@ record beside the layers (``records``: ord, name, digest of the JSON, entries).
 4. a subgraph table keeps the rows whose ids no affected row has; the other ids' rows are
    extracted again from all canonical rows that have them, so a value that several
    records hold stays as long as one of them does, and its attributes are those a full
-   build picks. Final tables likewise, by the ids of their children;
+   build picks. Final tables likewise, by the ids of their children; those that are
+   their child as it is are copied from it;
 5. all of it is a new version, checked and committed like any other.
 
-The result equals a full build of the same snapshot. Shuffles grow with the change, except
-for the comparison of step 1, the order rules' aggregates and the referential check;
-unaffected rows are copied by a scan and an anti join with the affected ids, which
-adaptive execution broadcasts when it measures them small.
+The result equals a full build of the same snapshot. Changed records and affected ids are
+bits of a set that is broadcast (``operators.marks``), so unaffected rows are copied by a
+scan and are never shuffled; the few rows a set touches besides are made again too, which
+gives the same rows. Shuffles grow with the change, except for the comparison of step 1, the
+order rules' aggregates and the referential check.
 """
 
 from __future__ import annotations
@@ -35,17 +37,18 @@ from ..functions import key_id
 from ..operators.checks import assert_valid, check_graph
 from ..operators.extract import extract_link, extract_node
 from ..operators.group import LINK_KEY, NODE_KEY, group_links, group_nodes
+from ..operators.marks import Marks, key_hash, touched, untouched, write_marks
 from ..operators.profile import assert_nonempty, expect_nonempty
 from ..operators.running import kth_occurrence, require_order
 from ..session import remove_path
 from ..sources.layers import (commit_version, current_version, differing, new_version, write_layer,
-                              write_manifest)
+                              write_manifest, write_table)
 from ..sources.raw import judge_raw, parse_raw
 from .canon import KEYWORD_MIN_COUNT, canonical_entries, canonical_from_entries, entry_rows, quarantined
-from .graph import QUARANTINE, RECORDS, Graph, with_digest
+from .graph import QUARANTINE, RECORDS, Graph, SubgraphView, with_digest
 from .spec import GraphSpec, LinkSpec, NodeSpec, package_registry_spec
 
-IDS = "table string, id string, from_id string, to_id string"
+IDS = "sub int, final int, id long, pair long"
 
 
 def compare_records(records: DataFrame, raw: DataFrame) -> DataFrame:
@@ -107,30 +110,26 @@ def affected_rows(records: DataFrame, fresh: DataFrame, gone: DataFrame, now: Da
     return tables
 
 
-def _ids(rows: DataFrame, name: str, spec: NodeSpec | LinkSpec) -> DataFrame:
-    """The ids that ``rows`` of the source give a subgraph table (``IDS``)."""
+def _ids(rows: DataFrame, spec: NodeSpec | LinkSpec, sub: int, final: int | None) -> DataFrame:
+    """The ids that ``rows`` of the source give a subgraph table, hashed (``IDS``): its set,
+    the set of the final table it is a child of, and for a link the hash of its ends."""
     df = rows.where(spec.where()) if spec.where is not None else rows
-    link = isinstance(spec, LinkSpec)
-    ends = [key_id(*spec.src_key), key_id(*spec.dst_key)] if link else [F.lit(None).cast("string")] * 2
-    return df.select(F.lit(name).alias("table"), key_id(*spec.keys).alias("id"),
-                     ends[0].alias("from_id"), ends[1].alias("to_id")).distinct()
+    made = key_hash(key_id(*spec.keys))
+    pair = key_hash(key_id(*spec.src_key), key_id(*spec.dst_key)) if isinstance(spec, LinkSpec) else made
+    return df.select(F.lit(sub).alias("sub"), F.lit(final).cast("int").alias("final"), made.alias("id"), pair.alias("pair"))
 
 
-def _again(old: DataFrame, source: DataFrame, ids: DataFrame, spec: NodeSpec | LinkSpec) -> DataFrame:
+def _again(old: DataFrame, source: DataFrame, ids: Marks, spec: NodeSpec | LinkSpec) -> DataFrame:
     """``old`` with the rows of ``ids`` extracted again."""
     link = isinstance(spec, LinkSpec)
-    some = ids.select("id").distinct()
     rows = source.where(spec.where()) if spec.where is not None else source
-    rows = rows.withColumn("_id", key_id(*spec.keys)).join(some.withColumnRenamed("id", "_id"), "_id", "left_semi")
-    made = (extract_link if link else extract_node)(rows.select(*source.columns), spec)
-    key = "link_id" if link else "node_id"
-    return old.join(some.withColumnRenamed("id", key), key, "left_anti").select(*old.columns).unionByName(made)
+    made = (extract_link if link else extract_node)(touched(rows, ids, key_id(*spec.keys)), spec)
+    return untouched(old, ids, "link_id" if link else "node_id").unionByName(made)
 
 
-def _regroup(old: DataFrame, children: list[DataFrame], keys: tuple[str, ...], ids: DataFrame, group) -> DataFrame:
+def _regroup(old: DataFrame, children: list[DataFrame], keys: tuple[str, ...], ids: Marks, group) -> DataFrame:
     """``old`` with the rows of the keys in ``ids`` grouped again."""
-    made = group([c.join(ids, list(keys), "left_semi").select(*c.columns) for c in children])
-    return old.join(ids, list(keys), "left_anti").select(*old.columns).unionByName(made)
+    return untouched(old, ids, *keys).unionByName(group([touched(c, ids, *keys) for c in children]))
 
 
 def update_graph(raw: DataFrame, layer_root: str, spec: GraphSpec | None = None, validate: str = "raise",
@@ -158,16 +157,22 @@ def update_graph(raw: DataFrame, layer_root: str, spec: GraphSpec | None = None,
 
     # 1. records: only what changed is decoded
     records, marked = read(f"{RECORDS}/entries"), with_digest(raw, stamp)
-    delta_path, fresh_path = f"{root}/delta/records", f"{root}/delta/fresh"
-    compare_records(records, marked).write.parquet(delta_path)
+    delta_path, gone_path, fresh_path = (f"{root}/delta/{n}" for n in ("records", "gone", "fresh"))
+    write_table(compare_records(records, marked), delta_path)
     delta = spark.read.parquet(delta_path)
-    some = marked.join(delta.where("now").select("ord"), "ord", "left_semi").select(*marked.columns)
+    states, key = ("was", "now"), F.col("ord").cast(delta.schema["ord"].dataType)
+    sides = [delta.where(state).select(F.lit(i).alias("set"), key_hash("ord").alias("hash")) for i, state in enumerate(states)]
+    moved = write_marks(sides[0].unionByName(sides[1]), len(states), f"{root}/delta/ords")
+    was, new = (delta.where(state).select("ord") for state in states)
+    some = touched(marked, moved[1], key).join(new, "ord", "left_semi").select(*marked.columns)
     parsed = judge_raw(some) if on_malformed == "drop" else parse_raw(some, on_malformed)
-    canonical_entries(parsed, keep=("ord", "name", "digest")).write.parquet(fresh_path)
+    write_table(canonical_entries(parsed, keep=("ord", "name", "digest")), fresh_path)
     fresh = spark.read.schema(records.schema).parquet(fresh_path)
-    was = delta.where("was").select("ord")
-    gone = records.join(was, "ord", "left_semi").select(*records.columns)
-    now = write_layer({"entries": records.join(was, "ord", "left_anti").select(*records.columns).unionByName(fresh),
+    perhaps = touched(records, moved[0], key)
+    write_table(perhaps.join(was, "ord", "left_semi").select(*records.columns), gone_path)
+    gone = spark.read.schema(records.schema).parquet(gone_path)
+    stayed = untouched(records, moved[0], key).unionByName(perhaps.join(was, "ord", "left_anti").select(*records.columns))
+    now = write_layer({"entries": stayed.unionByName(fresh),
                        "settings": read(f"{RECORDS}/settings")}, f"{root}/{RECORDS}")["entries"]
 
     # 2. canonical tables, 3. affected ids
@@ -180,10 +185,17 @@ def update_graph(raw: DataFrame, layer_root: str, spec: GraphSpec | None = None,
     rows = affected_rows(records, fresh, gone, now, keyword_threshold)
     rows = write_layer(rows, f"{root}/delta/rows")
     specs = {**{f"node/{n}": s for n, s in spec.nodes.items()}, **{f"link/{n}": s for n, s in spec.links.items()}}
+    groups = {**{f"node/{n}": g for n, g in spec.all_node_groups().items()},
+              **{f"link/{n}": g for n, g in spec.all_link_groups().items()}}
+    sets = {n: i for i, n in enumerate([*specs, *(f"final/{n}" for n in groups)])}
+    home = {f"{n.split('/')[0]}/{c}": sets[f"final/{n}"] for n, g in groups.items() for c in g.children}
     ids_path = f"{root}/delta/ids"
-    reduce(DataFrame.unionByName, [_ids(rows[s.source], n, s) for n, s in specs.items()]).write.parquet(ids_path)
-    all_ids = spark.read.schema(IDS).parquet(ids_path)
-    ids = {n: all_ids.where(F.col("table") == n) for n in specs}
+    write_table(reduce(DataFrame.unionByName, [_ids(rows[s.source], s, sets[n], home.get(n)) for n, s in specs.items()]), ids_path)
+    both = F.array(F.struct(F.col("sub").alias("set"), F.col("id").alias("hash")),
+                   F.struct(F.col("final").alias("set"), F.col("pair").alias("hash")))
+    hashes = spark.read.schema(IDS).parquet(ids_path).select(F.explode(both).alias("e")).select("e.*")
+    marks = write_marks(hashes.where("set IS NOT NULL"), len(sets), f"{root}/delta/marks")
+    ids = {n: marks[i] for n, i in sets.items()}
 
     # 4. subgraph and final tables
     sub = write_layer({n: _again(read(f"subgraph/{n}"), canon[s.source], ids[n], s) for n, s in specs.items()},
@@ -192,15 +204,13 @@ def update_graph(raw: DataFrame, layer_root: str, spec: GraphSpec | None = None,
     check = check_graph(sub_nodes, sub_links, spec.subgraphs)
     if validate == "raise":
         assert_valid(check)
-    final = {}
-    for kind, groups, keys, given, group in (("node", spec.all_node_groups(), NODE_KEY, sub_nodes, group_nodes),
-                                             ("link", spec.all_link_groups(), LINK_KEY, sub_links, group_links)):
-        columns = [F.col("id").alias("node_id")] if kind == "node" else list(LINK_KEY)
-        for name, g in groups.items():
-            some = reduce(DataFrame.unionByName, [ids[f"{kind}/{c}"] for c in g.children]).select(*columns).distinct()
-            final[f"{kind}_{name}_final"] = _regroup(
-                read(f"graph/{kind}_{name}_final"), [given[c] for c in g.children], keys, some,
-                lambda children, g=g, group=group: group(children, g.select, g.distinct))
+    view, final = SubgraphView(sub_nodes, sub_links, spec), {}
+    for name, g in groups.items():
+        kind, table = name.split("/")
+        given, keys, group = (sub_nodes, NODE_KEY, group_nodes) if kind == "node" else (sub_links, LINK_KEY, group_links)
+        final[f"{kind}_{table}_final"] = given[g.children[0]] if view.passes(kind, g) else _regroup(
+            read(f"graph/{kind}_{table}_final"), [given[c] for c in g.children], keys, ids[f"final/{name}"],
+            lambda children, g=g, group=group: group(children, g.select, g.distinct))
     metrics: dict[str, dict] = {}
     made = write_layer(final, f"{root}/graph", metrics=metrics)
     write_manifest(spark, {n.removesuffix("_final"): n for n in final}, f"{root}/graph", metrics)

@@ -198,14 +198,14 @@ class Fixtures:
         be sampled first, which makes the whole snapshot twice.
         """
         from ..session import path_exists, scratch_path
+        from .layers import write_table
         from .raw import scan_raw
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
         path = _RAW_FILES.get(key)
         if path is None or not path_exists(self.spark, path):
             path = scratch_path(self.spark, "raw", "latest")
             n = self.spark.sparkContext.defaultParallelism
-            (self.raw_snapshot().repartition(n, "ord")
-                 .write.mode("overwrite").parquet(path))
+            write_table(self.raw_snapshot().repartition(n, "ord"), path)
             _RAW_FILES[key] = path
         return scan_raw(self.spark, path)
 

@@ -16,9 +16,11 @@ it was, and a reader never sees two versions mixed.
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -27,6 +29,44 @@ from ..session import remove_path
 
 MAX_CONCURRENT_JOBS = 16
 
+#: Ids are hex digits: half a byte each, which snappy does not find and zstd does.
+CODEC = "zstd"
+
+#: While tables are written: a write's shuffle files go with it (else they stay until the
+#: driver happens to collect its garbage), and a broadcast waits for its turn among the jobs.
+WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+                 "spark.sql.broadcastTimeout": "-1"}
+_writing: dict[str, tuple[int, dict[str, str | None]]] = {}     # by session: how many write, what held before
+_lock = threading.Lock()
+
+
+@contextmanager
+def _while_writing(spark: SparkSession) -> Iterator[None]:
+    """``WHILE_WRITING`` holds; what held before does again after the last of the session's
+    writers."""
+    key = spark._jsparkSession.sessionUUID()
+    with _lock:
+        n, before = _writing.get(key) or (0, {k: spark.conf.get(k, None) for k in WHILE_WRITING})
+        _writing[key] = (n + 1, before)
+        for k, v in WHILE_WRITING.items():
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        with _lock:
+            n, before = _writing.pop(key)
+            if n > 1:
+                _writing[key] = (n - 1, before)
+            else:
+                for k, v in before.items():
+                    spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def write_table(df: DataFrame, path: str, mode: str = "error", by: Sequence[str] = ()) -> None:
+    """Write one table as the layers' tables are, ``by`` folders of those columns."""
+    with _while_writing(df.sparkSession):
+        df.write.mode(mode).option("compression", CODEC).partitionBy(*by).parquet(path)
+
 
 def _run_all(tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
     if len(tasks) <= 1:
@@ -51,10 +91,10 @@ def write_layer(tables: dict[str, DataFrame | Callable[[], DataFrame]], root: st
         def run():
             df = t() if callable(t) else t
             if metrics is None:
-                df.write.mode(mode).parquet(path)
+                write_table(df, path, mode)
             else:
                 seen = Observation()
-                df.observe(seen, *column_metrics(df)).write.mode(mode).parquet(path)
+                write_table(df.observe(seen, *column_metrics(df)), path, mode)
                 metrics[path.removeprefix(f"{root.rstrip('/')}/")] = seen.get
             # the schema is known: no job to read it from the files
             return df.sparkSession.read.schema(df.schema).parquet(path)
